@@ -1,0 +1,4 @@
+"""Deliberately empty: the demand model is a daily batch and has no streaming inputs, watermarks or state.
+
+Incremental loads are handled by the file ledger (``pedalgrid.operators.ledger``).
+"""
