@@ -1,0 +1,240 @@
+"""The warehouse tables seen as the inputs of the demand model.
+
+Each view is a plain projection or join over whole tables, so its size follows theirs. Dates of the
+event stream (January 2024) are moved by sixty days: March then holds the night on which clocks go
+forward, so invalid local times occur naturally.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pedalgrid.plans.demand import Inputs
+from pedalgrid.schemas import LEDGER
+from pedalgrid.sources.readers import LOAD_ORDER, polygons_from_features, weather_rows
+
+SHIFT_DAYS = 60
+EVENT_ORDER = "event_id"
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def _shifted(ts: Column) -> Column:
+    return ts + F.expr(f"interval {SHIFT_DAYS} days")
+
+
+def _clock_text(ts: Column, whole_seconds: Column) -> Column:
+    """Wall clock with three fraction digits, or none."""
+    text = ts.cast("string")
+    fraction = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.when(whole_seconds, F.substring(text, 1, 19)).otherwise(F.concat(F.substring(text, 1, 19), F.lit("."), fraction))
+
+
+def rides(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as raw rides of five times ``value`` minutes, all fields text as in the CSV files."""
+    e = table(spark, folder, "events")
+    value = F.col("value").cast("decimal(12,2)")
+    start = F.date_trunc("millisecond", _shifted(F.col("ts"))).cast("timestamp_ntz")
+    end = start + F.make_dt_interval(secs=(value * 300).cast("decimal(18,6)"))
+    seconds_only = F.col("event_type") == "click"
+    padded = F.when(F.col("event_type") == "signup", F.concat(F.lit(" "), "user_id", F.lit(" "))).otherwise(
+        F.col("user_id").cast("string")
+    )
+    return e.select(
+        F.col("event_id").cast("string").alias("ride_id"),
+        F.col("event_type").alias("rideable_type"),
+        _clock_text(start, seconds_only).alias("started_at"),
+        F.when(value.between(100, 105), "n/a").otherwise(_clock_text(end, seconds_only)).alias("ended_at"),
+        F.concat(F.lit("Station "), "user_id", F.lit(", "), "event_type").alias("start_station_name"),
+        F.when(~value.between(0.5, 1), padded).alias("start_station_id"),
+        F.lit(None).cast("string").alias("end_station_name"),
+        F.lit(None).cast("string").alias("end_station_id"),
+        F.when(F.col("event_type") == "error", "n/a").otherwise(value.cast("string")).alias("start_lat"),
+        F.concat(F.lit("-"), value.cast("string")).alias("start_lng"),
+        F.lit(None).cast("string").alias("end_lat"),
+        F.lit(None).cast("string").alias("end_lng"),
+        F.when(F.col("event_type").isin("purchase", "signup"), "member").otherwise("casual").alias("member_casual"),
+        EVENT_ORDER,
+    )
+
+
+def stations(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as stations in the region of their nation."""
+    nations = table(spark, folder, "nation").join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    joined = table(spark, folder, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    return joined.select(
+        F.col("s_suppkey").cast("string").alias("start_station_id"),
+        F.col("s_name").alias("station_name"),
+        F.col("s_acctbal").alias("latitude"),
+        (-F.col("s_acctbal")).alias("longitude"),
+        F.col("r_name").alias("borough"),
+    )
+
+
+def weather_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as weather observations; some days lack the low, the 30th both temperatures."""
+    e = table(spark, folder, "events")
+    day = _shifted(F.col("ts")).cast("date")
+    kind = F.col("event_type")
+    datatype = (
+        F.when(kind == "view", "TMAX").when(kind == "click", "TMIN").when(kind == "error", "PRCP").when(kind == "signup", "SNOW")
+    ).otherwise("WSPD")
+    missing = (kind.isin("view", "click") & (F.dayofmonth(day) == 30)) | (
+        (kind == "click") & F.dayofmonth(day).isin(3, 10, 17, 24)
+    )
+    return e.select(
+        F.date_format(day, "yyyy-MM-dd").alias("date"),
+        datatype.alias("datatype"),
+        F.when(~missing, F.col("value")).alias("value"),
+        EVENT_ORDER,
+    )
+
+
+def weather(spark: SparkSession, folder: str) -> DataFrame:
+    return weather_rows(weather_long(spark, folder), F.col(EVENT_ORDER))
+
+
+def permits(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as permits in the customer's region, spread over the first 28 days of March."""
+    nations = table(spark, folder, "nation").join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    customers = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    day = F.date_add(F.lit("2024-03-01").cast("date"), F.pmod("o_orderkey", F.lit(28)).cast("int"))
+    hour = F.lpad(F.pmod("o_custkey", F.lit(24)).cast("string"), 2, "0")
+    suffix = F.when(F.col("o_orderstatus") == "F", ".000").when(F.col("o_orderstatus") == "O", "Z").otherwise("")
+    start = F.concat(day.cast("string"), F.lit("T"), hour, F.lit(":15:00"), suffix)
+    return joined.select(
+        F.col("o_orderkey").cast("string").alias("event_id"),
+        F.lit(None).cast("string").alias("event_name"),
+        F.when(F.col("c_acctbal") <= 9500, start).otherwise("").alias("start_date_time"),
+        F.lit(None).cast("string").alias("end_date_time"),
+        F.lit(None).cast("string").alias("event_agency"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).otherwise(" ").alias("event_type"),
+        F.when(F.col("c_acctbal") >= 0, F.col("r_name")).otherwise(" ").alias("event_borough"),
+    )
+
+
+def inputs(spark: SparkSession, folder: str) -> Inputs:
+    return Inputs(rides(spark, folder), stations(spark, folder), permits(spark, folder), weather(spark, folder))
+
+
+def points(spark: SparkSession, folder: str) -> DataFrame:
+    """The first two embedding dimensions as positions."""
+    return table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("point_id"),
+        F.element_at("embedding", 1).cast("double").alias("longitude"),
+        F.element_at("embedding", 2).cast("double").alias("latitude"),
+    )
+
+
+# Test shapes over the range of the embeddings: concave, with a hole, overlapping, multi-part, oblique.
+SHAPES = (
+    ("Bronx", "Polygon", [[[-0.3, -0.3], [0.0, -0.3], [0.0, 0.0], [-0.15, -0.2], [-0.3, 0.0], [-0.3, -0.3]]]),
+    (
+        "Brooklyn",
+        "Polygon",
+        [
+            [[0.0, 0.0], [0.25, 0.0], [0.25, 0.25], [0.0, 0.25], [0.0, 0.0]],
+            [[0.05, 0.05], [0.05, 0.15], [0.15, 0.15], [0.15, 0.05], [0.05, 0.05]],
+        ],
+    ),
+    ("Manhattan", "Polygon", [[[0.02, -0.2], [0.3, -0.2], [0.3, 0.12], [0.02, 0.12], [0.02, -0.2]]]),
+    (
+        "Queens",
+        "MultiPolygon",
+        [
+            [[[-0.4, 0.3], [-0.1, 0.3], [-0.25, 0.1], [-0.4, 0.3]]],
+            [[[-0.1, 0.02], [-0.02, 0.02], [-0.06, 0.2], [-0.1, 0.02]]],
+        ],
+    ),
+    ("Staten Island", "Polygon", [[[-0.2, -0.15], [-0.05, -0.05], [-0.1, 0.1], [-0.25, 0.0], [-0.2, -0.15]]]),
+)
+
+
+def polygons(spark: SparkSession) -> DataFrame:
+    rows = [(i, {"boroname": n}, {"type": kind, "coordinates": json.dumps(c)}) for i, (n, kind, c) in enumerate(SHAPES)]
+    features = spark.createDataFrame(
+        rows, "pos int, properties map<string,string>, geometry struct<type:string,coordinates:string>"
+    ).select("pos", F.struct("properties", "geometry").alias("feature"))
+    return polygons_from_features(features, F.col("feature"), F.col("pos"))
+
+
+def _file_name(doc: Column) -> Column:
+    return F.concat(F.lit("doc_"), F.lpad(doc.cast("string"), 12, "0"))
+
+
+def expected_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as a file that should be landed."""
+    return table(spark, folder, "documents").select(
+        "source", _file_name(F.col("doc_id")).alias("filename"), F.lit("current").alias("dataset_id")
+    )
+
+
+def _entry(run_date: Column, size: Column, dataset: Column, landed_at: Column) -> list[Column]:
+    values = {
+        "source": F.col("source"),
+        "filename": _file_name(F.col("doc_id")),
+        "run_date": run_date,
+        "path": F.concat(F.lit("/raw/"), "source", F.lit("/"), run_date, F.lit("/"), _file_name(F.col("doc_id"))),
+        "size_bytes": size.cast("bigint"),
+        "dataset_id": dataset,
+        "downloaded_at": landed_at,
+    }
+    return [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER.fields]
+
+
+def landed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents as ledger entries: quality 0 landed empty, toxic ones came from an old dataset."""
+    joined = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    day = F.lit("2024-01-01")
+    dataset = F.when(F.col("toxic") == 1, "previous").when(F.col("lang") == "en", "current")
+    return joined.select(*_entry(day, F.col("n_chars") * F.col("quality"), dataset, F.concat(day, F.lit("T00:00:00Z"))))
+
+
+def documents_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A later run that landed every non-English document twice, the second time complete."""
+    docs = table(spark, folder, "documents").filter(F.col("lang") != "en")
+    day = F.lit("2024-02-01")
+    first = docs.select(*_entry(day, F.lit(0), F.lit("current"), F.concat(day, F.lit("T01:00:00Z"))))
+    second = docs.select(
+        *_entry(day, F.octet_length("text"), F.lit("current"), F.concat(day, F.lit("T02:00:00Z")))
+    )
+    return first.unionByName(second)
+
+
+def ride_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as rows of monthly part files, one part per status."""
+    month = F.date_format("o_orderdate", "yyyyMM")
+    return table(spark, folder, "orders").select(
+        "o_orderkey", F.concat(month, F.lit("-part_"), "o_orderstatus", F.lit(".csv")).alias("filename")
+    )
+
+
+def ingest_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as single-file results of landing runs."""
+    value = F.col("value").cast("decimal(12,2)")
+    return table(spark, folder, "events").select(
+        F.col("event_type").alias("source"),
+        F.when(value >= 10, 1).otherwise(0).cast("bigint").alias("new_files"),
+        F.when(value < 10, 1).otherwise(0).cast("bigint").alias("skipped_files"),
+        F.floor(value * 100).cast("bigint").alias("bytes_pulled"),
+        F.when(value < 0.2, 1).otherwise(0).cast("bigint").alias("errors"),
+        F.when(value >= 300, 2).otherwise(0).cast("bigint").alias("retries"),
+    )
+
+
+def weather_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations as JSON documents in a text column."""
+    rows = weather_long(spark, folder)
+    result = F.struct("date", "datatype", "value")
+    document = F.struct(F.lit("USW00094728").alias("station"), F.array(result).alias("results"))
+    return rows.select(EVENT_ORDER, F.to_json(document).alias("document"))
