@@ -1,51 +1,53 @@
-"""Local wall-clock timestamps in New York civil time, at millisecond precision."""
+"""Local wall-clock timestamps in New York civil time, at millisecond precision.
+
+A wall clock is held as a ``timestamp`` that shows the local time as if it were UTC. Nothing here
+depends on the session time zone.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.schemas import LOCAL_ZONE
 
-_UTC = "UTC"
-
-# Fixed formats of the input texts.
-RIDE_CLOCK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?!\d)"
-ISO_CLOCK = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?!\d)"
-FRACTION = r"^.{19}\.(\d{1,9})(?!\d)"
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters read instead of repeating.
 
-def local_clock(text: Column, pattern: str = RIDE_CLOCK) -> Column:
-    """Wall clock to the second, or null when malformed or not a calendar date."""
-    return F.when(text.rlike(pattern), F.substring(text, 1, 19).try_cast("timestamp_ntz"))
+    A filter on a plain projected column is moved below the projection together with a copy of the
+    whole expression, once per mention. A filter on a generated column stays above its generator.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
-def to_utc(clock: Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.convert_timezone(F.lit(zone), F.lit(_UTC), clock)
+def wall_clock(text: Column, separator: str = " ") -> Column:
+    """The first nineteen characters, ``yyyy-MM-dd HH:mm:ss``, as a wall clock; null when not a valid date and time."""
+    shaped = (F.substring(text, 11, 1) == separator) & (F.substring(text, 14, 1) == ":") & (F.substring(text, 17, 1) == ":")
+    return F.when(shaped, F.concat(F.substring(text, 1, 19), F.lit("Z")).try_cast("timestamp"))
 
 
-def valid_instant(clock: Column, zone: str = LOCAL_ZONE) -> Column:
-    """UTC instant of a wall clock; null for a clock time skipped by the spring change."""
-    utc = to_utc(clock, zone)
-    return F.when(F.convert_timezone(F.lit(_UTC), F.lit(zone), utc) == clock, utc)
+def exists_locally(wall: Column, utc: Column, zone: str = LOCAL_ZONE) -> Column:
+    """False for a wall clock that the spring change skips, null for a null one."""
+    return F.from_utc_timestamp(utc, zone) == wall
 
 
 def fraction_ms(text: Column) -> Column:
     """Digits after the second read as a whole number of milliseconds: 0 if absent, null above 999."""
-    digits = F.regexp_extract(text, FRACTION, 1)
-    millis = F.when(digits != "", digits.cast("int"))
-    return F.when(F.substring(text, 20, 1) == ".", F.when(millis <= 999, millis)).otherwise(F.lit(0))
-
-
-def epoch_ms(text: Column, pattern: str = RIDE_CLOCK, zone: str = LOCAL_ZONE) -> Column:
-    """Epoch milliseconds of a ride timestamp, null when it is not valid."""
-    instant = valid_instant(local_clock(text, pattern), zone)
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), instant)
-    return seconds * 1000 + fraction_ms(text)
+    millis = F.substring(text, 21, 10).try_cast("int")
+    return F.when(F.substring(text, 20, 1) == ".", F.when(millis.between(0, 999), millis)).otherwise(F.lit(0))
 
 
-def duration_ms(start: Column, end: Column, zone: str = LOCAL_ZONE) -> Column:
-    return epoch_ms(end, zone=zone) - epoch_ms(start, zone=zone)
+def with_duration_ms(df: DataFrame, start: str, end: str, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Add ``duration_ms`` between two ride timestamps, null unless both are valid."""
+    ends = {"s": F.trim(start), "e": F.trim(end)}
+    walls = df.withColumns({f"_wall_{k}": wall_clock(text) for k, text in ends.items()})
+    utcs = walls.withColumns({f"_utc_{k}": F.to_utc_timestamp(f"_wall_{k}", zone) for k in ends})
+    valid = exists_locally(F.col("_wall_s"), F.col("_utc_s"), zone) & exists_locally(F.col("_wall_e"), F.col("_utc_e"), zone)
+    millis = {k: F.unix_millis(f"_utc_{k}") + fraction_ms(text) for k, text in ends.items()}
+    timed = compute_once(utcs, duration_ms=F.when(valid, millis["e"] - millis["s"]))
+    return timed.drop("_wall_s", "_wall_e", "_utc_s", "_utc_e")
 
 
 def minutes_2dp(millis: Column) -> Column:
@@ -59,11 +61,12 @@ def ride_date(text: Column) -> Column:
     return F.substring(text, 1, 10)
 
 
-def iso_date(text: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Local date of an ISO timestamp; fraction and trailing Z are ignored, null when not valid."""
-    whole = F.regexp_replace(F.regexp_replace(text, r"(?s)(?<!^)\..*$", ""), r"Z$", "")
-    clock = local_clock(whole, ISO_CLOCK)
-    return F.when(valid_instant(clock, zone).isNotNull(), clock.cast("date"))
+def with_iso_date(df: DataFrame, text: Column, name: str = "date", zone: str = LOCAL_ZONE) -> DataFrame:
+    """Add the local date of an ISO timestamp, null when not valid; fraction and ``Z`` are ignored."""
+    wall = df.withColumn("_wall", wall_clock(text, "T"))
+    exists = exists_locally(F.col("_wall"), F.to_utc_timestamp("_wall", zone), zone)
+    day = F.when(exists, F.substring(text, 1, 10).try_cast("date"))
+    return compute_once(wall, **{name: day}).drop("_wall")
 
 
 def month_bounds(yyyymm: Column) -> tuple[Column, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pedalgrid.functions.timeparse import duration_ms, iso_date, minutes_2dp, ride_date
+from pedalgrid.functions.timeparse import minutes_2dp, ride_date, with_duration_ms, with_iso_date
 from pedalgrid.schemas import (
     CORRUPT,
     EVENT_DECISIONS,
@@ -36,8 +36,7 @@ def tag_rides(rides: DataFrame) -> DataFrame:
         .when(millis > MAX_RIDE_MINUTES * _MS_PER_MINUTE, "dropped_too_long")
         .otherwise("kept")
     )
-    timed = rides.withColumn("duration_ms", duration_ms(F.trim("started_at"), F.trim("ended_at")))
-    return timed.withColumn("decision", decision)
+    return with_duration_ms(rides, "started_at", "ended_at").withColumn("decision", decision)
 
 
 def kept_rides(rides: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def tag_events(events: DataFrame) -> DataFrame:
         .otherwise("kept")
     )
     return (
-        events.withColumn("date", iso_date(start))
+        with_iso_date(events, start)
         .withColumn("borough", borough)
         .withColumn("type", F.trim(F.coalesce("event_type", F.lit(""))))
         .withColumn("decision", decision)

@@ -35,6 +35,16 @@ def read_inputs(
     )
 
 
+def measured_lookup(stations: DataFrame) -> DataFrame:
+    """The station lookup as a written table.
+
+    Spark guesses the size of an aggregation from its input, and a guess that is too high would
+    shuffle every ride. The size of the written table is known: Spark broadcasts it when that is
+    under ``spark.sql.autoBroadcastJoinThreshold``, and only then.
+    """
+    return staged(clean.station_lookup(stations), "stations")
+
+
 def daily_table(inputs: Inputs) -> DataFrame:
     """Table T2 as one lazy plan: rides are read once and never shuffled row by row."""
     rides = daily.daily_rides_from_kept(clean.kept_rides(inputs.rides), clean.station_lookup(inputs.stations))
@@ -69,7 +79,7 @@ def write_clean_rides(rides: DataFrame, stations: DataFrame, path: str, fmt: str
     """Write T1 and return the quality counters of the same pass over the input."""
     observation = Observation("ride_quality")
     tagged = clean.observe_quality(clean.tag_rides(rides), observation)
-    t1 = clean.assign_borough(clean.project_kept(tagged), clean.station_lookup(stations))
+    t1 = clean.assign_borough(clean.project_kept(tagged), measured_lookup(stations))
     writers.write_stage(t1, "T1", path, fmt)
     return {label: observation.get[label] for label in RIDE_DECISIONS}
 

@@ -40,7 +40,7 @@ def _tagged(spark, d):
 
 
 def _lookup(spark, d):
-    return clean.station_lookup(warehouse.stations(spark, d))
+    return demand.measured_lookup(warehouse.stations(spark, d))
 
 
 def _t1(spark, d):
