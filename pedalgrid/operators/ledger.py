@@ -95,13 +95,11 @@ def ledger_size(ledger: DataFrame) -> DataFrame:
 
 
 def ingest_summary(log: DataFrame) -> DataFrame:
-    """Totals per source and a TOTAL row."""
+    """Totals per source and a TOTAL row, which is there even when nothing ran."""
     per_source = log.groupBy("source").agg(*[F.sum(c).alias(c) for c in SUMMARY])
-    rolled = per_source.rollup("source").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in SUMMARY], F.grouping("source").alias("_all")
-    )
-    name = F.when(F.col("_all") == 1, "TOTAL").otherwise(F.col("source"))
-    return rolled.select(name.alias("source"), *[F.coalesce(c, F.lit(0)).alias(c) for c in SUMMARY])
+    total = per_source.agg(*[F.sum(c).cast("bigint").alias(c) for c in SUMMARY])
+    rows = per_source.unionByName(total.select(F.lit("TOTAL").alias("source"), *SUMMARY))
+    return rows.select("source", *[F.coalesce(c, F.lit(0)).alias(c) for c in SUMMARY])
 
 
 def run_sources(spark: SparkSession, jobs: Mapping[str, Callable[[], Mapping[str, int]]]) -> DataFrame:
