@@ -12,42 +12,46 @@ from pyspark.sql import functions as F
 from pedalgrid.schemas import LOCAL_ZONE
 
 
-def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that later filters read instead of repeating.
+def compute_once(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns, given as SQL, that later filters read instead of repeating.
 
     A filter on a plain projected column is moved below the projection together with a copy of the
     whole expression, once per mention. A filter on a generated column stays above its generator.
     """
-    row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+    row = ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
+    return df.selectExpr("*", f"inline(array(struct({row})))")
 
 
-def wall_clock(text: Column, separator: str = " ") -> Column:
+def wall_clock(text: str, separator: str = " ") -> str:
     """The first nineteen characters, ``yyyy-MM-dd HH:mm:ss``, as a wall clock; null when not a valid date and time."""
-    shaped = (F.substring(text, 11, 1) == separator) & (F.substring(text, 14, 1) == ":") & (F.substring(text, 17, 1) == ":")
-    return F.when(shaped, F.concat(F.substring(text, 1, 19), F.lit("Z")).try_cast("timestamp"))
+    return (
+        f"CASE WHEN substring({text}, 11, 1) = '{separator}' AND substring({text}, 14, 1) = ':' AND substring({text}, 17, 1) = ':'"
+        f" THEN try_cast(concat(substring({text}, 1, 19), 'Z') AS timestamp) END"
+    )
 
 
-def exists_locally(wall: Column, utc: Column, zone: str = LOCAL_ZONE) -> Column:
+def exists_locally(wall: str, utc: str, zone: str = LOCAL_ZONE) -> str:
     """False for a wall clock that the spring change skips, null for a null one."""
-    return F.from_utc_timestamp(utc, zone) == wall
+    return f"from_utc_timestamp({utc}, '{zone}') = {wall}"
 
 
-def fraction_ms(text: Column) -> Column:
+def fraction_ms(text: str) -> str:
     """Digits after the second read as a whole number of milliseconds: 0 if absent, null above 999."""
-    millis = F.substring(text, 21, 10).try_cast("int")
-    return F.when(F.substring(text, 20, 1) == ".", F.when(millis.between(0, 999), millis)).otherwise(F.lit(0))
+    millis = f"try_cast(substring({text}, 21, 10) AS int)"
+    return f"CASE WHEN substring({text}, 20, 1) <> '.' THEN 0 WHEN {millis} BETWEEN 0 AND 999 THEN {millis} END"
 
 
 def with_duration_ms(df: DataFrame, start: str, end: str, zone: str = LOCAL_ZONE) -> DataFrame:
     """Add ``duration_ms`` between two ride timestamps, null unless both are valid."""
-    ends = {"s": F.trim(start), "e": F.trim(end)}
-    walls = df.withColumns({f"_wall_{k}": wall_clock(text) for k, text in ends.items()})
-    utcs = walls.withColumns({f"_utc_{k}": F.to_utc_timestamp(f"_wall_{k}", zone) for k in ends})
-    valid = exists_locally(F.col("_wall_s"), F.col("_utc_s"), zone) & exists_locally(F.col("_wall_e"), F.col("_utc_e"), zone)
-    millis = {k: F.unix_millis(f"_utc_{k}") + fraction_ms(text) for k, text in ends.items()}
-    timed = compute_once(utcs, duration_ms=F.when(valid, millis["e"] - millis["s"]))
-    return timed.drop("_wall_s", "_wall_e", "_utc_s", "_utc_e")
+    texts = df.selectExpr("*", f"trim({start}) AS _s", f"trim({end}) AS _e")
+    walls = texts.selectExpr("*", f"{wall_clock('_s')} AS _wall_s", f"{wall_clock('_e')} AS _wall_e")
+    utcs = walls.selectExpr(
+        "*", f"to_utc_timestamp(_wall_s, '{zone}') AS _utc_s", f"to_utc_timestamp(_wall_e, '{zone}') AS _utc_e"
+    )
+    valid = f"{exists_locally('_wall_s', '_utc_s', zone)} AND {exists_locally('_wall_e', '_utc_e', zone)}"
+    millis = f"unix_millis(_utc_e) - unix_millis(_utc_s) + ({fraction_ms('_e')}) - ({fraction_ms('_s')})"
+    timed = compute_once(utcs, duration_ms=f"CASE WHEN {valid} THEN {millis} END")
+    return timed.drop("_s", "_e", "_wall_s", "_wall_e", "_utc_s", "_utc_e")
 
 
 def minutes_2dp(millis: Column) -> Column:
@@ -61,12 +65,12 @@ def ride_date(text: Column) -> Column:
     return F.substring(text, 1, 10)
 
 
-def with_iso_date(df: DataFrame, text: Column, name: str = "date", zone: str = LOCAL_ZONE) -> DataFrame:
+def with_iso_date(df: DataFrame, text: str, name: str = "date", zone: str = LOCAL_ZONE) -> DataFrame:
     """Add the local date of an ISO timestamp, null when not valid; fraction and ``Z`` are ignored."""
-    wall = df.withColumn("_wall", wall_clock(text, "T"))
-    exists = exists_locally(F.col("_wall"), F.to_utc_timestamp("_wall", zone), zone)
-    day = F.when(exists, F.substring(text, 1, 10).try_cast("date"))
-    return compute_once(wall, **{name: day}).drop("_wall")
+    wall = df.selectExpr("*", f"trim({text}) AS _iso").selectExpr("*", f"{wall_clock('_iso', 'T')} AS _wall")
+    exists = exists_locally("_wall", f"to_utc_timestamp(_wall, '{zone}')", zone)
+    dated = compute_once(wall, **{name: f"CASE WHEN {exists} THEN try_cast(substring(_iso, 1, 10) AS date) END"})
+    return dated.drop("_iso", "_wall")
 
 
 def month_bounds(yyyymm: Column) -> tuple[Column, Column]:

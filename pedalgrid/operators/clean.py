@@ -82,20 +82,14 @@ def clean_rides(rides: DataFrame, lookup: DataFrame) -> DataFrame:
 def tag_events(events: DataFrame) -> DataFrame:
     """Every permit with its local ``date``, trimmed borough and type, and a decision."""
     short = short_row("event_borough", 7) if CORRUPT in events.columns else F.lit(False)
-    start = F.trim(F.coalesce("start_date_time", F.lit("")))
-    borough = F.trim(F.coalesce("event_borough", F.lit("")))
     decision = (
         F.when(short, "dropped_short_row")
-        .when((start == "") | (borough == ""), "dropped_empty")
+        .when(_blank(F.col("start_date_time")) | (F.col("borough") == ""), "dropped_empty")
         .when(F.col("date").isNull(), "dropped_bad_timestamp")
         .otherwise("kept")
     )
-    return (
-        with_iso_date(events, start)
-        .withColumn("borough", borough)
-        .withColumn("type", F.trim(F.coalesce("event_type", F.lit(""))))
-        .withColumn("decision", decision)
-    )
+    trimmed = events.selectExpr("*", "trim(coalesce(event_borough, '')) AS borough", "trim(coalesce(event_type, '')) AS type")
+    return with_iso_date(trimmed, "start_date_time").withColumn("decision", decision)
 
 
 def clean_events(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.functions.measures import average_2dp
@@ -33,81 +33,71 @@ def usable_days(t2: DataFrame) -> DataFrame:
 
 def ols_moments(t2: DataFrame) -> DataFrame:
     """The fifteen sums that determine the fit, exact decimals, one row per borough."""
-    y = F.col("total_rides").cast("decimal(14,0)")
-    x = {p: F.col(p).cast("decimal(7,2)") for p in PREDICTORS}
-    sums = [F.count("*").alias("n")]
-    sums += [F.sum(x[p]).alias(f"s_{p}") for p in PREDICTORS]
-    sums += [F.sum(x[p] * x[p]).alias(f"s_{p}_{p}") for p in PREDICTORS]
-    sums += [F.sum(x[p] * x[q]).alias(f"s_{p}_{q}") for p, q in _PAIRS]
-    sums += [F.sum(y).alias("s_y")]
-    sums += [F.sum(x[p] * y).alias(f"s_{p}_y") for p in PREDICTORS]
-    sums += [F.sum(y * y).alias("s_y_y")]
-    return usable_days(t2).groupBy("borough").agg(*sums)
-
-
-def _centred(cross: str, a: str, b: str) -> Column:
-    """Sum of products about the means: (n * Sab - Sa * Sb) / n, the numerator exact."""
-    wide = {"s_y_y": "decimal(28,0)"}.get(cross, "decimal(26,2)" if cross.endswith("_y") else "decimal(26,4)")
-    scaled = F.col(cross).cast(wide) * F.col("n").cast("decimal(9,0)") - _plain_sum(a) * _plain_sum(b)
-    return scaled.cast("double") / F.col("n")
+    numbers = usable_days(t2).selectExpr(
+        "borough", *[f"cast({p} AS decimal(7,2)) AS {p}" for p in PREDICTORS], "cast(total_rides AS decimal(14,0)) AS y"
+    )
+    products = [(p, p) for p in PREDICTORS] + list(_PAIRS) + [(p, "y") for p in PREDICTORS] + [("y", "y")]
+    return numbers.groupBy("borough").agg(
+        F.expr("count(*) AS n"),
+        *[F.expr(f"sum({v}) AS s_{v}") for v in (*PREDICTORS, "y")],
+        *[F.expr(f"sum({a} * {b}) AS s_{a}_{b}") for a, b in products],
+    )
 
 
-def _plain_sum(name: str) -> Column:
-    return F.col(name).cast("decimal(18,0)" if name == "s_y" else "decimal(14,2)")
+def _centred(a: str, b: str) -> str:
+    """Sum of products about the means: (n * Sab - Sa * Sb) / n, the numerator exact."""
+    places = 4 - 2 * (a, b).count("y")
+    plain = {v: f"cast(s_{v} AS {'decimal(18,0)' if v == 'y' else 'decimal(14,2)'})" for v in (a, b)}
+    wide = "decimal(28,0)" if places == 0 else f"decimal(26,{places})"
+    return f"cast(cast(s_{a}_{b} AS {wide}) * cast(n AS decimal(9,0)) - {plain[a]} * {plain[b]} AS double) / n"
 
 
 def _solve(moments: DataFrame) -> DataFrame:
-    """Coefficients, residual error and the branch each borough took."""
-    c = F.col
-    centred = {f"c_{p}": _centred(f"s_{p}_{p}", f"s_{p}", f"s_{p}") for p in PREDICTORS}
-    centred |= {f"c_{p}_{q}": _centred(f"s_{p}_{q}", f"s_{p}", f"s_{q}") for p, q in _PAIRS}
-    centred |= {f"c_{p}_y": _centred(f"s_{p}_y", f"s_{p}", "s_y") for p in PREDICTORS}
-    centred["c_y"] = _centred("s_y_y", "s_y", "s_y")
-    df = moments.select("*", *[expr.alias(name) for name, expr in centred.items()])
-
-    # A predictor without variance gets the scale 0: it correlates with nothing and its beta is 0.
-    df = df.select(
-        "*",
-        *[F.when(c(f"c_{p}") > MIN_VARIANCE, 1 / F.sqrt(c(f"c_{p}"))).otherwise(F.lit(0.0)).alias(f"w_{p}") for p in PREDICTORS],
+    """Coefficients, residual error and the branch each borough took.
+
+    Names of the steps: ``c`` centred sums, ``w`` one over the root of a centred square, ``r``
+    correlations between predictors, ``t`` the scaled right-hand side.
+    """
+    squares = [(p, p) for p in PREDICTORS] + [("y", "y")]
+    crosses = list(_PAIRS) + [(p, "y") for p in PREDICTORS]
+    centred = moments.selectExpr("*", *[f"{_centred(a, b)} AS c_{a}_{b}" for a, b in squares + crosses])
+    # A predictor without variance gets the weight 0: it correlates with nothing and its beta is 0.
+    weighted = centred.selectExpr(
+        "*", *[f"CASE WHEN c_{p}_{p} > {MIN_VARIANCE} THEN 1 / sqrt(c_{p}_{p}) ELSE 0D END AS w_{p}" for p in PREDICTORS]
     )
-    df = df.select(
+    scaled = weighted.selectExpr(
         "*",
-        *[(c(f"c_{p}_{q}") * c(f"w_{p}") * c(f"w_{q}")).alias(f"r_{p}_{q}") for p, q in _PAIRS],
-        *[(c(f"c_{p}_y") * c(f"w_{p}")).alias(f"t_{p}") for p in PREDICTORS],
+        "c_temp_precip * w_temp * w_precip AS r12",
+        "c_temp_snow * w_temp * w_snow AS r13",
+        "c_precip_snow * w_precip * w_snow AS r23",
+        *[f"c_{p}_y * w_{p} AS t{i}" for i, p in enumerate(PREDICTORS, 1)],
     )
-
-    r12, r13, r23 = (c(f"r_{p}_{q}") for p, q in _PAIRS)
-    determinant = 1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23
-    branch = (
-        F.when(c("n") < MIN_SAMPLES, "fallback_too_few_samples")
-        .when(c("det") < SINGULAR, "fallback_singular")
-        .otherwise("fitted")
+    determined = scaled.selectExpr("*", "1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23 AS det").selectExpr(
+        "*",
+        f"CASE WHEN n < {MIN_SAMPLES} THEN 'fallback_too_few_samples' WHEN det < {SINGULAR} THEN 'fallback_singular'"
+        " ELSE 'fitted' END AS branch",
     )
-    df = df.withColumn("det", determinant).withColumn("branch", branch)
-
-    t1, t2, t3 = (c(f"t_{p}") for p in PREDICTORS)
-    inverse = {
-        "temp": t1 * (1 - r23 * r23) + t2 * (r13 * r23 - r12) + t3 * (r12 * r23 - r13),
-        "precip": t1 * (r13 * r23 - r12) + t2 * (1 - r13 * r13) + t3 * (r12 * r13 - r23),
-        "snow": t1 * (r12 * r23 - r13) + t2 * (r12 * r13 - r23) + t3 * (1 - r12 * r12),
+    adjugate = {
+        "temp": "t1 * (1 - r23 * r23) + t2 * (r13 * r23 - r12) + t3 * (r12 * r23 - r13)",
+        "precip": "t1 * (r13 * r23 - r12) + t2 * (1 - r13 * r13) + t3 * (r12 * r13 - r23)",
+        "snow": "t1 * (r12 * r23 - r13) + t2 * (r12 * r13 - r23) + t3 * (1 - r12 * r12)",
     }
-    fitted = c("branch") == "fitted"
-    df = df.select(
-        "*",
-        *[F.when(fitted, inverse[p] / c("det") * c(f"w_{p}")).otherwise(F.lit(0.0)).alias(f"b_{p}") for p in PREDICTORS],
+    slopes = determined.selectExpr(
+        "*", *[f"CASE WHEN branch = 'fitted' THEN ({adjugate[p]}) / det * w_{p} ELSE 0D END AS b_{p}" for p in PREDICTORS]
+    )
+    explained = " + ".join(f"b_{p} * c_{p}_y" for p in PREDICTORS)
+    at_means = " + ".join(f"b_{p} * cast(s_{p} AS double)" for p in PREDICTORS)
+    fitted = slopes.selectExpr(
+        "*", f"(cast(s_y AS double) - ({at_means})) / n AS intercept", f"sqrt(greatest(c_y_y - ({explained}), 0D) / n) AS error"
     )
-    explained = sum((c(f"b_{p}") * c(f"c_{p}_y") for p in PREDICTORS), F.lit(0.0))
-    slope_part = sum((c(f"b_{p}") * c(f"s_{p}").cast("double") for p in PREDICTORS), F.lit(0.0))
-    intercept = (c("s_y").cast("double") - slope_part) / c("n")
-    error = F.sqrt(F.greatest(c("c_y") - explained, F.lit(0.0)) / c("n"))
-    return df.select(
+    is_fitted = F.col("branch") == "fitted"
+    mean = average_2dp(F.col("s_y") * 100, F.col("n"))
+    return fitted.select(
         "*",
         # Without a usable fit the intercept is the mean, to two decimals.
-        F.when(fitted, F.round(intercept, 4).cast(COEFFICIENT))
-        .otherwise(average_2dp(c("s_y") * 100, c("n")).cast(COEFFICIENT))
-        .alias("beta0"),
-        *[F.round(c(f"b_{p}"), 4).cast(COEFFICIENT).alias(f"beta{i}_{p}") for i, p in enumerate(PREDICTORS, 1)],
-        F.when(fitted, F.round(error, 2)).otherwise(F.lit(0.0)).cast(MEASURE).alias("rmse"),
+        F.when(is_fitted, F.round("intercept", 4).cast(COEFFICIENT)).otherwise(mean.cast(COEFFICIENT)).alias("beta0"),
+        *[F.round(f"b_{p}", 4).cast(COEFFICIENT).alias(f"beta{i}_{p}") for i, p in enumerate(PREDICTORS, 1)],
+        F.when(is_fitted, F.round("error", 2)).otherwise(0.0).cast(MEASURE).alias("rmse"),
     )
 
 

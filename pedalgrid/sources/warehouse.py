@@ -19,18 +19,38 @@ from pedalgrid.sources.readers import LOAD_ORDER, polygons_from_features, weathe
 SHIFT_DAYS = 60
 EVENT_ORDER = "event_id"
 
+# Declared layouts: reading a table then needs no look at its files beforehand.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _shifted(ts: Column) -> Column:
     return ts + F.expr(f"interval {SHIFT_DAYS} days")
 
 
-def _clock_text(ts: Column, whole_seconds: Column) -> Column:
-    """Wall clock with three fraction digits, or none."""
-    text = ts.cast("string")
+def _clock_text(text: Column, whole_seconds: Column) -> Column:
+    """Text of a timestamp with three fraction digits, or none."""
     fraction = F.rpad(F.substring(text, 21, 3), 3, "0")
     return F.when(whole_seconds, F.substring(text, 1, 19)).otherwise(F.concat(F.substring(text, 1, 19), F.lit("."), fraction))
 
@@ -38,9 +58,11 @@ def _clock_text(ts: Column, whole_seconds: Column) -> Column:
 def rides(spark: SparkSession, folder: str) -> DataFrame:
     """Events as raw rides of five times ``value`` minutes, all fields text as in the CSV files."""
     e = table(spark, folder, "events")
-    value = F.col("value").cast("decimal(12,2)")
-    start = F.date_trunc("millisecond", _shifted(F.col("ts"))).cast("timestamp_ntz")
-    end = start + F.make_dt_interval(secs=(value * 300).cast("decimal(18,6)"))
+    value = F.col("value")
+    coordinate = value.cast("decimal(12,2)").cast("string")
+    start = _shifted(F.col("ts"))
+    end = F.timestamp_add("SECOND", F.floor(value * 300 + 0.5).cast("int"), start)
+    e = e.withColumns({"start_text": start.cast("string"), "end_text": end.cast("string")})
     seconds_only = F.col("event_type") == "click"
     padded = F.when(F.col("event_type") == "signup", F.concat(F.lit(" "), "user_id", F.lit(" "))).otherwise(
         F.col("user_id").cast("string")
@@ -48,14 +70,14 @@ def rides(spark: SparkSession, folder: str) -> DataFrame:
     return e.select(
         F.col("event_id").cast("string").alias("ride_id"),
         F.col("event_type").alias("rideable_type"),
-        _clock_text(start, seconds_only).alias("started_at"),
-        F.when(value.between(100, 105), "n/a").otherwise(_clock_text(end, seconds_only)).alias("ended_at"),
+        _clock_text(F.col("start_text"), seconds_only).alias("started_at"),
+        F.when(value.between(100, 105), "n/a").otherwise(_clock_text(F.col("end_text"), seconds_only)).alias("ended_at"),
         F.concat(F.lit("Station "), "user_id", F.lit(", "), "event_type").alias("start_station_name"),
         F.when(~value.between(0.5, 1), padded).alias("start_station_id"),
         F.lit(None).cast("string").alias("end_station_name"),
         F.lit(None).cast("string").alias("end_station_id"),
-        F.when(F.col("event_type") == "error", "n/a").otherwise(value.cast("string")).alias("start_lat"),
-        F.concat(F.lit("-"), value.cast("string")).alias("start_lng"),
+        F.when(F.col("event_type") == "error", "n/a").otherwise(coordinate).alias("start_lat"),
+        F.concat(F.lit("-"), coordinate).alias("start_lng"),
         F.lit(None).cast("string").alias("end_lat"),
         F.lit(None).cast("string").alias("end_lng"),
         F.when(F.col("event_type").isin("purchase", "signup"), "member").otherwise("casual").alias("member_casual"),

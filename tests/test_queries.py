@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from verification.queries import QUERIES, TABLES
+from pedalgrid.sources.warehouse import TABLES
+from verification.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TYPES = {

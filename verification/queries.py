@@ -15,10 +15,6 @@ from pedalgrid.schemas import DEMAND_QUANTILES
 from pedalgrid.session import scratch_path
 from pedalgrid.sources import readers, warehouse, writers
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -345,7 +341,7 @@ def check_grain(spark, d):
 
 @query
 def row_counts(spark, d):
-    return checks.row_counts({name: warehouse.table(spark, d, name) for name in TABLES})
+    return checks.row_counts({name: warehouse.table(spark, d, name) for name in warehouse.TABLES})
 
 
 @query
