@@ -96,18 +96,18 @@ def clean_events(events: DataFrame) -> DataFrame:
     return tag_events(events).filter(F.col("decision") == "kept").select("date", "borough", "type")
 
 
+def _label_counts(labels) -> list[Column]:
+    return [F.count(F.when(F.col("decision") == label, 1)).alias(label) for label in labels]
+
+
 def quality_counts(tagged: DataFrame, labels=RIDE_DECISIONS) -> DataFrame:
-    """Rows per decision, zero for labels that do not occur."""
-    counts = tagged.groupBy("decision").agg(F.count("*").alias("n"))
-    known = tagged.sparkSession.createDataFrame([(label,) for label in labels], "decision string")
-    return known.join(counts, "decision", "left").select("decision", F.coalesce("n", F.lit(0)).alias("n"))
+    """Rows per decision, zero for labels that do not occur; each task sends one row of counters."""
+    return tagged.agg(*_label_counts(labels)).unpivot([], list(labels), "decision", "n")
 
 
 def observe_quality(tagged: DataFrame, observation: Observation, labels=RIDE_DECISIONS) -> DataFrame:
     """Count the decisions while the rows flow to a sink, so that the input is read once."""
-    return tagged.observe(
-        observation, *[F.count(F.when(F.col("decision") == label, 1)).alias(label) for label in labels]
-    )
+    return tagged.observe(observation, *_label_counts(labels))
 
 
 def event_quality_counts(events: DataFrame) -> DataFrame:

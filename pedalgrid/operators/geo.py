@@ -53,18 +53,22 @@ def _band(y: Column, height: float) -> Column:
     return F.floor(y / F.lit(height)).cast("bigint")
 
 
+def banded_edges(edges: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
+    """Edges once per horizontal band of height ``band`` that they reach."""
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    return edges.withColumn("_band", F.explode(F.sequence(_band(low, band), _band(high, band))))
+
+
 def point_in_polygon(
-    points: DataFrame, edges: DataFrame, x: str = "longitude", y: str = "latitude", band: float = DEFAULT_BAND
+    points: DataFrame, banded: DataFrame, x: str = "longitude", y: str = "latitude", band: float = DEFAULT_BAND
 ) -> DataFrame:
     """``points`` with ``borough``: the first polygon, in list order, that contains or touches the point.
 
-    The plane is cut into horizontal bands of height ``band``. A point meets the edges of its own
+    ``banded`` comes from ``banded_edges`` with the same ``band``. A point meets the edges of its own
     band only, by an equality join, and counts those crossed by the ray to its right: an odd number
     means inside, which also handles holes and multi-part shapes. Points on an edge are inside.
     Points of no polygon get ``Other``. Rows of ``points`` must be distinct.
     """
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    banded = edges.withColumn("_band", F.explode(F.sequence(_band(low, band), _band(high, band))))
     px, py = F.col(x), F.col(y)
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
@@ -84,8 +88,8 @@ def point_in_polygon(
     return best.withColumn("borough", F.coalesce("borough", F.lit(OTHER_BOROUGH)))
 
 
-def assign_stations(stations: DataFrame, edges: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
-    return point_in_polygon(stations, edges, band=band).select(*STATIONS.names)
+def assign_stations(stations: DataFrame, banded: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
+    return point_in_polygon(stations, banded, band=band).select(*STATIONS.names)
 
 
 def borough_counts(stations: DataFrame) -> DataFrame:

@@ -114,7 +114,12 @@ def export_reports(spark: SparkSession, stages: str, out: str, fmt: str = "parqu
 
 def build_stations(rides: DataFrame, polygons: DataFrame, order: str, band: float = geo.DEFAULT_BAND) -> DataFrame:
     """Station lookup with boroughs, from rides and borough polygons."""
-    return geo.assign_stations(geo.unique_stations(rides, order), geo.polygon_edges(polygons), band)
+    return geo.assign_stations(geo.unique_stations(rides, order), measured_edges(polygons, band), band)
+
+
+def measured_edges(polygons: DataFrame, band: float = geo.DEFAULT_BAND) -> DataFrame:
+    """Banded polygon edges as a written table, so that Spark broadcasts them by their real size or not at all."""
+    return staged(geo.banded_edges(geo.polygon_edges(polygons), band), "edges")
 
 
 def plan_ingest(expected: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:

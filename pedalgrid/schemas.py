@@ -181,3 +181,11 @@ LEDGER = _struct(
     ("dataset_id", _S),
     ("downloaded_at", _S),
 )
+
+# The ledger as one nested document, as older landing runs wrote it.
+_ENTRY = T.StructType(
+    [T.StructField("hdfs_path" if f.name == "path" else f.name, f.dataType) for f in LEDGER.fields[2:]]
+)
+MANIFEST = _struct(
+    ("version", _L), ("last_updated", _S), ("sources", T.MapType(_S, T.MapType(_S, _ENTRY)))
+)

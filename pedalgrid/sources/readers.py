@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from pedalgrid.schemas import (
     EVENTS_RAW,
     LEDGER,
     LEDGER_SOURCES,
+    MANIFEST,
     POLYGON_DOCUMENT,
     POLYGON_FEATURE,
     RIDES_RAW,
@@ -140,18 +142,22 @@ def json_observations(df: DataFrame, text: str, *keep: str) -> DataFrame:
     return parsed.select(*keep, F.posexplode("doc.results").alias("row", "r")).select(*keep, "row", "r.*")
 
 
-def read_stage(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """A stage table. Tab-separated rows keep trailing empty fields; rows with too few are skipped."""
+def read_stage(spark: SparkSession, name: str, path: str, fmt: str = "parquet", min_fields: int | None = None) -> DataFrame:
+    """A stage table. Tab-separated rows keep trailing empty fields.
+
+    Rows with fewer than ``min_fields`` fields (all of them, if not given) are skipped; fields that
+    are absent or not of their type are null.
+    """
     schema = STAGE_TABLES[name]
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
-    fields = F.split("value", "\t", -1)
-    rows = spark.read.text(path).select(fields.alias("f")).filter(F.size("f") >= len(schema))
-    return rows.select(
+    rows = spark.read.text(path).select(F.split("value", "\t", -1).alias("f"))
+    rows = rows.filter(F.size("f") >= (min_fields or len(schema)))
+    texts = rows.select(*[F.get("f", F.lit(i)).alias(field.name) for i, field in enumerate(schema.fields)])
+    return texts.select(
         *[
-            (F.col("f")[i] if f.dataType.typeName() == "string" else F.nullif(F.col("f")[i], F.lit("")).try_cast(f.dataType))
-            .alias(f.name)
-            for i, f in enumerate(schema.fields)
+            F.col(f.name) if f.dataType.typeName() == "string" else F.nullif(f.name, F.lit("")).try_cast(f.dataType).alias(f.name)
+            for f in schema.fields
         ]
     )
 
@@ -189,11 +195,25 @@ def polygons_from_features(features: DataFrame, feature: Column, order: Column)
 
 
 def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") -> DataFrame:
-    """The file ledger; no path means an empty one. Entries of unknown sources are ignored."""
+    """The file ledger, empty if there is none yet. Entries of unknown sources are ignored.
+
+    ``fmt="manifest"`` takes the nested JSON document ``{sources: {source: {filename: entry}}}``.
+    """
+    empty = spark.createDataFrame([], LEDGER)
     if path is None:
-        return spark.createDataFrame([], LEDGER)
-    reader = spark.read.schema(LEDGER).option("mode", "FAILFAST")
-    return reader.format(fmt).load(path).filter(F.col("source").isin(*LEDGER_SOURCES))
+        return empty
+    nested = fmt == "manifest"
+    reader = spark.read.schema(MANIFEST if nested else LEDGER).option("mode", "FAILFAST").option("multiLine", nested)
+    try:
+        loaded = reader.format("json" if nested else fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return empty
+        raise
+    if nested:
+        files = loaded.select(F.explode("sources").alias("source", "files")).select("source", F.explode("files").alias("filename", "e"))
+        loaded = files.select("source", "filename", "e.*").withColumnRenamed("hdfs_path", "path").select(*LEDGER.names)
+    return loaded.filter(F.col("source").isin(*LEDGER_SOURCES))
 
 
 def latest(ledger: DataFrame, source: str, by: str = "filename") -> DataFrame:

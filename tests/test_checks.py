@@ -75,6 +75,8 @@ def test_stage_text_is_bare(spark, tmp_path, rows):
 def test_stage_text_skips_short_rows_and_keeps_trailing_empties(spark, tmp_path, rows):
     (tmp_path / "part-0.txt").write_text("2025-06-01\tBronx\t3\t\n2025-06-01\tQueens\t4\n\n")
     assert rows(readers.read_stage(spark, "T2_events", str(tmp_path), "text")) == [(dt.date(2025, 6, 1), "Bronx", 3, "")]
+    lenient = readers.read_stage(spark, "T2_events", str(tmp_path), "text", min_fields=3)
+    assert rows(lenient, "borough", "event_count", "event_types") == [("Bronx", 3, ""), ("Queens", 4, None)]
 
 
 @pytest.mark.parametrize("limit, files", [(100, 1), (2, None)])

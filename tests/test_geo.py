@@ -72,7 +72,7 @@ def test_points(spark, polygons, band):
         ((-1.0, 1.0), "Other"),
     ]
     points = spark.createDataFrame([(i, x, y) for i, ((x, y), _) in enumerate(cases)], "id int, longitude double, latitude double")
-    got = geo.point_in_polygon(points, geo.polygon_edges(polygons), band=band).orderBy("id").collect()
+    got = geo.point_in_polygon(points, geo.banded_edges(geo.polygon_edges(polygons), band), band=band).orderBy("id").collect()
     assert [r.borough for r in got] == [name for _, name in cases]
 
 
@@ -94,7 +94,7 @@ def test_crowded_band_against_brute_force(spark):
     # A third of the points share one height, so one band is crowded.
     xy = [(random.uniform(-0.45, 0.35), 0.101 if i % 3 == 0 else random.uniform(-0.35, 0.35)) for i in range(1500)]
     points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(xy)], "id int, longitude double, latitude double")
-    got = geo.point_in_polygon(points, geo.polygon_edges(warehouse.polygons(spark)), band=0.05).orderBy("id").collect()
+    got = geo.point_in_polygon(points, geo.banded_edges(geo.polygon_edges(warehouse.polygons(spark)), 0.05), band=0.05).orderBy("id").collect()
     assert [r.borough for r in got] == [brute_force(x, y) for x, y in xy]
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import json
 
 import pytest
 
@@ -74,6 +75,30 @@ def test_snapshot(spark, tmp_path, rows, fmt):
     assert rows(ledger.ledger_size(back)) == [(2,)]
 
 
+def test_nested_manifest(spark, tmp_path, rows):
+    path = tmp_path / "manifest.json"
+    document = {
+        "version": 1,
+        "last_updated": "t",
+        "sources": {
+            "events": {"e1": {"run_date": "d", "hdfs_path": "/raw/e1", "size_bytes": 7, "dataset_id": "x", "note": 1}},
+            "noaa": {},
+            "other": {"o1": {"size_bytes": 1}},
+        },
+    }
+    path.write_text(json.dumps(document, indent=2))
+    got = readers.read_ledger(spark, str(path), "manifest")
+    assert rows(got, "source", "filename", "path", "size_bytes", "dataset_id") == [("events", "e1", "/raw/e1", 7, "x")]
+    path.write_text("{broken")
+    with pytest.raises(Exception):
+        readers.read_ledger(spark, str(path), "manifest").collect()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json", "manifest"])
+def test_absent_ledger_is_empty(spark, tmp_path, fmt):
+    assert readers.read_ledger(spark, str(tmp_path / "none"), fmt).count() == 0
+
+
 def test_corrupt_snapshot_fails(spark, tmp_path):
     (tmp_path / "part.json").write_text("{not json\n")
     with pytest.raises(Exception):

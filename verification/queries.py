@@ -197,8 +197,8 @@ def unique_stations(spark, d):
 
 
 def _located(spark, d):
-    edges = geo.polygon_edges(warehouse.polygons(spark))
-    return geo.point_in_polygon(warehouse.points(spark, d), edges, band=0.05)
+    banded = demand.measured_edges(warehouse.polygons(spark), band=0.05)
+    return geo.point_in_polygon(warehouse.points(spark, d), banded, band=0.05)
 
 
 @query
