@@ -66,9 +66,11 @@ def station_lookup(stations: DataFrame) -> DataFrame:
 def assign_borough(rides: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join on the station id, ``Other`` for unknown ones.
 
-    There is no broadcast hint: Spark broadcasts the lookup when its measured size is under
+    There is no broadcast hint: Spark broadcasts the lookup when its size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive execution splits
-    a hot station over several tasks.
+    a hot station over several tasks. Both need ``lookup`` to be a written table, as
+    ``plans.demand.measured_lookup`` makes it: an aggregation has no known size, and one between
+    shuffle and join rules the splitting out.
     """
     joined = rides.join(lookup, "start_station_id", "left")
     return joined.withColumn("borough", F.coalesce("borough", F.lit(OTHER_BOROUGH)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,7 +36,12 @@ def _ranked(hist: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def quantile_floor(
-    df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float], pages: int = 0
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    pages: int = 0,
+    measure: Callable[[DataFrame], DataFrame] = lambda table: table,
 ) -> DataFrame:
     """Exact discrete quantiles by the index ``floor(q * (n - 1))`` of the sorted values.
 
@@ -45,6 +50,10 @@ def quantile_floor(
     With ``pages`` the distinct values of a group are cut into about that many ranges at approximate
     quantiles, and only the ranges that hold a wanted rank are sorted, each on its own. The cuts only
     balance the work; the ranks come from exact counts.
+
+    The cuts and the wanted ranges are one small row set per group. With many groups pass a
+    ``measure`` that writes them as tables (``session.staged``): joins then know their size and can
+    split a hot group.
     """
     hist = _histogram(df, keys, value)
     if pages <= 1:
@@ -56,7 +65,7 @@ def quantile_floor(
     cuts = hist.filter(F.col("_n") > 0).groupBy(*keys).agg(
         F.percentile_approx(value, steps, max(1000, 10 * pages)).alias("_cuts")
     )
-    paged = hist.join(cuts, keys).select(
+    paged = hist.join(measure(cuts), keys).select(
         *keys, value, "_n", F.size(F.filter("_cuts", lambda cut: cut < F.col(value))).alias("_page")
     )
     page_totals = paged.groupBy(*keys, "_page").agg(F.sum("_n").alias("_n"))
@@ -65,7 +74,7 @@ def quantile_floor(
     hit = F.lit(False)
     for index in wanted:
         hit = hit | ((F.col("_before") <= index) & (index < F.col("_upto")))
-    spans = spans.filter(hit).select(*keys, "_page", F.col("_before").alias("_offset"), "_total")
+    spans = measure(spans.filter(hit).select(*keys, "_page", F.col("_before").alias("_offset"), "_total"))
     inside = W.partitionBy(*keys, "_page").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = (
         paged.join(spans, [*keys, "_page"])

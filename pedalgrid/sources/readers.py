@@ -195,7 +195,7 @@ def polygons_from_features(features: DataFrame, feature: Column, order: Column)
 
 
 def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") -> DataFrame:
-    """The file ledger, empty if there is none yet. Entries of unknown sources are ignored.
+    """The newest snapshot of the file ledger, empty if there is none yet; unknown sources are ignored.
 
     ``fmt="manifest"`` takes the nested JSON document ``{sources: {source: {filename: entry}}}``.
     """
@@ -213,6 +213,9 @@ def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") ->
     if nested:
         files = loaded.select(F.explode("sources").alias("source", "files")).select("source", F.explode("files").alias("filename", "e"))
         loaded = files.select("source", "filename", "e.*").withColumnRenamed("hdfs_path", "path").select(*LEDGER.names)
+    elif "snapshot" in loaded.columns:
+        newest = loaded.agg(F.max("snapshot")).first()[0]
+        loaded = loaded.filter(F.col("snapshot") == newest).select(*LEDGER.names)
     return loaded.filter(F.col("source").isin(*LEDGER_SOURCES))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +61,15 @@ def write_stations(df: DataFrame, path: str) -> None:
     out.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
-def write_ledger(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Snapshot of the ledger, sorted by key, stamped with its version and time.
+def write_ledger(df: DataFrame, root: str, fmt: str = "parquet") -> str:
+    """Save the ledger as a new snapshot below ``root``, sorted by key; returns the snapshot's folder.
 
-    Write to a new folder and not over the one ``df`` was read from.
+    Earlier snapshots stay, so ``df`` may itself come from ``root``; ``read_ledger`` takes the newest.
     """
+    moment = datetime.now(timezone.utc)
+    path = f"{root}/snapshot={moment:%Y%m%dT%H%M%S%fZ}"
     out = df.select(
-        *LEDGER.names,
-        F.lit(LEDGER_VERSION).alias("version"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_updated"),
+        *LEDGER.names, F.lit(LEDGER_VERSION).alias("version"), F.lit(f"{moment:%Y-%m-%dT%H:%M:%SZ}").alias("last_updated")
     )
-    out.orderBy("source", "filename").write.mode("errorifexists").format(fmt).save(path)
+    out.orderBy("source", "filename").write.format(fmt).save(path)
+    return path

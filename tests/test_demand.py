@@ -3,8 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from pedalgrid.operators import checks
+from pedalgrid.operators import checks, clean, daily
 from pedalgrid.plans import demand
 from pedalgrid.schemas import STAGE_TABLES
 from pedalgrid.sources import readers
@@ -81,3 +82,50 @@ def test_rides_are_scanned_once_for_w(inputs):
     assert plan.count("FileScan csv") == 3  # rides, stations, permits
     w = demand.daily_demand(inputs)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan csv" not in w  # W and its statistics read the staged days, not the rides
+
+
+def test_hot_station_with_a_lookup_too_large_to_broadcast(spark, rows):
+    """A third of all rides on one station: shuffled joins give the same tables as broadcast ones."""
+    minutes = F.col("id") % 50 + 1
+    rides = spark.range(30_000).select(
+        F.col("id").cast("string").alias("ride_id"),
+        F.lit("bike").alias("rideable_type"),
+        F.lit("2025-06-01 10:00:00").alias("started_at"),
+        F.concat(F.lit("2025-06-01 10:"), F.lpad(minutes.cast("string"), 2, "0"), F.lit(":00")).alias("ended_at"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 997).cast("string")).alias("start_station_id"),
+        F.lit("member").alias("member_casual"),
+    )
+    stations = spark.range(997).select(
+        F.col("id").cast("string").alias("start_station_id"), F.format_string("b%d", F.col("id") % 5).alias("borough")
+    )
+    stations = stations.unionByName(spark.createDataFrame([("hot", "b9")], stations.schema))
+    lookup = demand.measured_lookup(stations)
+
+    def tables():
+        kept = clean.kept_rides(rides)
+        row_level = daily.daily_rides(clean.assign_borough(kept, lookup))
+        return row_level, daily.daily_rides_from_kept(kept, lookup)
+
+    expected = [rows(t) for t in tables()]
+    assert expected[0] == expected[1]
+    assert ("b9", 10_000) in [r[1:3] for r in expected[0]]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16kb",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        shuffled = tables()
+        assert [rows(t) for t in shuffled] == expected
+        joined = clean.assign_borough(clean.kept_rides(rides), lookup)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan  # the hot station was split over tasks
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -68,11 +68,13 @@ def test_upsert_keeps_the_newest_of_the_run(spark, rows):
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_snapshot(spark, tmp_path, rows, fmt):
     df = entries(spark, entry("noaa", "b", 2, run_date="2026-01-01"), entry("events", "a", 1), entry("unknown", "c", 1))
-    path = str(tmp_path / "v1")
-    writers.write_ledger(df, path, fmt)
-    back = readers.read_ledger(spark, path, fmt)
+    root = str(tmp_path / "ledger")
+    writers.write_ledger(df, root, fmt)
+    back = readers.read_ledger(spark, root, fmt)
     assert rows(back) == rows(df.filter("source <> 'unknown'"))
     assert rows(ledger.ledger_size(back)) == [(2,)]
+    writers.write_ledger(ledger.upsert_ledger(back, entries(spark, entry("events", "a", 9, downloaded_at="t"))), root, fmt)
+    assert rows(readers.read_ledger(spark, root, fmt), "filename", "size_bytes") == [("a", 9), ("b", 2)]
 
 
 def test_nested_manifest(spark, tmp_path, rows):

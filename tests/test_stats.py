@@ -9,6 +9,7 @@ import pytest
 
 from pedalgrid.operators import enrich, regress, stats
 from pedalgrid.schemas import STAGE_TABLES
+from pedalgrid.session import staged
 
 D = Decimal
 
@@ -76,8 +77,12 @@ def reference_quantile(values, q):
     return sorted(values)[math.floor(q * (len(values) - 1))]
 
 
-@pytest.mark.parametrize("pages", [0, 4, 32])
-def test_quantiles_against_sorting(spark, pages):
+def same(df):
+    return df
+
+
+@pytest.mark.parametrize("pages, measure", [(0, same), (4, same), (32, same), (8, lambda df: staged(df, "quantiles"))])
+def test_quantiles_against_sorting(spark, pages, measure):
     random.seed(5)
     groups = {
         "hot": [int(random.expovariate(0.01)) for _ in range(4000)],
@@ -88,7 +93,7 @@ def test_quantiles_against_sorting(spark, pages):
     }
     df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("hot", None)], "k string, v bigint")
     quantiles = {"a": 0.0, "b": 0.2, "c": 0.33, "d": 0.4, "e": 0.66, "f": 0.8, "g": 1.0}
-    got = {r.k: r for r in stats.quantile_floor(df, ["k"], "v", quantiles, pages).collect()}
+    got = {r.k: r for r in stats.quantile_floor(df, ["k"], "v", quantiles, pages, measure).collect()}
     assert set(got) == set(groups)
     for k, vs in groups.items():
         for name, q in quantiles.items():
