@@ -67,8 +67,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "permits": (
         (),
         f"""
-        SELECT *, CASE WHEN NOT blank_start AND NOT blank_borough AND {_valid('clock')} THEN CAST(clock AS DATE) END AS ok_date,
-               CASE WHEN NOT blank_start AND {_valid('clock')} THEN CAST(clock AS DATE) END AS date,
+        SELECT *, CASE WHEN NOT blank_start AND {_valid('clock')} THEN CAST(clock AS DATE) END AS date,
                CASE WHEN blank_start OR blank_borough THEN 'dropped_empty'
                     WHEN NOT {_valid('clock')} THEN 'dropped_bad_timestamp' ELSE 'kept' END AS decision
         FROM (SELECT o_orderkey, c_acctbal > 9500 AS blank_start, c_acctbal < 0 AS blank_borough,
@@ -320,13 +319,12 @@ EVENT_LABELS = "(VALUES ('dropped_short_row'), ('dropped_empty'), ('dropped_bad_
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 _Q = "list_sort(list(minutes))[CAST(floor(CAST({} AS DOUBLE) * (count(*) - 1)) AS INT) + 1]"
-_X = {"temp": "temp", "precip": "precip", "snow": "snow"}
+_X = ("temp", "precip", "snow")
 
 
 def _moment(a: str, b: str | None = None) -> str:
     factor = f"CAST({a} AS DECIMAL(9,2))" if b is None else f"CAST({a} AS DECIMAL(9,2)) * CAST({b} AS DECIMAL(9,2))"
-    name = f"s_{a}" if b is None else f"s_{a}_{b}"
-    return f"CAST(sum({factor}) AS DOUBLE) AS {name}".replace("total_rides", "y", 0)
+    return f"CAST(sum({factor}) AS DOUBLE) AS {f's_{a}' if b is None else f's_{a}_{b}'}"
 
 
 ORACLE: dict[str, str] = {
@@ -366,7 +364,7 @@ ORACLE: dict[str, str] = {
         "SELECT borough, count(*) AS n, "
         + ", ".join(_moment(a) for a in _X)
         + ", "
-        + ", ".join(_moment(a, b) for a, b in (("temp", "temp"), ("precip", "precip"), ("snow", "snow")))
+        + ", ".join(_moment(a, a) for a in _X)
         + ", "
         + ", ".join(_moment(a, b) for a, b in (("temp", "precip"), ("temp", "snow"), ("precip", "snow")))
         + ", CAST(sum(total_rides) AS DOUBLE) AS s_y, "
