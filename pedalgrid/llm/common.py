@@ -105,13 +105,22 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def words(raw: np.ndarray, borders: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each word (no blank in it); A-Z count as a-z when ``lower``."""
+#: Bytes between words when marks count as blanks: all of ASCII but letters and digits.
+_MARK = np.zeros(256, bool)
+_MARK[:128] = True
+_MARK[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+
+
+def words(raw: np.ndarray, borders: np.ndarray, marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of each run of bytes without a blank; A-Z count as a-z.
+
+    With ``marks``, ASCII marks and controls part words as blanks do.
+    """
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    raw = _LOWER[raw] if lower else raw
-    inner = ~_BLANK[raw]
+    raw = _LOWER[raw]
+    inner = ~(_MARK if marks else _BLANK)[raw]
     first = inner.copy()
     first[1:] &= ~inner[:-1]
     cut = borders[:-1][borders[:-1] < n]

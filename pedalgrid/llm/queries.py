@@ -4,23 +4,56 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pedalgrid.llm import exact_dedup, token_orc
+from pedalgrid.llm import decontam, exact_dedup, lang_id, pii, quality, sentencepiece_fst, token_orc
 from pedalgrid.llm.common import table
 from pedalgrid.session import scratch_path
 
 
+def op1_language(spark, d):
+    return lang_id.classify(table(spark, d, "documents"))
+
+
 def op4_exact_dedup(spark, d):
     early, late = exact_dedup.halves(table(spark, d, "documents"))
     return exact_dedup.decide(late, early)
 
 
+def op6_quality(spark, d):
+    return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op7_decontaminate(spark, d):
+    return decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op8_sentencepiece(spark, d):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sentencepiece_fst.encode(table(spark, d, "documents"), model)
+    return sentencepiece_fst.decode(coded, model, keep_text=False)
+
+
+def op9_personal_data(spark, d):
+    return pii.digest(pii.find(table(spark, d, "documents")))
+
+
 def op10_token_orc(spark, d):
     path = scratch_path(spark, "tokens")
     token_orc.write_tokens(table(spark, d, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_orc.summary(token_orc.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op10_token_orc)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language,
+        op4_exact_dedup,
+        op6_quality,
+        op7_decontaminate,
+        op8_sentencepiece,
+        op9_personal_data,
+        op10_token_orc,
+    )
+}
 
 #: SQL for the same rows, where SQL can say it.
 ORACLE = {
