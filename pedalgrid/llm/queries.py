@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pedalgrid.llm import decontam, exact_dedup, lang_id, pii, quality, sentencepiece_fst, token_orc
+from pedalgrid.llm import decontam, exact_dedup, lang_id, lm_score, pii, quality, sentencepiece_fst, token_orc
 from pedalgrid.llm.common import table
 from pedalgrid.session import scratch_path
 
@@ -18,6 +18,10 @@ def op4_exact_dedup(spark, d):
     return exact_dedup.decide(late, early)
 
 
+def op5_lm_score(spark, d):
+    return lm_score.score(table(spark, d, "documents"))
+
+
 def op6_quality(spark, d):
     return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     for f in (
         op1_language,
         op4_exact_dedup,
+        op5_lm_score,
         op6_quality,
         op7_decontaminate,
         op8_sentencepiece,
