@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pedalgrid.llm import decontam, exact_dedup, lang_id, lm_score, pii, quality, sentencepiece_fst, token_orc
+from pedalgrid.llm import decontam, exact_dedup, lang_id, lm_score, ngram_jaccard, pii, quality, sentencepiece_fst, token_orc
 from pedalgrid.llm.common import table
 from pedalgrid.session import scratch_path
 
@@ -13,6 +13,10 @@ def op1_language(spark, d):
     return lang_id.classify(table(spark, d, "documents"))
 
 
+def op2_ngram_jaccard(spark, d):
+    return ngram_jaccard.cluster(table(spark, d, "documents"))
+
+
 def op4_exact_dedup(spark, d):
     early, late = exact_dedup.halves(table(spark, d, "documents"))
     return exact_dedup.decide(late, early)
@@ -50,6 +54,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language,
+        op2_ngram_jaccard,
         op4_exact_dedup,
         op5_lm_score,
         op6_quality,
