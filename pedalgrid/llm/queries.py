@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pedalgrid.llm import decontam, exact_dedup, lang_id, lm_score, ngram_jaccard, pii, quality, sentencepiece_fst, token_orc
+from pedalgrid.llm import decontam, exact_dedup, lang_id, lm_score, ngram_jaccard, pii, quality, sentencepiece_fst, suffix_dedup, token_orc
 from pedalgrid.llm.common import table
 from pedalgrid.session import scratch_path
 
@@ -17,6 +17,10 @@ def op2_ngram_jaccard(spark, d):
     return ngram_jaccard.cluster(table(spark, d, "documents"))
 
 
+def op3_suffix_dedup(spark, d):
+    return suffix_dedup.digest(suffix_dedup.strip(table(spark, d, "documents")))
+
+
 def op4_exact_dedup(spark, d):
     early, late = exact_dedup.halves(table(spark, d, "documents"))
     return exact_dedup.decide(late, early)
@@ -55,6 +59,7 @@ QUERIES = {
     for f in (
         op1_language,
         op2_ngram_jaccard,
+        op3_suffix_dedup,
         op4_exact_dedup,
         op5_lm_score,
         op6_quality,
