@@ -82,11 +82,10 @@ def statistics(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     word, word_doc = words(raw, at)
     shingle, shingle_doc = shingles(word, word_doc, 3)
     n_shingles = np.bincount(shingle_doc, minlength=n)
-    # Lines: each newline ends one, and so does the end of the text.
-    ends = np.flatnonzero(raw == 10)
-    stops = np.sort(np.concatenate([ends, at[1:][size > 0]]))
+    # Lines: each newline ends one, and so does the end of a text that has none there.
+    stops = np.unique(np.concatenate([np.flatnonzero(raw == 10) + 1, at[1:][size > 0]]))
     starts = np.concatenate([[0], stops[:-1]])
-    line_doc = np.searchsorted(at, np.maximum(stops - 1, 0), "right") - 1
+    line_doc = np.searchsorted(at, stops - 1, "right") - 1
     word_line = np.searchsorted(stops, first, "right")
     line_hash = np.zeros(len(stops) + 1, np.uint64)
     np.add.at(line_hash, word_line, mixed(word + (first - starts[np.minimum(word_line, len(stops) - 1)]).astype(np.uint64)) if len(stops) else word)
@@ -108,7 +107,7 @@ def statistics(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
             _distinct(word, word_doc, n) / safe,
             _distinct(shingle, shingle_doc, n) / np.maximum(n_shingles, 1),
             np.log1p(n_words / np.maximum(n_lines, 1)),
-            1 - unlike / np.maximum(n_lines, 1),
+            (n_lines - unlike) / np.maximum(n_lines, 1),
             np.bincount(doc[length <= 3], minlength=n) / safe,
             np.bincount(doc[kind[first] == 2], minlength=n) / safe,
             np.bincount(doc[kind[last] == 4], minlength=n) / safe,
