@@ -5,7 +5,7 @@ Layout
 ``schemas``    table layouts and fixed label lists
 ``session``    session defaults, shared scratch folder, staged tables
 ``functions``  column expressions (time parsing, measures)
-``sources``    readers, writers and the views over the warehouse tables
+``sources``    readers and writers
 ``operators``  DataFrame -> DataFrame building blocks
 ``plans``      the composed jobs, from raw rides to the enriched daily table
 """

@@ -10,9 +10,9 @@ from pedalgrid.schemas import COEFFICIENT, MEASURE
 
 def average_2dp(hundredths: Column, n: Column) -> Column:
     """Half-up average with two decimals of ``n`` values whose sum is given in hundredths."""
-    total, count = hundredths.cast("decimal(20,0)"), n.cast("decimal(20,0)")
+    total, count = hundredths.cast("decimal(38,0)"), n.cast("decimal(20,0)")
     rounded = F.call_function("div", total * 2 + count, count * 2)
-    return (rounded.cast("decimal(16,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(MEASURE)
+    return (rounded.cast("decimal(19,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(MEASURE)
 
 
 def temp_avg(tmax: Column, tmin: Column) -> Column:

@@ -36,9 +36,17 @@ def exists_locally(wall: str, utc: str, zone: str = LOCAL_ZONE) -> str:
 
 
 def fraction_ms(text: str) -> str:
-    """Digits after the second read as a whole number of milliseconds: 0 if absent, null above 999."""
-    millis = f"try_cast(substring({text}, 21, 10) AS int)"
-    return f"CASE WHEN substring({text}, 20, 1) <> '.' THEN 0 WHEN {millis} BETWEEN 0 AND 999 THEN {millis} END"
+    """All digits after the point read as one whole number of milliseconds, whatever follows them: 0 without a
+    point, null without digits and above 999."""
+    millis = f"try_cast(regexp_extract(substring({text}, 21), '^0*([0-9]{{1,3}})(?![0-9])', 1) AS int)"
+    return f"CASE WHEN substring({text}, 20, 1) = '.' THEN {millis} ELSE 0 END"
+
+
+def local_instant(wall: str, zone: str = LOCAL_ZONE) -> str:
+    """The instant of a wall clock; the later one where the autumn change shows it twice."""
+    early = f"to_utc_timestamp({wall}, '{zone}')"
+    late = f"{early} + INTERVAL 1 HOUR"
+    return f"CASE WHEN from_utc_timestamp({late}, '{zone}') = {wall} THEN {late} ELSE {early} END"
 
 
 def with_duration_ms(df: DataFrame, start: str, end: str, zone: str = LOCAL_ZONE) -> DataFrame:
@@ -46,7 +54,7 @@ def with_duration_ms(df: DataFrame, start: str, end: str, zone: str = LOCAL_ZONE
     texts = df.selectExpr("*", f"trim({start}) AS _s", f"trim({end}) AS _e")
     walls = texts.selectExpr("*", f"{wall_clock('_s')} AS _wall_s", f"{wall_clock('_e')} AS _wall_e")
     utcs = walls.selectExpr(
-        "*", f"to_utc_timestamp(_wall_s, '{zone}') AS _utc_s", f"to_utc_timestamp(_wall_e, '{zone}') AS _utc_e"
+        "*", f"{local_instant('_wall_s', zone)} AS _utc_s", f"{local_instant('_wall_e', zone)} AS _utc_e"
     )
     valid = f"{exists_locally('_wall_s', '_utc_s', zone)} AND {exists_locally('_wall_e', '_utc_e', zone)}"
     millis = f"unix_millis(_utc_e) - unix_millis(_utc_s) + ({fraction_ms('_e')}) - ({fraction_ms('_s')})"

@@ -41,7 +41,7 @@ def daily_rides_from_kept(kept: DataFrame, lookup: DataFrame) -> DataFrame:
         "borough", F.coalesce("borough", F.lit(OTHER_BOROUGH))
     )
     sums = named.groupBy("date", "borough").agg(
-        *[F.sum(c).cast("decimal(28,2)" if c == "minutes" else "bigint").alias(c) for c in _PARTIALS]
+        *[F.sum(c).cast("decimal(38,2)" if c == "minutes" else "bigint").alias(c) for c in _PARTIALS]
     )
     return _finish_daily(sums)
 

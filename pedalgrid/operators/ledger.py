@@ -52,17 +52,19 @@ def pending_files(expected: DataFrame, ledger: DataFrame) -> DataFrame:
 def upsert_ledger(old: DataFrame, new: DataFrame, order: str = "downloaded_at") -> DataFrame:
     """Ledger after a run: one entry per (source, filename), that of the run if it has one.
 
-    Among several entries of the run the newest by ``order`` stands.
+    Among several entries of the run the newest by ``order`` stands, of equally new ones the larger
+    file, then the last path.
     """
     columns = old.columns
     rest = [c for c in columns if c not in KEY]
-    newest = new.groupBy(*KEY).agg(F.max_by(F.struct(*rest), order).alias("entry")).select(*KEY, "entry.*")
+    newest = new.groupBy(*KEY).agg(F.max_by(F.struct(*rest), F.struct(order, "size_bytes", "path")).alias("entry")).select(*KEY, "entry.*")
     return old.join(newest, KEY, "left_anti").select(*columns).unionByName(newest.select(*columns))
 
 
 def current_paths(ledger: DataFrame, source: str) -> DataFrame:
-    """Newest landed path of each file, so that a month landed twice is read once."""
-    return ledger.filter(F.col("source") == source).groupBy(*KEY).agg(F.max_by("path", "run_date").alias("path"))
+    """Newest landed path of each file, so that a month landed twice is read once; of one day the latest, then the last path."""
+    newest = F.struct("run_date", "downloaded_at", "path")
+    return ledger.filter(F.col("source") == source).groupBy(*KEY).agg(F.max_by("path", newest).alias("path"))
 
 
 def reconcile_sizes(landed: DataFrame, source: DataFrame) -> DataFrame:

@@ -31,25 +31,37 @@ def usable_days(t2: DataFrame) -> DataFrame:
     return t2.filter(F.col("temp").isNotNull())
 
 
-def ols_moments(t2: DataFrame) -> DataFrame:
-    """The fifteen sums that determine the fit, exact decimals, one row per borough."""
-    numbers = usable_days(t2).selectExpr(
-        "borough", *[f"cast({p} AS decimal(7,2)) AS {p}" for p in PREDICTORS], "cast(total_rides AS decimal(14,0)) AS y"
+def _number(column: str, kind: str, name: str) -> str:
+    """A stored number in its stored type. One that does not fit fails by name; it is never left out of a sum."""
+    fits = f"try_cast({column} AS {kind})"
+    return f"CASE WHEN {column} IS NOT NULL THEN coalesce({fits}, raise_error('fit_ols: {column} does not fit {kind}')) END AS {name}"
+
+
+def _moments(t2: DataFrame, every_day: bool) -> DataFrame:
+    """The sums per borough; with ``every_day`` also how many days had no temperature, as ``skipped``."""
+    days = t2 if every_day else usable_days(t2)
+    numbers = days.selectExpr(
+        "borough", *[_number(p, "decimal(18,2)", p) for p in PREDICTORS], _number("total_rides", "decimal(19,0)", "y")
     )
     products = [(p, p) for p in PREDICTORS] + list(_PAIRS) + [(p, "y") for p in PREDICTORS] + [("y", "y")]
+    only = " FILTER (WHERE temp IS NOT NULL)" if every_day else ""
     return numbers.groupBy("borough").agg(
-        F.expr("count(*) AS n"),
-        *[F.expr(f"sum({v}) AS s_{v}") for v in (*PREDICTORS, "y")],
-        *[F.expr(f"sum({a} * {b}) AS s_{a}_{b}") for a, b in products],
+        F.expr(f"count(*){only} AS n"),
+        *[F.expr(f"sum({v}){only} AS s_{v}") for v in (*PREDICTORS, "y")],
+        *[F.expr(f"sum({a} * {b}){only} AS s_{a}_{b}") for a, b in products],
+        *([F.expr("count(*) FILTER (WHERE temp IS NULL) AS skipped")] if every_day else []),
     )
 
 
+def ols_moments(t2: DataFrame) -> DataFrame:
+    """The fifteen sums that determine the fit, exact decimals, one row per borough."""
+    return _moments(t2, every_day=False)
+
+
 def _centred(a: str, b: str) -> str:
     """Sum of products about the means: (n * Sab - Sa * Sb) / n, the numerator exact."""
-    places = 4 - 2 * (a, b).count("y")
-    plain = {v: f"cast(s_{v} AS {'decimal(18,0)' if v == 'y' else 'decimal(14,2)'})" for v in (a, b)}
-    wide = "decimal(28,0)" if places == 0 else f"decimal(26,{places})"
-    return f"cast(cast(s_{a}_{b} AS {wide}) * cast(n AS decimal(9,0)) - {plain[a]} * {plain[b]} AS double) / n"
+    exact = f"try_subtract(try_multiply(s_{a}_{b}, cast(n AS decimal(19,0))), try_multiply(s_{a}, s_{b}))"
+    return f"cast(CASE WHEN n > 0 THEN coalesce({exact}, raise_error('fit_ols: sums of {a} and {b} beyond 38 digits')) END AS double) / n"
 
 
 def _solve(moments: DataFrame) -> DataFrame:
@@ -107,14 +119,15 @@ def fit_ols(t2: DataFrame) -> DataFrame:
 
 
 def fit_counters(t2: DataFrame) -> DataFrame:
-    """How many days had no temperature and how many boroughs took each branch of the fit."""
-    solved = _solve(ols_moments(t2))
+    """How many days had no temperature and how many boroughs took each branch of the fit, in one pass over ``t2``."""
+    per_borough = _moments(t2, every_day=True)
+    # A borough without any temperature has no fit; its days count as skipped.
+    solved = _solve(per_borough.withColumn("n", F.nullif("n", F.lit(0))))
     fitted = F.col("branch") == "fitted"
+    counted = F.col("n").isNotNull()
     branches = solved.agg(
-        *[F.count(F.when(F.col("branch") == b, 1)).alias(b) for b in ("fallback_too_few_samples", "fallback_singular")],
-        *[F.count(F.when(fitted & (F.col(f"w_{p}") == 0), 1)).alias(f"dropped_{p}_zero_variance") for p in PREDICTORS],
-    )
-    skipped = t2.agg(F.count(F.when(F.col("temp").isNull(), 1)).alias("n"))
-    return skipped.select(F.lit("skipped_no_weather").alias("counter"), "n").unionByName(
-        branches.unpivot([], branches.columns, "counter", "n")
+        F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped_no_weather"),
+        *[F.count(F.when(counted & (F.col("branch") == b), 1)).alias(b) for b in ("fallback_too_few_samples", "fallback_singular")],
+        *[F.count(F.when(counted & fitted & (F.col(f"w_{p}") == 0), 1)).alias(f"dropped_{p}_zero_variance") for p in PREDICTORS],
     )
+    return branches.unpivot([], branches.columns, "counter", "n")

@@ -12,6 +12,9 @@ from pedalgrid.functions.measures import average_2dp
 from pedalgrid.schemas import DEMAND_QUANTILES, EVENT_QUANTILES, MEASURE, STAGE_TABLES
 
 
+PAGES = 16
+
+
 def _picks(quantiles: Mapping[str, float], value: str) -> list[Column]:
     """The value whose rank range covers the zero-based index ``floor(q * (n - 1))``."""
     picks = []
@@ -40,16 +43,16 @@ def quantile_floor(
     keys: list[str],
     value: str,
     quantiles: Mapping[str, float],
-    pages: int = 0,
+    pages: int = PAGES,
     measure: Callable[[DataFrame], DataFrame] = lambda table: table,
 ) -> DataFrame:
     """Exact discrete quantiles by the index ``floor(q * (n - 1))`` of the sorted values.
 
-    Equal values are counted first, so a group costs its distinct values and not its rows. When
-    those are few by nature (days, minutes to two decimals) the running total over them is enough.
-    With ``pages`` the distinct values of a group are cut into about that many ranges at approximate
-    quantiles, and only the ranges that hold a wanted rank are sorted, each on its own. The cuts only
-    balance the work; the ranks come from exact counts.
+    Equal values are counted first, so a group costs its distinct values and not its rows. The
+    distinct values of a group are cut into about ``pages`` ranges at approximate quantiles, and only
+    the ranges that hold a wanted rank are sorted, each on its own. The cuts only balance the work;
+    the ranks come from exact counts. ``pages=0`` sorts all distinct values of a group together, for
+    values that the calendar bounds (one per day).
 
     The cuts and the wanted ranges are one small row set per group. With many groups pass a
     ``measure`` that writes them as tables (``session.staged``): joins then know their size and can
@@ -94,12 +97,12 @@ def borough_stats(t2: DataFrame) -> DataFrame:
     x, n = F.col("total_rides").cast("decimal(20,0)"), F.col("_n").cast("decimal(20,0)")
     sums = ranked.groupBy("borough").agg(
         F.sum("_n").alias("n"),
-        F.sum((x * n).cast("decimal(28,0)")).alias("s1"),
-        F.sum((x * x * n).cast("decimal(38,0)")).alias("s2"),
+        F.sum(x * n).alias("s1"),
+        F.sum(x * x * n).alias("s2"),
         *_picks(DEMAND_QUANTILES, "total_rides"),
     )
-    n = F.col("n").cast("decimal(12,0)")
-    spread = (F.col("s2").cast("decimal(26,0)") * n - F.col("s1").cast("decimal(19,0)") * F.col("s1").cast("decimal(19,0)"))
+    spread = F.expr("coalesce(try_subtract(try_multiply(s2, cast(n AS decimal(20,0))), try_multiply(s1, s1)), "
+                    "raise_error('borough_stats: sums of total_rides beyond 38 digits'))")
     stats = sums.withColumns(
         {
             "mean": average_2dp(F.col("s1") * 100, F.col("n")),
@@ -113,4 +116,4 @@ def borough_stats(t2: DataFrame) -> DataFrame:
 def event_thresholds(t2: DataFrame) -> DataFrame:
     """Table T3c: the p33 and p66 limits of positive daily permit counts per borough."""
     counts = t2.select("borough", F.col("event_count").try_cast("bigint").alias("event_count"))
-    return quantile_floor(counts.filter(F.col("event_count") > 0), ["borough"], "event_count", EVENT_QUANTILES)
+    return quantile_floor(counts.filter(F.col("event_count") > 0), ["borough"], "event_count", EVENT_QUANTILES, pages=0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pedalgrid.operators import clean, daily, enrich, geo, ledger, regress, stats
-from pedalgrid.schemas import RIDE_DECISIONS, STAGE_TABLES
+from pedalgrid.schemas import EVENTS_SOURCE, RIDE_DECISIONS, RIDES_SOURCE, STAGE_TABLES, WEATHER_SOURCE
 from pedalgrid.session import staged
 from pedalgrid.sources import readers, writers
 
@@ -24,9 +24,34 @@ class Inputs:
     weather_order: str = readers.LOAD_ORDER
 
 
+def landed_paths(files: DataFrame, source: str) -> list[str]:
+    """Newest path of each landed file of a source, in order; a list of files, as every read has one on the driver."""
+    return sorted(r["path"] for r in ledger.current_paths(files, source).select("path").collect())
+
+
+def read_landed(spark: SparkSession, files: DataFrame, stations: str, month: str | None = None, sample: bool = False) -> Inputs:
+    """Inputs through the file ledger ``files``: of a file that was landed several times the newest counts, once."""
+    return read_inputs(
+        spark,
+        landed_paths(files, RIDES_SOURCE),
+        stations,
+        landed_paths(files, EVENTS_SOURCE),
+        landed_paths(files, WEATHER_SOURCE),
+        month,
+        sample,
+    )
+
+
 def read_inputs(
-    spark: SparkSession, rides: str, stations: str, events: str, weather: str, month: str | None = None, sample: bool = False
+    spark: SparkSession,
+    rides: str | list[str],
+    stations: str,
+    events: str | list[str],
+    weather: str | list[str],
+    month: str | None = None,
+    sample: bool = False,
 ) -> Inputs:
+    """Inputs from whole folders or listed files. Folders that hold a file twice are read twice; see ``read_landed``."""
     return Inputs(
         readers.read_rides(spark, rides, month, sample),
         readers.read_stations(spark, stations),
@@ -109,17 +134,40 @@ def export_reports(spark: SparkSession, stages: str, out: str, fmt: str = "parqu
     """The four report tables as headed, sorted tab-separated text."""
     for name in ("W", "T3a", "T3b", "T3c"):
         order = ["date", "borough"] if "date" in STAGE_TABLES[name].names else ["borough"]
-        writers.export_tsv(readers.read_stage(spark, name, f"{stages}/{name}", fmt), f"{out}/{name}", order)
+        # Days by boroughs: one file each, as their readers expect.
+        writers.export_tsv(readers.read_stage(spark, name, f"{stages}/{name}", fmt), f"{out}/{name}", order, single_file=True)
 
 
-def build_stations(rides: DataFrame, polygons: DataFrame, order: str, band: float = geo.DEFAULT_BAND) -> DataFrame:
+def build_stations(rides: DataFrame, polygons: DataFrame, order: str, band: float | None = None) -> DataFrame:
     """Station lookup with boroughs, from rides and borough polygons."""
-    return geo.assign_stations(geo.unique_stations(rides, order), measured_edges(polygons, band), band)
+    return geo.assign_stations(geo.unique_stations(rides, order), measured_bands(polygons, band))
+
+
+@dataclass(frozen=True)
+class StationBuild:
+    """The written lookup, stations per borough, and how many lie outside all polygons."""
+
+    stations: DataFrame
+    per_borough: DataFrame
+    outside: DataFrame
+
 
+def write_station_lookup(rides: DataFrame, polygons: DataFrame, out: str, order: str = readers.LOAD_ORDER) -> StationBuild:
+    """Build the lookup from all rides, write it as CSV, and count what was written."""
+    spark = rides.sparkSession
+    writers.write_stations(build_stations(rides, polygons, order), out)
+    written = readers.read_stations(spark, out)
+    return StationBuild(written, geo.borough_counts(written), geo.unmatched(written))
 
-def measured_edges(polygons: DataFrame, band: float = geo.DEFAULT_BAND) -> DataFrame:
-    """Banded polygon edges as a written table, so that Spark broadcasts them by their real size or not at all."""
-    return staged(geo.banded_edges(geo.polygon_edges(polygons), band), "edges")
+
+def measured_bands(polygons: DataFrame, band: float | None = None) -> geo.Bands:
+    """Polygons by band as a written table, so that Spark broadcasts it by its real size or not at all.
+
+    Without a ``band`` the height comes from the extent of the polygons, whatever their unit.
+    """
+    edges = geo.polygon_edges(polygons)
+    height = band or geo.band_height(edges)
+    return geo.Bands(staged(geo.banded_polygons(edges, height), "edges"), height)
 
 
 def plan_ingest(expected: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:

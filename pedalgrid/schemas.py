@@ -23,7 +23,8 @@ DEMAND_QUANTILES = {"q20": 0.20, "q40": 0.40, "q60": 0.60, "q80": 0.80}
 EVENT_QUANTILES = {"p33": 0.33, "p66": 0.66}
 MIN_RIDE_MINUTES = 1
 MAX_RIDE_MINUTES = 1440
-LEDGER_SOURCES = ("citibike", "noaa", "events", "station_to_borough")
+RIDES_SOURCE, WEATHER_SOURCE, EVENTS_SOURCE, STATIONS_SOURCE = "citibike", "noaa", "events", "station_to_borough"
+LEDGER_SOURCES = (RIDES_SOURCE, WEATHER_SOURCE, EVENTS_SOURCE, STATIONS_SOURCE)
 FILE_PATTERNS = {
     "citibike": "%s-citibike-tripdata.zip",
     "noaa": "noaa_USW00094728_%s.json",

@@ -1 +1 @@
-"""Readers and writers with explicit schemas, and views over the warehouse tables."""
+"""Readers and writers with explicit schemas."""

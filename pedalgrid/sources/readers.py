@@ -60,26 +60,36 @@ def short_row(last: str, width: int) -> Column:
     return F.coalesce(F.col(CORRUPT).isNotNull() & F.col(last).isNull() & (commas < width - 1), F.lit(False))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Path, name and size of every file below ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes"))
 
 
 def first_parts(files: DataFrame, name: str = "filename") -> DataFrame:
-    """Sample mode: of the part files ``YYYYMM...`` of each month, the first by name."""
+    """Sample mode: of the part files ``YYYYMM...`` of each month, the first by name.
+
+    A file that lies in several run folders is taken from the last of them, if ``files`` has paths.
+    """
     first = files.groupBy(F.substring(name, 1, 6).alias("month")).agg(F.min(name).alias(name))
-    return files.join(first.select(name), name, "left_semi")
+    picked = files.join(first.select(name), name, "left_semi")
+    if "path" not in files.columns:
+        return picked
+    rest = [c for c in files.columns if c != name]
+    return picked.groupBy(name).agg(F.max_by(F.struct(*rest), "path").alias("_f")).select(*[name if c == name else f"_f.{c}" for c in files.columns])
 
 
-def read_rides(spark: SparkSession, path: str, month: str | None = None, sample: bool = False) -> DataFrame:
+def read_rides(spark: SparkSession, path: str | list[str], month: str | None = None, sample: bool = False) -> DataFrame:
     """Ride CSV parts as one table, with the unparsed text of rows that do not have thirteen fields.
 
     ``month`` (``YYYY-MM`` or ``YYYYMM``) is a prefix of the file name and prunes at listing time.
     ``sample`` keeps the first part file of each month.
     """
     source: str | list[str] = path
-    if month:
+    if month and not isinstance(path, str):
+        prefix = month.replace("-", "")
+        source = [p for p in path if p.rsplit("/", 1)[-1].startswith(prefix)]
+    elif month:
         source = f"{path.rstrip('/')}/{month.replace('-', '')}*"
     if sample:
         # One path per month reaches the driver, as a file list does for every read.
@@ -205,6 +215,11 @@ def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") ->
     nested = fmt == "manifest"
     reader = spark.read.schema(MANIFEST if nested else LEDGER).option("mode", "FAILFAST").option("multiLine", nested)
     try:
+        if not nested:
+            # History grows without end: names are listed, and only the newest snapshot is opened.
+            folders = list_files(spark, path).select(F.regexp_extract("path", r"/(snapshot=[^/]+)/[^/]+$", 1).alias("folder"))
+            newest = folders.agg(F.max("folder")).first()[0]
+            path = f"{path.rstrip('/')}/{newest}" if newest else path
         loaded = reader.format("json" if nested else fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -213,10 +228,7 @@ def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") ->
     if nested:
         files = loaded.select(F.explode("sources").alias("source", "files")).select("source", F.explode("files").alias("filename", "e"))
         loaded = files.select("source", "filename", "e.*").withColumnRenamed("hdfs_path", "path").select(*LEDGER.names)
-    elif "snapshot" in loaded.columns:
-        newest = loaded.agg(F.max("snapshot")).first()[0]
-        loaded = loaded.filter(F.col("snapshot") == newest).select(*LEDGER.names)
-    return loaded.filter(F.col("source").isin(*LEDGER_SOURCES))
+    return loaded.select(*LEDGER.names).filter(F.col("source").isin(*LEDGER_SOURCES))
 
 
 def latest(ledger: DataFrame, source: str, by: str = "filename") -> DataFrame:

@@ -31,14 +31,12 @@ def write_rides(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def export_tsv(df: DataFrame, path: str, order: list[str], single_file_rows: int = 1_000_000) -> None:
-    """Report table with a header line, sorted.
+def export_tsv(df: DataFrame, path: str, order: list[str], single_file: bool = False) -> None:
+    """Report table as range-sorted parts, each with a header line; the same layout at any size.
 
-    Up to ``single_file_rows`` rows become one file, the form analysts expect of a table of days by
-    boroughs. A larger table stays in range-sorted parts, each with the header.
+    ``single_file`` writes one part through one task, for a table that its caller knows to be small.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    out = df.repartition(1).sortWithinPartitions(*order) if small else df.orderBy(*order)
+    out = df.repartition(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
     (
         out.write.mode("overwrite")
         .option("header", "true")

@@ -79,15 +79,15 @@ def test_stage_text_skips_short_rows_and_keeps_trailing_empties(spark, tmp_path,
     assert rows(lenient, "borough", "event_count", "event_types") == [("Bronx", 3, ""), ("Queens", 4, None)]
 
 
-@pytest.mark.parametrize("limit, files", [(100, 1), (2, None)])
-def test_export(spark, tmp_path, limit, files):
+@pytest.mark.parametrize("single_file", [True, False])
+def test_export(spark, tmp_path, single_file):
     header = "\t".join(STAGE_TABLES["W"].names)
     data = [(dt.date(2025, 6, d), b, *W_ROW[2:]) for d in (3, 1, 2) for b in ("Queens", "Bronx")]
     df = spark.createDataFrame(data, STAGE_TABLES["W"]).repartition(3)
-    writers.export_tsv(df, str(tmp_path / "W"), ["date", "borough"], single_file_rows=limit)
+    writers.export_tsv(df, str(tmp_path / "W"), ["date", "borough"], single_file=single_file)
     parts = sorted((tmp_path / "W").glob("part-*"))
     lines = [p.read_text().splitlines() for p in parts if p.stat().st_size]
-    assert files is None or len(lines) == files
+    assert len(lines) == 1 or not single_file
     assert all(part[0] == header for part in lines)
     body = [line for part in lines for line in part[1:]]
     assert [line.split("\t")[:2] for line in body] == sorted([str(r[0]), r[1]] for r in data)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from pedalgrid.operators import geo
 from pedalgrid.plans import demand
-from pedalgrid.sources import readers, warehouse
+from pedalgrid.sources import readers
+from verification import warehouse
 
 SQUARE = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
 HOLE = [[1, 1], [1, 2], [2, 2], [2, 1], [1, 1]]
@@ -72,7 +73,8 @@ def test_points(spark, polygons, band):
         ((-1.0, 1.0), "Other"),
     ]
     points = spark.createDataFrame([(i, x, y) for i, ((x, y), _) in enumerate(cases)], "id int, longitude double, latitude double")
-    got = geo.point_in_polygon(points, geo.banded_edges(geo.polygon_edges(polygons), band), band=band).orderBy("id").collect()
+    bands = geo.Bands(geo.banded_polygons(geo.polygon_edges(polygons), band), band)
+    got = geo.point_in_polygon(points, bands).orderBy("id").collect()
     assert [r.borough for r in got] == [name for _, name in cases]
 
 
@@ -94,10 +96,29 @@ def test_crowded_band_against_brute_force(spark):
     # A third of the points share one height, so one band is crowded.
     xy = [(random.uniform(-0.45, 0.35), 0.101 if i % 3 == 0 else random.uniform(-0.35, 0.35)) for i in range(1500)]
     points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(xy)], "id int, longitude double, latitude double")
-    got = geo.point_in_polygon(points, geo.banded_edges(geo.polygon_edges(warehouse.polygons(spark)), 0.05), band=0.05).orderBy("id").collect()
+    bands = geo.Bands(geo.banded_polygons(geo.polygon_edges(warehouse.polygons(spark)), 0.05), 0.05)
+    got = geo.point_in_polygon(points, bands).orderBy("id").collect()
     assert [r.borough for r in got] == [brute_force(x, y) for x, y in xy]
 
 
+def test_repeated_points_keep_their_rows_and_are_not_moved(spark, polygons):
+    points = spark.createDataFrame([(1.0, 0.5)] * 3 + [(50.0, 50.0)] * 2, "longitude double, latitude double")
+    located = geo.point_in_polygon(points, demand.measured_bands(polygons))
+    assert sorted(r.borough for r in located.collect()) == ["Other", "Other", "Square", "Square", "Square"]
+    plan = located._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("unit", [1.0, 1e-4, 3e5])
+def test_bands_follow_the_extent(spark, polygons, unit):
+    edges = geo.polygon_edges(polygons).selectExpr("poly_order", "name", *[f"{c} * {unit} AS {c}" for c in ("x1", "y1", "x2", "y2")])
+    height = geo.band_height(edges)
+    banded = geo.banded_polygons(edges, height)
+    assert banded.count() <= geo.BANDS + 2
+    points = spark.createDataFrame([(0.5 * unit, 0.5 * unit), (5.0 * unit, 5.0 * unit)], "longitude double, latitude double")
+    assert [r.borough for r in geo.point_in_polygon(points, geo.Bands(banded, height)).collect()] == ["Square", "Over"]
+
+
 def test_stations_from_rides(spark, polygons, rows):
     rides = spark.createDataFrame(
         [
@@ -124,3 +145,15 @@ def test_first_station_by_load_order(spark, tmp_path, rows):
     rides = readers.read_rides(spark, str(tmp_path)).withColumn(readers.LOAD_ORDER, readers.load_order())
     assert rows(geo.unique_stations(rides, readers.LOAD_ORDER)) == [("A", "old", 1.0, 2.0)]
     assert rides.select(F.countDistinct(readers.LOAD_ORDER)).collect()[0][0] == 2
+    plan = geo.unique_stations(rides, readers.LOAD_ORDER)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(start_station_id") :].split("Exchange", 2)[2]
+    assert "SortAggregate" not in below
+
+
+def test_written_station_lookup(spark, polygons, tmp_path, rows):
+    line = "r{0},b,2025-06-01 10:00:00,2025-06-01 10:05:00,S{0},{0},x,y,{1},{2},3,4,member\n"
+    (tmp_path / "202506.csv").write_text("".join(line.format(*v) for v in (("A", 0.5, 0.5), ("B", 50, 50))))
+    rides = readers.read_rides(spark, str(tmp_path / "202506.csv")).withColumn(readers.LOAD_ORDER, readers.load_order())
+    built = demand.write_station_lookup(rides, polygons, str(tmp_path / "lookup"))
+    assert rows(built.stations) == [("A", "SA", 0.5, 0.5, "Square"), ("B", "SB", 50.0, 50.0, "Other")]
+    assert rows(built.per_borough) == [("Other", 1), ("Square", 1)] and rows(built.outside) == [(1, 2)]

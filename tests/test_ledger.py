@@ -154,3 +154,21 @@ def test_failing_source_does_not_stop_the_run(spark, rows):
 
 def test_empty_log(spark, rows):
     assert rows(ledger.ingest_summary(spark.createDataFrame([], ledger.RUN_LOG))) == [("TOTAL", 0, 0, 0, 0, 0)]
+
+
+def test_ties_in_the_ledger_are_settled(spark, rows):
+    entry = "source string, filename string, run_date string, path string, size_bytes bigint, downloaded_at string"
+    run = [("events", "a", "2025-01-01", f"/{k}/a", size, "2025-01-01T00:00:00Z") for k, size in (("x", 1), ("z", 5), ("y", 5))]
+    for order in (run, run[::-1]):
+        new = spark.createDataFrame(order, entry).repartition(3)
+        assert rows(ledger.upsert_ledger(new.limit(0), new), "path") == [("/z/a",)]
+        assert rows(ledger.current_paths(new, "events"), "path") == [("/z/a",)]
+
+
+def test_only_the_newest_snapshot_is_opened(spark, tmp_path):
+    old = tmp_path / "snapshot=20200101T000000Z"
+    old.mkdir()
+    (old / "part-0.parquet").write_text("not a parquet file")
+    entry = readers.read_ledger(spark, None)
+    writers.write_ledger(entry, str(tmp_path))
+    assert readers.read_ledger(spark, str(tmp_path)).count() == 0

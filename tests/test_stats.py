@@ -7,6 +7,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from pedalgrid.operators import enrich, regress, stats
 from pedalgrid.schemas import STAGE_TABLES
 from pedalgrid.session import staged
@@ -182,3 +184,24 @@ def test_unreadable_numbers(spark, rows):
     empty = {n: spark.createDataFrame([], STAGE_TABLES[n]) for n in ("T3a", "T3b", "T3c")}
     got = enrich.enrich(broken, empty["T3a"], empty["T3b"], empty["T3c"])
     assert rows(got, "total_rides", "event_intensity") == [(1, "none")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_fit_with_large_measures(spark, ansi):
+    """Values that fill the stored types: the same fit whatever the ANSI setting, or an error that says why."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = [(float(k), 123456.78 + 10.0 * (k * k % 7), float(k % 3), 1000 + 3 * k + 2 * (k * k % 7)) for k in range(10)]
+        layout = "temp double, precip double, snow double, total_rides bigint"
+        t2 = spark.createDataFrame(rows, layout).selectExpr(
+            "'A' AS borough", *[f"cast({c} AS decimal(18,2)) AS {c}" for c in ("temp", "precip", "snow")], "total_rides"
+        )
+        fit = regress.fit_ols(t2).first()
+        assert [float(fit[c]) for c in ("beta1_temp", "beta2_precip", "beta3_snow", "rmse")] == pytest.approx([3, 0.2, 0, 0])
+        assert regress.ols_moments(t2).first()["n"] == 10
+        huge = t2.withColumn("precip", F.lit("1e17").cast("double"))
+        with pytest.raises(Exception, match="precip does not fit"):
+            regress.fit_ols(huge).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

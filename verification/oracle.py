@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pedalgrid.schemas import FILE_PATTERNS
-from pedalgrid.sources.warehouse import SHAPES
+from pedalgrid.schemas import FILE_PATTERNS, LEDGER_SOURCES
+from verification.warehouse import SHAPES
 
 NY = "AT TIME ZONE 'America/New_York'"
 
@@ -12,6 +12,12 @@ def _valid(clock: str) -> str:
     return f"((({clock}) {NY}) {NY} = ({clock}))"
 
 
+def _late(clock: str) -> str:
+    """The later instant of a wall clock that is shown twice."""
+    early = f"least(({clock}) {NY}, (({clock}) {NY}) - CASE WHEN ((({clock}) {NY}) - INTERVAL 1 HOUR) {NY} = ({clock}) THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END)"
+    return f"CASE WHEN ({early} + INTERVAL 1 HOUR) {NY} = ({clock}) THEN {early} + INTERVAL 1 HOUR ELSE {early} END"
+
+
 # Named subqueries in dependency order: name -> (needs, body).
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "rides": (
@@ -43,6 +49,14 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
                        ELSE 'kept' END AS decision
         FROM timed""",
     ),
+    "autumn": (
+        ("rides",),
+        f"""
+        SELECT r.ride_id, r.station, s, e, {_late('s')} AS u, {_late('e')} AS v
+        FROM rides r JOIN (SELECT event_id, TIMESTAMP '2024-11-03 00:00:00' + to_seconds(event_id % 10800) AS s,
+                                  TIMESTAMP '2024-11-03 00:00:00' + to_seconds(event_id % 10800 + CAST(floor(value * 60 + 0.5) AS BIGINT)) AS e
+                           FROM events) USING (event_id)""",
+    ),
     "stations": (
         (),
         """
@@ -249,6 +263,23 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT point_id, px AS longitude, py AS latitude, coalesce(name, 'Other') AS borough
         FROM points LEFT JOIN inside USING (point_id)""",
     ),
+    "first_rides": (
+        ("rides",),
+        """
+        SELECT station AS start_station_id, 'Station ' || min_by(user_id, event_id) || ', ' || min_by(event_type, event_id) AS station_name,
+               CAST(min_by(v, event_id) AS DOUBLE) / 1000 AS py, -CAST(min_by(v, event_id) AS DOUBLE) / 1000 AS px
+        FROM rides WHERE station IS NOT NULL AND event_type <> 'error' GROUP BY station""",
+    ),
+    "placed": (
+        ("first_rides", "edges"),
+        """
+        SELECT start_station_id, station_name, round(py, 6) AS latitude, round(px, 6) AS longitude, coalesce(name, 'Other') AS borough
+        FROM first_rides LEFT JOIN (
+            SELECT start_station_id, min_by(name, poly) AS name
+            FROM (SELECT start_station_id, poly, name FROM first_rides CROSS JOIN edges GROUP BY ALL
+                  HAVING count(*) FILTER ((y1 > py) <> (y2 > py) AND px < x1 + (py - y1) * (x2 - x1) / (y2 - y1)) % 2 = 1)
+            GROUP BY start_station_id) USING (start_station_id)""",
+    ),
     "files": (
         (),
         """
@@ -269,7 +300,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT source, filename, '2024-02-01' AS run_date, '/raw/' || source || '/2024-02-01/' || filename AS path,
                strlen(text) AS size_bytes, CAST(NULL AS VARCHAR) AS sha256, CAST(NULL AS BIGINT) AS record_count,
                'current' AS dataset_id, '2024-02-01T02:00:00Z' AS downloaded_at
-        FROM files WHERE lang <> 'en'""",
+        FROM files""",
     ),
     "pending": (
         ("files", "landed"),
@@ -327,8 +358,20 @@ def _moment(a: str, b: str | None = None) -> str:
     return f"CAST(sum({factor}) AS DOUBLE) AS {f's_{a}' if b is None else f's_{a}_{b}'}"
 
 
+_KNOWN = "list_extract(['" + "', '".join(LEDGER_SOURCES) + "'], CAST(substr(source, 4) AS INT) % 4 + 1)"
+
 ORACLE: dict[str, str] = {
     "rides_tagged": sql("SELECT ride_id, duration_ms, decision FROM tagged", "tagged"),
+    "rides_autumn": sql(
+        "SELECT ride_id, ms AS duration_ms, CASE WHEN station IS NULL THEN 'dropped_no_station' WHEN ms < 60000 THEN 'dropped_too_short'"
+        " WHEN ms > 86400000 THEN 'dropped_too_long' ELSE 'kept' END AS decision"
+        " FROM (SELECT ride_id, station, epoch_ms(v) - epoch_ms(u) AS ms FROM autumn)",
+        "autumn",
+    ),
+    "fractions": (
+        "SELECT CAST(event_id AS VARCHAR) AS ride_id, CASE WHEN event_id % 97 <> 0 AND event_id % 1300 <= 999"
+        " THEN 3600000 + event_id % 1300 END AS duration_ms FROM events"
+    ),
     "quality_counts": sql(
         f"SELECT l.decision, count(ride_id) AS n FROM {RIDE_LABELS} LEFT JOIN tagged t ON t.decision = l.decision GROUP BY 1",
         "tagged",
@@ -397,6 +440,14 @@ ORACLE: dict[str, str] = {
         "rides",
     ),
     "point_in_polygon": sql("SELECT * FROM located", "located"),
+    "repeated_points": sql(
+        "SELECT longitude, latitude, borough FROM located UNION ALL SELECT longitude, latitude, borough FROM located", "located"
+    ),
+    "polygons_file": sql("SELECT * FROM located", "located"),
+    "build_stations": sql(
+        "SELECT s.*, (SELECT count(*) FILTER (borough = 'Other') FROM placed) AS outside FROM placed s",
+        "placed",
+    ),
     "borough_counts": sql("SELECT borough, count(*) AS stations FROM located GROUP BY borough", "located"),
     "unmatched_points": sql(
         "SELECT count(*) FILTER (borough = 'Other') AS outside, count(*) AS stations FROM located", "located"
@@ -421,6 +472,15 @@ ORACLE: dict[str, str] = {
         "landed",
         "run",
     ),
+    "ledger_snapshots": sql(
+        "SELECT "
+        + _KNOWN
+        + " AS source, * EXCLUDE (source) FROM (SELECT * FROM landed WHERE filename NOT IN (SELECT filename FROM run) UNION ALL SELECT * FROM run)"
+        " WHERE source <> 'src7'",
+        "landed",
+        "run",
+    ),
+    "landed_twice": sql("SELECT date, borough, event_count, event_types FROM t2_events", "t2_events"),
     "size_reconcile": (
         "SELECT source, CAST(doc_id AS VARCHAR) AS filename, strlen(text) AS size_bytes, n_chars AS source_bytes"
         " FROM documents WHERE strlen(text) <> n_chars"
@@ -486,6 +546,16 @@ ORACLE: dict[str, str] = {
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES.split()),
     "divisible_events": "SELECT count(*) AS n FROM events WHERE event_id % 7 = 0",
     "csv_roundtrip": sql("SELECT ride_id, duration_ms, decision FROM tagged", "tagged"),
+    "rides_month": sql("SELECT ride_id, decision FROM tagged WHERE strftime(started, '%Y%m') = '202403'", "tagged"),
+    "events_roundtrip": sql(
+        "SELECT CAST(o_orderkey AS VARCHAR) AS event_id, date, borough, type, decision FROM permits", "permits"
+    ),
+    "weather_files": sql("SELECT date, tmax, tmin, prcp, snow FROM pivoted", "pivoted"),
+    "export_roundtrip": sql(
+        "SELECT layout, row_number() OVER (PARTITION BY layout ORDER BY date, borough) AS place, date, borough, total_rides,"
+        " CAST(temp AS DOUBLE) AS temp FROM t2 CROSS JOIN (VALUES ('parts'), ('single')) AS l(layout)",
+        "t2",
+    ),
     "tsv_roundtrip": sql(f"SELECT {T2_COLUMNS} FROM t2", "t2"),
     "stations_roundtrip": sql(
         "SELECT station AS start_station_id, s_name AS station_name, s_acctbal AS latitude, -s_acctbal AS longitude, borough"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pedalgrid.functions import measures as m
@@ -13,7 +13,8 @@ from pedalgrid.operators import checks, clean, daily, enrich, geo, ledger, regre
 from pedalgrid.plans import demand
 from pedalgrid.schemas import DEMAND_QUANTILES
 from pedalgrid.session import scratch_path
-from pedalgrid.sources import readers, warehouse, writers
+from pedalgrid.sources import readers, writers
+from verification import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +60,18 @@ def rides_tagged(spark, d):
     return _tagged(spark, d).select("ride_id", "duration_ms", "decision")
 
 
+@query
+def rides_autumn(spark, d):
+    """All rides moved to the days around the night on which an hour is shown twice."""
+    return clean.tag_rides(warehouse.autumn_rides(spark, d)).select("ride_id", "duration_ms", "decision")
+
+
+@query
+def fractions(spark, d):
+    """Fractions of any length, with leading zeros and with text behind them."""
+    return clean.tag_rides(warehouse.fraction_rides(spark, d)).select("ride_id", "duration_ms")
+
+
 @query
 def quality_counts(spark, d):
     return clean.quality_counts(_tagged(spark, d))
@@ -129,7 +142,7 @@ def borough_stats(spark, d):
 
 @query
 def quantile_floor(spark, d):
-    return stats.quantile_floor(_t1(spark, d), ["borough"], "ride_duration_min", DEMAND_QUANTILES, pages=16)
+    return stats.quantile_floor(_t1(spark, d), ["borough"], "ride_duration_min", DEMAND_QUANTILES)
 
 
 @query
@@ -197,8 +210,7 @@ def unique_stations(spark, d):
 
 
 def _located(spark, d):
-    banded = demand.measured_edges(warehouse.polygons(spark), band=0.05)
-    return geo.point_in_polygon(warehouse.points(spark, d), banded, band=0.05)
+    return geo.point_in_polygon(warehouse.points(spark, d), demand.measured_bands(warehouse.polygons(spark)))
 
 
 @query
@@ -206,6 +218,41 @@ def point_in_polygon(spark, d):
     return _located(spark, d)
 
 
+@query
+def repeated_points(spark, d):
+    """Positions without their ids, each of them twice: every row keeps its row."""
+    xy = warehouse.points(spark, d).select("longitude", "latitude")
+    return geo.point_in_polygon(xy.unionAll(xy), demand.measured_bands(warehouse.polygons(spark)))
+
+
+@query
+def polygons_file(spark, d):
+    """Polygons through a file and the real reader, points of the table located in them."""
+    path = scratch_path(spark, "polygons")
+    warehouse.polygon_document(spark).write.text(path)
+    return geo.point_in_polygon(warehouse.points(spark, d), demand.measured_bands(readers.read_polygons(spark, path)))
+
+
+def _landed_rides(spark, d):
+    path = scratch_path(spark, "rides")
+    writers.write_rides(warehouse.rides(spark, d).drop(warehouse.EVENT_ORDER), path)
+    return path
+
+
+@query
+def build_stations(spark, d):
+    """Station lookup from ride files in load order, written and read back, with the count outside all polygons."""
+    # One file per run keeps the order of the events in the order of the files.
+    path = scratch_path(spark, "rides")
+    ordered = warehouse.rides(spark, d).repartitionByRange(4, warehouse.EVENT_ORDER).sortWithinPartitions(warehouse.EVENT_ORDER)
+    writers.write_rides(ordered.drop(warehouse.EVENT_ORDER), path)
+    rides = readers.read_rides(spark, path).withColumn(readers.LOAD_ORDER, readers.load_order())
+    # Ride coordinates spread over hundreds of units, the test shapes over one.
+    near = rides.withColumns({c: (F.col(c).try_cast("double") / 1000).cast("string") for c in ("start_lat", "start_lng")})
+    built = demand.write_station_lookup(near, warehouse.polygons(spark), scratch_path(spark, "stations"))
+    return built.stations.withColumn("outside", F.lit(built.outside.first()["outside"]).cast("bigint"))
+
+
 @query
 def borough_counts(spark, d):
     return geo.borough_counts(_located(spark, d))
@@ -238,9 +285,7 @@ def ledger_upsert(spark, d):
 
 @query
 def current_paths(spark, d):
-    both = warehouse.landed_documents(spark, d).unionByName(
-        warehouse.documents_run(spark, d).filter(F.col("size_bytes") > 0)
-    )
+    both = warehouse.landed_documents(spark, d).unionByName(warehouse.documents_run(spark, d))
     return ledger.current_paths(both, "src7")
 
 
@@ -272,6 +317,26 @@ def fingerprint(spark, d):
     return ledger.fingerprint(warehouse.table(spark, d, "pages").select("page_id", "html"), "html")
 
 
+@query
+def ledger_snapshots(spark, d):
+    """Two snapshots are written; the newest is read, unknown sources left out."""
+    root = scratch_path(spark, "ledger")
+    old = warehouse.known_sources(warehouse.landed_documents(spark, d))
+    writers.write_ledger(old, root)
+    writers.write_ledger(ledger.upsert_ledger(readers.read_ledger(spark, root), warehouse.known_sources(warehouse.documents_run(spark, d))), root)
+    return readers.read_ledger(spark, root)
+
+
+@query
+def landed_twice(spark, d):
+    """Permits of one file in two run folders: through the ledger they count once."""
+    root, files = scratch_path(spark, "permits"), warehouse.permit_files(spark, d)
+    for run_date in ("2024-03-01", "2024-04-01"):
+        warehouse.write_permits(warehouse.permits(spark, d), f"{root}/{run_date}/events_202403.csv")
+    paths = demand.landed_paths(files(root), "events")
+    return daily.daily_events(clean.clean_events(readers.read_events(spark, paths)))
+
+
 @query
 def records_per_file(spark, d):
     return ledger.records_per_file(warehouse.ride_files(spark, d), "filename")
@@ -359,6 +424,50 @@ def csv_roundtrip(spark, d):
     return clean.tag_rides(readers.read_rides(spark, path)).select("ride_id", "duration_ms", "decision")
 
 
+@query
+def rides_month(spark, d):
+    """Ride files of several months; one month is listed and read."""
+    path = scratch_path(spark, "months")
+    rides = warehouse.rides(spark, d).drop(warehouse.EVENT_ORDER)
+    for month in ("202403", "202404"):
+        dashed = f"{month[:4]}-{month[4:]}"
+        writers.write_rides(rides.where(F.col("started_at").startswith(dashed)), f"{path}/{month}-tripdata.csv")
+    return clean.tag_rides(readers.read_rides(spark, path, month="2024-03")).select("ride_id", "decision")
+
+
+@query
+def events_roundtrip(spark, d):
+    """Permits in two run folders, with comment lines between the rows."""
+    path = scratch_path(spark, "permits")
+    permits = warehouse.permits(spark, d)
+    late = F.col("event_id").cast("long") % 3 == 0
+    warehouse.write_permits(permits.where(late), f"{path}/run=b")
+    warehouse.write_permits(permits.where(~late), f"{path}/run=a")
+    tagged = clean.tag_events(readers.read_events(spark, path))
+    return tagged.select("event_id", "date", "borough", "type", "decision")
+
+
+@query
+def weather_files(spark, d):
+    """Weather documents as files of their own."""
+    path = scratch_path(spark, "weather")
+    warehouse.weather_documents(spark, d).write.option("maxRecordsPerFile", 1).text(path)
+    return daily.pivot_weather(readers.read_weather(spark, path, pattern="*.txt"))
+
+
+@query
+def export_roundtrip(spark, d):
+    """The report layout, in parts and as one file, read back in order."""
+    path, t2 = scratch_path(spark, "export"), _t2(spark, d)
+    parts = []
+    for name, single in (("parts", False), ("single", True)):
+        writers.export_tsv(t2, f"{path}/{name}", ["date", "borough"], single_file=single)
+        read = spark.read.schema(readers.STAGE_TABLES["T2"]).option("header", "true").option("sep", "\t").csv(f"{path}/{name}")
+        place = F.row_number().over(Window.orderBy("_metadata.file_path", F.monotonically_increasing_id())).cast("bigint")
+        parts.append(read.select(F.lit(name).alias("layout"), place.alias("place"), "date", "borough", "total_rides", "temp"))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def tsv_roundtrip(spark, d):
     path = scratch_path(spark, "T2")

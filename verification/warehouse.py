@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalgrid.plans.demand import Inputs
-from pedalgrid.schemas import LEDGER
+from pedalgrid.schemas import LEDGER, LEDGER_SOURCES
 from pedalgrid.sources.readers import LOAD_ORDER, polygons_from_features, weather_rows
 
 SHIFT_DAYS = 60
@@ -85,6 +85,30 @@ def rides(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def autumn_rides(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rides with every start within three hours before or in the repeated hour of 3 November 2024."""
+    base = F.lit("2024-11-03 00:00:00").cast("timestamp_ntz")
+    e = table(spark, folder, "events")
+    start = F.timestamp_add("SECOND", F.pmod("event_id", F.lit(3 * 3600)).cast("int"), base)
+    end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60 + 0.5).cast("int"), start)
+    return rides(spark, folder).join(
+        e.select("event_id", start.cast("string").alias("_s"), end.cast("string").alias("_e")), EVENT_ORDER
+    ).select(*[F.col({"started_at": "_s", "ended_at": "_e"}.get(c, c)).alias(c) for c in rides(spark, folder).columns])
+
+
+def fraction_rides(spark: SparkSession, folder: str) -> DataFrame:
+    """Rides of an hour whose end has a fraction: up to twelve zeros, a number, and text after every fifth."""
+    r = rides(spark, folder)
+    number = F.pmod(EVENT_ORDER, F.lit(1300)).cast("string")
+    zeros = F.expr(f"repeat('0', cast({EVENT_ORDER} % 13 AS int))")
+    tail = F.when(F.col(EVENT_ORDER) % 5 == 0, "abc").when(F.col(EVENT_ORDER) % 7 == 0, " ").otherwise("")
+    empty = F.col(EVENT_ORDER) % 97 == 0
+    fraction = F.when(empty, ".x").otherwise(F.concat(F.lit("."), zeros, number, tail))
+    return r.withColumns(
+        {"start_station_id": F.lit("1"), "started_at": F.lit("2024-03-05 10:00:00"), "ended_at": F.concat(F.lit("2024-03-05 11:00:00"), fraction)}
+    )
+
+
 def stations(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers as stations in the region of their nation."""
     nations = table(spark, folder, "nation").join(
@@ -190,6 +214,51 @@ def polygons(spark: SparkSession) -> DataFrame:
     return polygons_from_features(features, F.col("feature"), F.col("pos"))
 
 
+def polygon_document(spark: SparkSession) -> DataFrame:
+    """The shapes as one FeatureCollection in one line."""
+    features = [
+        {"type": "Feature", "properties": {"boroname": n}, "geometry": {"type": kind, "coordinates": c}} for n, kind, c in SHAPES
+    ]
+    return spark.createDataFrame([(json.dumps({"type": "FeatureCollection", "features": features}),)], "value string").coalesce(1)
+
+
+def weather_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations of each day as one file with one document, in event order."""
+    rows = weather_long(spark, folder)
+    one = F.struct("event_id", F.struct("date", "datatype", "value").alias("r"))
+    days = rows.groupBy("date").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    results = F.transform("all", lambda x: x["r"])
+    return days.select(F.to_json(F.struct(F.lit("USW00094728").alias("station"), results.alias("results"))).alias("value"))
+
+
+def write_permits(df: DataFrame, path: str) -> None:
+    """Permit CSV with a comment line before every tenth row."""
+    rows = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
+    line = F.concat_ws(",", *[F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in rows.columns])
+    tenth = F.col("event_id").cast("long") % 10 == 0
+    lines = F.when(tenth, F.concat(F.lit("# note\n"), line)).otherwise(line)
+    rows.select(lines.alias("value")).write.text(path)
+
+
+def permit_files(spark: SparkSession, folder: str):
+    """Ledger entries of a permit file that was landed twice, below a root folder."""
+
+    def entries(root: str) -> DataFrame:
+        counted = permits(spark, folder).agg(F.count("*").alias("n"))
+        values = lambda day: {"source": F.lit("events"), "filename": F.lit("events_202403.csv"), "run_date": F.lit(day), "path": F.lit(f"{root}/{day}/events_202403.csv"), "record_count": F.col("n"), "downloaded_at": F.lit(f"{day}T00:00:00Z")}
+        rows = [counted.select(*[values(day).get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER.fields]) for day in ("2024-03-01", "2024-04-01")]
+        return rows[0].unionByName(rows[1])
+
+    return entries
+
+
+def known_sources(entries: DataFrame) -> DataFrame:
+    """Ledger entries under the names of the ledger; those of ``src7`` keep theirs, which is unknown to it."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
+    named = F.element_at(F.array(*[F.lit(s) for s in LEDGER_SOURCES]), F.pmod(number, F.lit(len(LEDGER_SOURCES))) + 1)
+    return entries.withColumn("source", F.when(F.col("source") == "src7", F.col("source")).otherwise(named))
+
+
 def _file_name(doc: Column) -> Column:
     return F.concat(F.lit("doc_"), F.lpad(doc.cast("string"), 12, "0"))
 
@@ -223,8 +292,8 @@ def landed_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents_run(spark: SparkSession, folder: str) -> DataFrame:
-    """A later run that landed every non-English document twice, the second time complete."""
-    docs = table(spark, folder, "documents").filter(F.col("lang") != "en")
+    """A later run that landed every document twice, the second time complete."""
+    docs = table(spark, folder, "documents")
     day = F.lit("2024-02-01")
     first = docs.select(*_entry(day, F.lit(0), F.lit("current"), F.concat(day, F.lit("T01:00:00Z"))))
     second = docs.select(
