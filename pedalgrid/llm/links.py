@@ -18,6 +18,20 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """``id, parent``: one round of both stars, enough to say of most linked ids that they belong together.
+
+    An id and its parent are connected; connected ids may still have different parents.
+    """
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    both = staged(_both(edges), "both")
+    large = staged(both.where("b > a").join(staged(_least(both), "least"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
+    least = staged(_least(large), "least")
+    small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    ends = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b")
+    return ends.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("parent"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` for every id of the links ``a, b``; the component is the smallest id it reaches.
 

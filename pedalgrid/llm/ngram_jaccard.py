@@ -11,10 +11,10 @@ enough:
    first ``n - ceil(share * n) + 1`` columns of either, so only these make candidates.
 4. In each column some leaders are picked, and each other document of similar size is paired with them.
    Blocks of leaders by documents are multiplied, overlaps accumulate, and pairs below the bound go.
-   Documents that hang on the same leader are linked already and are not paired again; the others go
-   into the next round, with more leaders. A group of copies is done after one or two leaders, and no
-   round lists all pairs of a group whose documents are linked.
-5. Links join to components.
+   Links give labels to what they connect: documents of one label are not paired again, the others go into
+   the next round, with more leaders. A group of copies is done after a few leaders, and no round lists
+   all pairs of a group whose documents are linked.
+5. All links join to components.
 
 The columns of a document hold 64-bit hashes of its n-grams.
 """
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from pedalgrid.llm import key_counts
 from pedalgrid.llm.common import mixed, shingles, without, words
-from pedalgrid.llm.links import components
+from pedalgrid.llm.links import components, contracted
 from pedalgrid.session import staged
 
-STEP = 1 << 20
+STEP = 1 << 19
 #: Each round has so many times the leaders of the one before.
 MORE = 8
 #: Documents that one block of the product multiplies a leader with.
@@ -128,11 +128,14 @@ def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
                 mine = np.flatnonzero(leader == one)
                 shared = block_overlaps([np.frombuffer(theirs[mine[0]], np.int64)], [own[k] for k in mine])[0]
                 linked[mine] = 100 * shared >= percent * (size[mine] + other[mine] - shared)
-            yield pa.RecordBatch.from_arrays([pa.array(leader[linked]), pa.array(doc[linked])], ["a", "b"])
+            names = ["leader", "doc_id", "leader_label", "label"]
+            yield some.select(names).filter(pa.array(linked)).rename_columns(["a", "b", "label_a", "label_b"])
 
 
-def _similar(percent: int):
-    return (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")) & (F.col("doc_id") != F.col("leader"))
+def _possible(percent: int):
+    """Bounds from sizes alone: neither set holds more than the other, and no n-gram of its own is shared."""
+    most = F.least(F.col("n") - F.col("alone"), F.col("leader_n") - F.col("leader_alone"))
+    return (100 * most >= percent * (F.col("n") + F.col("leader_n") - most)) & (F.col("doc_id") != F.col("leader"))
 
 
 def links(rows: DataFrame, percent: int) -> list[DataFrame]:
@@ -150,18 +153,20 @@ def links(rows: DataFrame, percent: int) -> list[DataFrame]:
         # The leaders of a column: of each part of its documents the one with the fewest n-grams of its own.
         salt = F.pmod(F.xxhash64("doc_id", F.lit(leaders)), F.lit(leaders))
         picked = entries.groupBy("column", salt.alias("_s")).agg(F.min(F.struct("alone", "doc_id", "n", "label")).alias("l"))
-        picked = staged(picked.select("column", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.label").alias("leader_label")), "leaders")
-        pairs = entries.join(picked, "column").where(_similar(percent) & (F.col("label") != F.col("leader_label")))
+        picked = staged(picked.select("column", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.alone").alias("leader_alone"), F.col("l.label").alias("leader_label")), "leaders")
+        pairs = entries.join(picked, "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")))
         # Between two leaders one direction will do; the larger id is then the document.
-        pairs = staged(pairs.select("leader", "doc_id").distinct(), "pairs")
+        pairs = staged(pairs.select("leader", "doc_id", "leader_label", "label").distinct(), "pairs")
         own = pairs.join(sets, "doc_id")
         theirs = sets.select(F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), F.col("columns").alias("leader_columns"))
-        new = staged(own.join(theirs, "leader").mapInArrow(lambda b: _multiply(b, percent), "a long, b long"), "new_links")
-        found.append(new)
-        # What hangs on one leader has one label from now on; leaders have met all of their columns.
-        hung = staged(new.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("hung")), "hung")
+        product = own.join(theirs, "leader").mapInArrow(lambda b: _multiply(b, percent), "a long, b long, label_a long, label_b long")
+        new = staged(product, "new_links")
+        found.append(new.select("a", "b"))
+        # Most of what is linked has one label from now on; leaders have met all documents of their columns.
+        now = staged(contracted(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))), "labels")
         rest = entries.join(picked.select("column", F.col("leader").alias("doc_id")), ["column", "doc_id"], "left_anti")
-        rest = rest.join(hung, "doc_id", "left").withColumn("label", F.coalesce("hung", "label")).drop("hung")
+        rest = rest.join(now.select(F.col("id").alias("label"), "parent"), "label", "left")
+        rest = rest.withColumn("label", F.coalesce("parent", "label")).drop("parent")
         rest = staged(rest, "rest")
         open_ = rest.groupBy("column").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("column")
         entries = staged(rest.join(staged(open_, "open"), "column", "left_semi"), "entries")
