@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: White space as the contracts spell it: space and the controls from tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Text bytes that one in-memory step works on; larger batches are cut at document borders.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,6 +85,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """Powers of the inverse multiplier: a difference of prefix sums times the one at its start does not depend on its place."""
+    return _power(n)[1]
+
+
 def prefix_sums(raw: np.ndarray) -> np.ndarray:
     """Sums of the bytes' random words times the powers of their places, so that spans hash by subtraction."""
     up, _ = _power(len(raw))

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from pedalgrid.llm.common import steps, strings, text_bytes
 
 #: Bytes of text in a group. With 16 GB executors 256 MB keep the number of packed rows low at 100 TB.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 10 << 20
 LEAST_GROUPS = 64
+#: Bytes of text that a task holds back to send the documents of a group together and compressed.
+BUNDLE_BYTES = 48 << 20
 
 #: Keys, and how often each counts, of all documents of some texts ``(raw, borders)``.
 Keys = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -65,11 +67,51 @@ def group_count(docs: DataFrame) -> int:
     return max(LEAST_GROUPS, math.ceil(text_bytes(docs) / GROUP_BYTES))
 
 
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of one group in one compressed row, as far as a task has read."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    held: list[pa.RecordBatch] = []
+
+    def flush():
+        table = pa.Table.from_batches(held).combine_chunks()
+        parts = table["part"].to_numpy()
+        order = np.argsort(parts, kind="stable")
+        names, first = np.unique(parts[order], return_index=True)
+        rows = []
+        for a, b in zip(first, np.append(first[1:], len(order))):
+            sink = pa.BufferOutputStream()
+            some = table.select(["doc_id", "text"]).take(pa.array(order[a:b]))
+            with pa.ipc.new_stream(sink, some.schema, options=options) as out:
+                out.write_table(some)
+            rows.append(sink.getvalue().to_pybytes())
+        held.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(rows, pa.binary())], ["part", "documents"])
+
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > BUNDLE_BYTES:
+            yield from flush()
+            size = 0
+    if held:
+        yield from flush()
+
+
 def dealt(docs: DataFrame, groups: int) -> DataFrame:
-    """``doc_id, text, part`` with the group of each document; other columns go."""
+    """``part, documents``: the documents of each group in compressed bundles; other columns go."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")
-    return rows.withColumn("part", part).repartition("part")
+    return rows.withColumn("part", part).mapInArrow(_bundles, "part int, documents binary").repartition("part")
+
+
+def unbundled(bundles: pa.Table) -> pa.Table:
+    """``doc_id, text, part`` of a group's bundles, a document a row."""
+    tables = [pa.ipc.open_stream(b.as_buffer()).read_all() for b in bundles["documents"]]
+    part = bundles["part"][0].as_py() if bundles.num_rows else 0
+    empty = pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})
+    whole = pa.concat_tables([t.cast(empty.schema) for t in tables] or [empty]).combine_chunks()
+    return whole.append_column("part", pa.array(np.full(whole.num_rows, part), pa.int32()))
 
 
 def in_steps(texts: pa.Table, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -148,11 +190,11 @@ def with_totals(
     """``finish(texts of a group, totals of its keys in order, summed weight of all groups)`` for every group.
 
     ``count`` gives a group's distinct keys in order, their counts and one further number that is added
-    over all groups. Both are called with the same table of ``dealt`` documents.
+    over all groups. Both are called with the same table of documents, ``doc_id, text, part``; ``texts`` is ``dealt``.
     """
     bits = max(0, math.ceil(math.log2(groups)))
     sent = texts.groupBy("part").applyInArrow(
-        lambda t: _send(t, count, bits), "bucket int, part int, keys binary, counts binary, weight long"
+        lambda t: _send(unbundled(t), count, bits), "bucket int, part int, keys binary, counts binary, weight long"
     )
     answers = sent.groupBy("bucket").applyInArrow(_total, "part int, bucket int, totals binary, weight long")
 
@@ -162,6 +204,6 @@ def with_totals(
         totals = np.concatenate([unpack(packed[k]).astype(np.int64) for k in order]) if len(order) else np.zeros(0, np.int64)
         # One bucket's weight is the sum over all groups; it is the same in each.
         weight = reply["weight"][0].as_py() if reply.num_rows else 0
-        return finish(own, totals, weight)
+        return finish(unbundled(own), totals, weight)
 
     return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(back, layout)

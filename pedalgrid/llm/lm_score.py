@@ -17,7 +17,7 @@ from pedalgrid.llm.common import mixed, words
 
 ORDER = 3
 BACKOFF = 0.4
-STEP = 1 << 20
+STEP = 1 << 19
 
 _STEP_UP = np.uint64(0x9E3779B97F4A7C15)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.llm import key_counts
-from pedalgrid.llm.common import mixed, prefix_sums, span_hashes, strings
+from pedalgrid.llm.common import inverse_powers, mixed, prefix_sums, strings
 from pedalgrid.llm.key_counts import pack, unpack
 
 SPAN = 50
@@ -39,7 +39,7 @@ PLACES = SPAN - SEED + 1
 BEFORE = PLACES - 1
 WIDTH = SPAN + BEFORE
 WORDS = WIDTH // 8
-SLICE = 1 << 18
+SLICE = 1 << 16
 #: Stands for what lies beyond a document's border; no byte of UTF-8, and above all others.
 BEYOND = 255
 NEVER = np.iinfo(np.int64).max
@@ -50,48 +50,46 @@ PER_DOCUMENT = 64
 LANE_ROWS = 96
 
 
-def anchors(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The places that windows name, in order. Windows lie in one document."""
-    found, n = [], len(raw)
+def anchors(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that windows name, in order, and the hash of the seed at each. Windows lie in one document."""
+    places, keys, n = [], [], len(raw)
     for first in range(0, max(0, n - SPAN + 1), SLICE):
         part = raw[first : first + SLICE + SPAN - 1]
         starts = len(part) - SPAN + 1
-        sums = prefix_sums(part)
-        seeds = np.arange(len(part) - SEED + 1)
+        sums, down = prefix_sums(part), inverse_powers(len(part))
+        seed = sums[SEED:] - sums[:-SEED]
+        seed *= down[: len(seed)]
         # Least hash, leftmost of equals: the hash above, the place below.
-        value = (span_hashes(sums, seeds, seeds + SEED) & np.uint64(0xFFFFFFFF00000000)) | seeds.astype(np.uint64)
+        value = seed ^ (seed >> np.uint64(32))
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value &= np.uint64(0xFFFFFFFF00000000)
+        value |= np.arange(len(seed), dtype=np.uint64)
         width = 1
         while width < PLACES:
             step = min(width, PLACES - width)
             value = np.minimum(value[: len(value) - step], value[step:])
             width += step
         crossing = np.zeros(starts + 1, np.int32)
-        low = np.clip(np.maximum(at[1:] - SPAN + 1, at[:-1]) - first, 0, starts)
-        high = np.clip(at[1:] - first, 0, starts)
-        np.add.at(crossing, low, 1)
-        np.add.at(crossing, high, -1)
+        near = slice(max(0, np.searchsorted(at, first, "right") - 1), np.searchsorted(at, first + starts + SPAN, "left") + 1)
+        begin, end = at[:-1][near], at[1:][near]
+        np.add.at(crossing, np.clip(np.maximum(end - SPAN + 1, begin) - first, 0, starts), 1)
+        np.add.at(crossing, np.clip(end - first, 0, starts), -1)
         named = (value & np.uint64(0xFFFFFFFF))[np.cumsum(crossing[:-1]) == 0].astype(np.int64)
         if len(named):
-            found.append(first + named[np.concatenate([[True], named[1:] != named[:-1]])])
-    if not found:
-        return np.zeros(0, np.int64)
-    place = np.concatenate(found)
-    return np.unique(place)
-
-
-def seed_keys(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Hash of the seed at each anchor."""
-    code = np.zeros(len(place), np.uint64)
-    for k in range(SEED):
-        code = mixed(code + raw[place + k].astype(np.uint64) + np.uint64(1)) if k % 8 == 7 else code * np.uint64(0x100000001B3) + raw[place + k].astype(np.uint64) + np.uint64(1)
-    return mixed(code)
+            named = named[np.concatenate([[True], named[1:] != named[:-1]])]
+            places.append(first + named)
+            keys.append(mixed(seed[named]))
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    place, once = np.unique(np.concatenate(places), return_index=True)
+    return place, np.concatenate(keys)[once]
 
 
 def _read(texts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, borders, anchors, the seeds' keys, and each anchor's document."""
     raw, at = strings(texts["text"])
-    place = anchors(raw, at)
-    return raw, at, place, seed_keys(raw, place), np.searchsorted(at, place, "right") - 1
+    place, key = anchors(raw, at)
+    return raw, at, place, key, np.searchsorted(at, place, "right") - 1
 
 
 def _count(texts: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
@@ -107,13 +105,17 @@ def rows_at(raw: np.ndarray, at: np.ndarray, place: np.ndarray, doc: np.ndarray)
 
     Bytes are one up, so that none is zero; ``BEYOND`` fills up at borders.
     """
-    out = np.full((len(place), WIDTH), BEYOND, np.uint8)
-    for k in range(SPAN):
-        inside = place + k < at[doc + 1]
-        out[inside, k] = raw[place[inside] + k] + 1
-    for k in range(BEFORE):
-        inside = place - 1 - k >= at[doc]
-        out[inside, SPAN + k] = raw[place[inside] - 1 - k] + 1
+    out = np.empty((len(place), WIDTH), np.uint8)
+    padded = np.concatenate([np.zeros(BEFORE, np.uint8), raw, np.zeros(SPAN, np.uint8)]) + np.uint8(1)
+    out[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(padded, SPAN)[place + BEFORE]
+    out[:, SPAN:] = np.lib.stride_tricks.sliding_window_view(padded, BEFORE)[place][:, ::-1]
+    after, before = at[doc + 1] - place, place - at[doc]
+    for room, part in ((after, slice(0, SPAN)), (before, slice(SPAN, WIDTH))):
+        size = part.stop - part.start
+        near = np.flatnonzero(room < size)
+        block = out[near, part]
+        block[np.arange(size) >= room[near, None]] = BEYOND
+        out[near, part] = block
     return out
 
 
@@ -125,7 +127,14 @@ def as_words(rows: np.ndarray) -> np.ndarray:
 def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct rows, and the number of each row among them."""
     word = as_words(rows)
-    order = np.lexsort(word.T[::-1])
+    order = np.lexsort((word[:, 1], word[:, 0]))
+    # Only rows that agree in two words with a neighbour are sorted by the others.
+    same = (word[order[1:], 0] == word[order[:-1], 0]) & (word[order[1:], 1] == word[order[:-1], 1])
+    some = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(rows) else order
+    if len(some):
+        group = np.cumsum(~np.concatenate([[False], same]))[some]
+        rest = word[order[some]]
+        order[some] = order[some][np.lexsort((*rest.T[:1:-1], group))]
     word = word[order]
     new = np.ones(len(rows), bool)
     new[1:] = (word[1:] != word[:-1]).any(axis=1)
@@ -323,6 +332,22 @@ def least_ids(rows: np.ndarray, lcp: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def offsets_of(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last offset before the anchor at which a window fits into the row's document."""
+    after = (rows[:, :SPAN] != BEYOND).sum(axis=1)
+    before = (rows[:, SPAN:] != BEYOND).sum(axis=1)
+    return np.maximum(0, SPAN - after), np.minimum(BEFORE, before)
+
+
+def summed_up(rows: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id of each row over all offsets, and which rows have others at some offset that fits."""
+    low, high = offsets_of(rows)
+    lowest = found.min(axis=0) if found.shape[1] else np.zeros(0, np.int64)
+    same = (found == lowest).sum(axis=0)
+    fits = np.where(lowest == NEVER, PLACES, np.maximum(0, high - low + 1))
+    return lowest, same != fits
+
+
 # --- the three visits to the documents ---------------------------------------------------------------
 
 
@@ -364,31 +389,55 @@ def _merge(sent: pa.Table) -> pa.Table:
     kind[order] = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     least = np.minimum.reduceat(ids[order], first) if len(first) else ids
-    found = least_ids(np.concatenate(runs)[order[first]], lcp[first], least)
+    rows = np.concatenate(runs)[order[first]]
+    found = least_ids(rows, lcp[first], least)
+    lowest, unlike_ids = summed_up(rows, found)
     at = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
-    answers = []
+    answers, several, tables = [], [], []
     for a, b in zip(at[:-1], at[1:]):
-        table = found[:, kind[a:b]].view(np.uint64)
-        answers.append(pack(np.diff(table, axis=0, prepend=np.uint64(0)).ravel()))
-    return pa.table({"part": sent["part"], "bucket": sent["bucket"], "least": pa.array(answers, pa.binary()), "flags": sent["flags"]})
+        mine = kind[a:b]
+        unlike = unlike_ids[mine]
+        answers.append(pack(lowest[mine]))
+        several.append(pack(np.packbits(unlike)))
+        tables.append(pack(found[:, mine[unlike]].ravel()))
+    return pa.table(
+        {
+            "part": sent["part"],
+            "bucket": sent["bucket"],
+            "least": pa.array(answers, pa.binary()),
+            "several": pa.array(several, pa.binary()),
+            "tables": pa.array(tables, pa.binary()),
+            "flags": sent["flags"],
+        }
+    )
 
 
 def _mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Bytes that go, and what is left."""
     raw, at, place, key, doc = _read(texts)
     order = np.argsort(answers["bucket"].to_numpy())
-    packed, flags = answers["least"].to_pylist(), answers["flags"].to_pylist()
+    flags = answers["flags"].to_pylist()
     keys = np.unique(key)
     shared = np.unpackbits(unpack(flags[order[0]]), count=len(keys)).astype(bool) if len(order) else np.zeros(len(keys), bool)
     mine = shared[np.searchsorted(keys, key)] if len(key) else np.zeros(0, bool)
     place, doc = place[mine], doc[mine]
     own = _ids(texts)[doc]
-    _, number = distinct_rows(rows_at(raw, at, place, doc))
-    tables = [np.cumsum(unpack(packed[k]).reshape(PLACES, -1), axis=0, dtype=np.uint64).view(np.int64) for k in order]
-    least = np.concatenate(tables, axis=1) if tables else np.zeros((PLACES, 0), np.int64)
+    rows, number = distinct_rows(rows_at(raw, at, place, doc))
+    least = [unpack(x) for x in answers["least"].take(pa.array(order)).to_pylist()]
+    several = [np.unpackbits(unpack(x), count=len(n)).astype(bool) for x, n in zip(answers["several"].take(pa.array(order)).to_pylist(), least)]
+    tables = [unpack(x).reshape(PLACES, -1) for x in answers["tables"].take(pa.array(order)).to_pylist()]
+    nothing = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros((PLACES, 0), np.int64)]
+    lowest, several, table = (np.concatenate(x or none, axis=-1) for x, none in zip((least, several, tables), nothing))
     change = np.zeros(len(raw) + 1, np.int32)
+    low, high = offsets_of(rows)
+    # One id at all offsets: the windows are one stretch around the anchor.
+    plain = (lowest[number] < own) & ~several[number] & (low[number] <= high[number])
+    np.add.at(change, place[plain] - high[number[plain]], 1)
+    np.add.at(change, place[plain] - low[number[plain]] + SPAN, -1)
+    part = np.flatnonzero(several[number])
+    column = (np.cumsum(several) - 1)[number[part]]
     for offset in range(PLACES):
-        start = place[least[offset][number] < own] - offset
+        start = place[part[table[offset][column] < own[part]]] - offset
         np.add.at(change, start, 1)
         np.add.at(change, start + SPAN, -1)
     gone = np.cumsum(change[:-1]) > 0
@@ -413,7 +462,7 @@ def _mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, at = strings(batch["text"])
-        place = anchors(raw, at)
+        place, _ = anchors(raw, at)
         doc = np.searchsorted(at, place, "right") - 1
         turn = np.arange(len(place)) - np.searchsorted(doc, doc)
         every = np.bincount(doc, minlength=len(at))[doc] // PER_DOCUMENT + 1
@@ -424,8 +473,10 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def range_borders(docs: DataFrame, ranges: int) -> np.ndarray:
     """Borders between ranges of first words, from a bounded sample of documents; any borders give the same result."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.length("text") >= SPAN)
-    few = rows.orderBy(F.xxhash64("doc_id")).limit(SAMPLE).select("text")
+    share = min(1.0, 4 * SAMPLE / max(1, docs.count()))
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("rank"))
+    some = rows.where((F.pmod("rank", F.lit(1_000_000)) < int(1_000_000 * share) + 1) & (F.length("text") >= SPAN))
+    few = some.orderBy("rank").limit(SAMPLE).select("text")
     first = np.array([r[0] for r in few.mapInArrow(_prefixes, "first long").collect()], np.int64).view(np.uint64)
     return np.unique(np.sort(first)[np.linspace(0, len(first), ranges + 1)[1:-1].astype(int)]) if len(first) else first
 
@@ -446,9 +497,11 @@ def strip(docs: DataFrame) -> DataFrame:
         lambda t, totals, _: _send(t, totals, borders),
         "bucket int, part int, prefix binary, rest binary, ids binary, flags binary",
     )
-    answers = sent.groupBy("bucket").applyInArrow(_merge, "part int, bucket int, least binary, flags binary")
+    answers = sent.groupBy("bucket").applyInArrow(
+        _merge, "part int, bucket int, least binary, several binary, tables binary, flags binary"
+    )
     marked = texts.groupBy("part").cogroup(answers.groupBy("part"))
-    return marked.applyInArrow(_mark, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return marked.applyInArrow(lambda t, a: _mark(key_counts.unbundled(t), a), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(stripped: DataFrame) -> DataFrame:

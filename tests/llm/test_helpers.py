@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from pedalgrid.llm import common, key_counts
-from pedalgrid.llm.links import components
+from pedalgrid.llm.links import components, contracted
 
 
 def test_strings_of_sliced_and_null_values():
@@ -68,3 +68,13 @@ def test_components_of_chains_stars_and_loops(spark):
 
 def test_components_of_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_contracted_ids_are_connected_to_their_parents(spark):
+    random.seed(6)
+    edges = [(random.randrange(60), random.randrange(60)) for _ in range(45)] + [(100, k) for k in range(101, 130)]
+    root = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r["id"]: r["parent"] for r in contracted(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(root[k] == root[p] and p < k for k, p in found.items())
+    assert {found[k] for k in range(101, 130)} == {100}
+    assert contracted(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -67,7 +67,11 @@ def test_equal_windows_name_the_same_place():
     part = "".join(draw.choice("abcd ") for _ in range(400))
     a, b = "x" * 77 + part + "yy", "q" + part + "z" * 60
     raw, at = strings(pa.array([a, b, "short"]))
-    place = s.anchors(raw, at)
+    place, key = s.anchors(raw, at)
+    by_seed = {}
+    for p, k in zip(place, key):
+        assert by_seed.setdefault(bytes(raw[p : p + s.SEED]), k) == k
+    assert len(set(key.tolist())) == len(by_seed)
     first, second = 77, len(a) + 1
     inner = lambda start: {p - start for p in place if start + 49 <= p < start + 400 - 49}
     assert inner(first) == inner(second)
