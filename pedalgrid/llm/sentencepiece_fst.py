@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 META = "▁"
 #: Words and pairs that one Python worker remembers.
-MEMORY = 400_000
-STEP_ROWS = 500
+MEMORY = 300_000
+STEP_ROWS = 1_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -41,21 +42,27 @@ class Transducer:
     def __init__(self, pieces: list[tuple[str, float, int]], kind: int, dummy_prefix: bool = True):
         self.kind, self.dummy_prefix = kind, dummy_prefix
         self.lexicon = {p: (k, s) for k, (p, s, t) in enumerate(pieces) if t in (NORMAL, USER)}
+        self.coded = {p: array("i", [k]).tobytes() for p, (k, _) in self.lexicon.items()}
         self.bytes = {int(p[1:-1], 16): k for k, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.unknown = next((k for k, (_, _, t) in enumerate(pieces) if t == UNKNOWN), 0)
         lowest = min((s for s in (x[1] for x in self.lexicon.values()) if s > -1e8), default=0.0)
         self.unknown_cost = 10.0 - lowest
         self.surface = [p.encode() if t in (NORMAL, USER) else bytes([int(p[1:-1], 16)]) if t == BYTE else " ⁇ ".encode() if t == UNKNOWN else b"" for p, _, t in pieces]
-        # Sizes of the pieces by their first two characters: the arcs that can leave a position.
-        sizes: dict[str, set[int]] = {}
+        # The arcs that can leave a position, by its next four characters, or three, or two: sizes of pieces, longest
+        # first. Sizes up to four are of pieces that are there, longer ones are to be tried.
+        self.starts: tuple[dict[str, tuple[int, ...]], ...] = ({}, {}, {})
+        longer: dict[str, set[int]] = {}
         for p in self.lexicon:
-            sizes.setdefault(p[:2], {1}).add(len(p))
-        self.starts = {c: tuple(sorted(s, reverse=True)) for c, s in sizes.items()}
+            longer.setdefault(p[:4], set()).add(len(p))
+        for key, sizes in longer.items():
+            sizes = {k for k in sizes if k >= 4} | {k for k in (2, 3) if key[:k] in self.lexicon and len(key) >= k} | {1}
+            if len(key) > 1:
+                self.starts[4 - len(key)][key] = tuple(sorted(sizes, reverse=True))
         #: Neighbours inside any piece: between others no piece reaches across.
         self.inner = {p[k : k + 2] for p in self.lexicon for k in range(len(p) - 1)}
         inner = any(META in p.lstrip(META) for p in self.lexicon)
         self.cut_blanks = not inner
-        self.cut_lines = not any("\n" in p and len(p) > 1 for p in self.lexicon)
+        self.cut_lines = bool(self.bytes) and not any("\n" in p and len(p) > 1 for p in self.lexicon)
         self.follows: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -98,41 +105,51 @@ class Transducer:
             self.follows[left, right] = found
         return found
 
+    def leaving(self, text: str, at: int) -> tuple[int, ...]:
+        """Sizes of the arcs that may leave a position, longest first."""
+        four, three, two = self.starts
+        key = text[at : at + 4]
+        return four.get(key) or three.get(key[:3]) or two.get(key[:2], _SINGLE)
+
     def _pair_path(self, text: str) -> list[str]:
         """The only path of finite weight through the pair acceptor, longest arcs first. The text up to a
         position has one such path, so a position that leads nowhere is never tried again."""
-        n, lexicon, starts, follows = len(text), self.lexicon, self.starts, self.follows
-        at, before, turn = 0, "", 0
-        trail: list[tuple[int, str, int]] = []
-        dead = set()
+        n, lexicon, follows = len(text), self.lexicon, self.follows
+        four, three, two = self.starts
+        at, before, turn, sizes = 0, "", 0, None
+        trail: list[tuple[int, str, int, tuple[int, ...]]] = []
+        out: list[str] = []
+        dead: set[int] = set()
         while at < n:
-            sizes = starts.get(text[at : at + 2], _SINGLE)
-            while turn < len(sizes):
+            if sizes is None:
+                key = text[at : at + 4]
+                sizes = four.get(key) or three.get(key[:3]) or two.get(key[:2], _SINGLE)
+            for turn in range(turn, len(sizes)):
                 size = sizes[turn]
-                turn += 1
                 end = at + size
                 if end > n or end in dead:
                     continue
                 piece = text[at:end]
-                if size > 1 and piece not in lexicon:
+                if size > 4 and piece not in lexicon:
                     continue
                 good = follows.get((before, piece))
                 if good if good is not None else self.may_follow(before, piece):
-                    trail.append((at, before, turn))
-                    at, before, turn = end, piece, 0
+                    trail.append((at, before, turn + 1, sizes))
+                    out.append(piece)
+                    at, before, turn, sizes = end, piece, 0, None
                     break
             else:
                 dead.add(at)
-                at, before, turn = trail.pop()
-        return [p for _, p, _ in trail[1:]] + [before] if n else []
+                at, before, turn, sizes = trail.pop()
+                out.pop()
+        return out
 
     def _least_path(self, text: str) -> list[str]:
         """The path whose scores add up to the most."""
         n = len(text)
         cost, back = [0.0] + [math.inf] * n, [0] * (n + 1)
         for start in range(n):
-            sizes = self.starts.get(text[start : start + 2], _SINGLE)
-            for size in sizes:
+            for size in self.leaving(text, start):
                 end = start + size
                 if end > n:
                     continue
@@ -152,25 +169,29 @@ class Transducer:
         """Texts of the arcs of the least path over a normalised input."""
         return self._pair_path(text) if self.kind == BPE else self._least_path(text)
 
-    def output(self, text: str) -> list[int]:
+    def output(self, text: str) -> bytes:
         """Ids on the least path; a character without a piece gives its bytes, or one unknown per run of such."""
-        ids: list[int] = []
-        for part in self.path(text):
-            found = self.lexicon.get(part)
-            if found is not None:
-                ids.append(found[0])
-            elif self.bytes:
-                ids += [self.bytes[b] for b in part.encode()]
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
-        return ids
+        coded = self.coded
+        try:
+            return b"".join([coded[p] for p in self.path(text)])
+        except KeyError:
+            ids: list[int] = []
+            for part in self.path(text):
+                found = self.lexicon.get(part)
+                if found is not None:
+                    ids.append(found[0])
+                elif self.bytes:
+                    ids += [self.bytes[b] for b in part.encode()]
+                elif not ids or ids[-1] != self.unknown:
+                    ids.append(self.unknown)
+            return array("i", ids).tobytes()
 
     # --- whole texts ----------------------------------------------------------------------------
 
     def _cut(self, text: str) -> list[str]:
         """Parts of the normalised text that no piece spans. Words after one blank go without their meta symbol,
         as ``normal`` restores it; lines and odd blanks carry what they need."""
-        if self.cut_blanks and self.cut_lines and self.dummy_prefix and text[:1] not in ("", " ") and META not in text and "  " not in text and " \n" not in text:
+        if self.cut_blanks and self.cut_lines and self.dummy_prefix and text[:1] not in ("", " ") and META not in text and "\0" not in text and "  " not in text and " \n" not in text:
             return text.replace("\n", " \n").split(" ")
         whole = text.replace(" ", META)
         whole = META + whole if self.dummy_prefix and whole else whole
@@ -202,10 +223,10 @@ class Transducer:
 
     def _coded(self, text: str) -> bytes:
         """Ids of a part; a last character that no piece joins to the one before is an input of its own."""
-        if len(text) > 1 and text[-2:] not in self.inner:
+        if len(text) > 1 and self.bytes and text[-2:] not in self.inner:
             head = text[:-1]
             return (self.known.get(self.named(head)) or self._coded(head)) + self._coded(text[-1])
-        return np.array(self.output(text), "<i4").tobytes()
+        return self.output(text)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: their pieces and bytes, meta symbols as blanks, without the dummy prefix."""
@@ -229,6 +250,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), values)
             yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(n), lists], ["doc_id", "n_pieces", "ids"])
+    model.older = {}  # other operators' tasks run in this worker next
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
