@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,49 +19,90 @@ from pyspark.sql import functions as F
 
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-#: Words whose ids one Python worker remembers.
-MEMORY = 700_000
+#: Words whose ids one Python worker remembers, twice over: an older half goes when a newer one is full.
+MEMORY = 600_000
 LAYOUT = "doc_id long, part int, place long, n_tokens long, ids array<int>"
 
 _state: dict = {}
 
 
+def _alphabet() -> dict[int, str]:
+    """Bytes as the byte-level vocabulary spells them: printable ones as themselves, the others from 256 up."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_ALPHABET = _alphabet()
+
+
 class Encoder:
-    """Whole texts to ids. A text is cut before single spaces between words, where the pre-tokenizer
-    always cuts as well, so that the library sees each distinct word once per worker."""
+    """Whole texts to ids, each distinct word given to the library once as long as it is remembered.
+
+    A text is cut where the pre-tokenizer always cuts as well: before a lone blank that stands between
+    words, after a line end, and between a letter and the marks behind it. Texts with two blanks in a row
+    are cut only before spaces that follow a word.
+    """
+
+    #: Blanks side by side can belong to one token.
+    _odd = re.compile(r"\s\s")
+    _marked = re.compile(r"(.*[^\W\d_])([.,;:!?|*#$%&]+)", re.S)
+    #: Letters below this are letters in every version of Unicode.
+    _latin = "\u0250"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        #: A word after a space is remembered without it; any other part after a zero character.
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, found))
-
-    #: Where a cut could change the result: a space beside other white space.
-    _odd = re.compile(r" \s|\s ")
+        self.older: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
-        if self._odd.search(text):
-            return re.split(r"(?<=\S)(?= \S)", text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + x for x in rest]]
+        if not text:
+            return []
+        if self._odd.search(text) or "\0" in text:
+            return ["\0" + p for p in re.split(r"(?<=\S)(?= )", text)]
+        parts = text.replace("\n", " \n").split(" ")
+        parts[0] = "\0" + parts[0]
+        return parts
+
+    def _ids(self, part: str) -> bytes:
+        if self._is_word(part):  # one pre-token: straight to the merges, in the byte alphabet
+            return array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_ALPHABET))]).tobytes()
+        if part[:1] == "\n" and len(part) > 1 and not part[1].isspace():
+            return self._ids("\n") + self._ids(part[1:])
+        if m := self._marked.fullmatch(part):
+            head = m[1]
+            found = self.known.get(head[1:]) if head[:1] == " " and self._is_word(head) else None
+            return (self._ids(head) if found is None else found) + self._mark(m[2])
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def _is_word(self, part: str) -> bool:
+        core = part[1:] if part[:1] == " " else part
+        return core.isalpha() and (core.isascii() or max(core) < self._latin)
+
+    def _mark(self, mark: str) -> bytes:
+        found = self.known.get("\0" + mark)
+        if found is None:
+            found = self.known["\0" + mark] = array("I", self.tokenizer.encode(mark, add_special_tokens=False).ids).tobytes()
+        return found
+
+    def _whole(self, key: str) -> bytes:
+        return self._ids(key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._cut(t) if t else [] for t in texts]
-        missing = list(set().union(*cut) - self.known.keys())
-        if len(self.known) + len(missing) > MEMORY:
-            missing = list(set().union(*cut))
-            self.known.clear()
-        self._learn(missing)
-        get = self.known.__getitem__
+        cut = [self._cut(t) for t in texts]
+        wanted = set().union(*cut)
+        if len(self.known) + len(wanted) > MEMORY:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        for key in wanted - known.keys():
+            found = older.get(key)
+            known[key] = self._whole(key) if found is None else found
+        get = known.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 
@@ -88,6 +130,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
                 [some["doc_id"], pa.array(np.full(len(n), part, np.int32)), pa.array(where), pa.array(n), lists],
                 ["doc_id", "part", "place", "n_tokens", "ids"],
             )
+    coder.older = {}  # other operators' tasks run in this worker next
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
