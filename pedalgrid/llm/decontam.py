@@ -30,7 +30,7 @@ LEAST_WORDS = 5
 #: seed with it (checked in the tests).
 FAMILIES = ((17, ("1101111", "1110111", "1100010111")), (11, ("10111", "1111")), (8, ("111", "1101")), (5, ("11", "101")))
 BLOCK_WORDS = 1_000_000
-_BITS = 22
+_BITS = 20
 
 
 def _mask(text: str) -> np.ndarray:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 META = "▁"
 #: Words and pairs that one Python worker remembers.
-MEMORY = 300_000
+MEMORY = 250_000
 STEP_ROWS = 1_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -99,7 +99,7 @@ class Transducer:
         """Whether the pair acceptor has a finite arc; with no left piece, whether the piece exists on its own."""
         found = self.follows.get((left, right))
         if found is None:
-            if len(self.follows) > MEMORY:
+            if len(self.follows) > MEMORY // 2:
                 self.follows.clear()
             found = self.merged(left + right) == ([left, right] if left else [right])
             self.follows[left, right] = found
