@@ -222,11 +222,15 @@ class Transducer:
         return [b"".join(map(get, c)) for c in cut]
 
     def _coded(self, text: str) -> bytes:
-        """Ids of a part; a last character that no piece joins to the one before is an input of its own."""
-        if len(text) > 1 and self.bytes and text[-2:] not in self.inner:
-            head = text[:-1]
-            return (self.known.get(self.named(head)) or self._coded(head)) + self._coded(text[-1])
-        return self.output(text)
+        """Ids of a part; last characters that no piece joins to the ones before are inputs of their own."""
+        n = len(text)
+        while self.bytes and n > 1 and text[n - 2 : n] not in self.inner:
+            n -= 1
+        if n == len(text):
+            return self.output(text)
+        head, tail = text[:n], text[n:]
+        single = {c: self.output(c) for c in set(tail)}
+        return (self.known.get(self.named(head)) or self.output(head)) + b"".join(map(single.__getitem__, tail))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: their pieces and bytes, meta symbols as blanks, without the dummy prefix."""

@@ -33,6 +33,20 @@ def test_ids_and_texts_are_the_librarys(prose):
         assert model.decode(ids(found)) == library.decode(ids(found)) == text.replace(f.META, " ")
 
 
+def test_long_runs_without_blanks_are_the_librarys():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    draw = random.Random(5)
+    digits = "".join(draw.choice("0123456789") for _ in range(100_000))
+    thai = "".join(chr(draw.randint(0x0E01, 0x0E2E)) for _ in range(100_000))
+    for text in (digits, "7" * 100_000, "😀" * 100_000, thai, "。" * 100_000, "word" + digits, "word " + thai + " word"):
+        model = f.Transducer.from_file(MODEL)
+        found = model.encode([text])[0]
+        assert ids(found) == library.encode(text), text[:20]
+        assert model.decode(ids(found)) == text
+
+
 def test_a_small_memory_gives_the_same(monkeypatch):
     every = texts()
     whole = f.Transducer.from_file(MODEL).encode(every)
