@@ -16,7 +16,10 @@ side. The prefix lengths that come out tell which rows share how many bytes afte
 those, rows with the same bytes before it share a window, and the smallest id of each goes back.
 
 Rows that are equal in a group travel as one, with their smallest id, so a passage that a third of all
-documents hold is one row per group.
+documents hold is one row per group. At the passage's edges every document gives another row with the
+same first bytes. Ranges are cut anywhere in the whole row, so these are dealt out too; windows that a
+border may part (those of rows that share all of the window's bytes after the anchor with the border)
+are also sent by themselves, dealt by hash, and their smallest id comes back the same way.
 """
 
 from __future__ import annotations
@@ -348,6 +351,72 @@ def summed_up(rows: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return lowest, same != fits
 
 
+# --- windows across borders ---------------------------------------------------------------------------
+
+
+def as_text(rows: np.ndarray) -> np.ndarray:
+    """Rows as byte strings; no byte is zero."""
+    return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
+
+
+def reach(rows: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Bytes, ``SPAN`` at most, that each row shares with a border of its range; with rows beyond it shares no more."""
+    out = np.zeros(len(rows), np.int64)
+    bucket = np.searchsorted(borders, as_text(rows), "right") if len(rows) else out
+    wide = borders.view(np.uint8).reshape(len(borders), WIDTH)[:, :SPAN]
+    for some, border in ((np.flatnonzero(bucket > 0), -1), (np.flatnonzero(bucket < len(borders)), 0)):
+        for part in np.array_split(some, len(some) // SLICE + 1):
+            unlike = rows[part, :SPAN] != wide[bucket[part] + border]
+            out[part] = np.maximum(out[part], np.where(unlike.any(axis=1), unlike.argmax(axis=1), SPAN))
+    return out
+
+
+def parted(rows: np.ndarray, borders: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each offset before the anchor: the rows with a window that a border may part, which of the
+    distinct windows each has, and these windows, in order of their deal."""
+    far = np.flatnonzero(reach(rows, borders) >= SPAN - BEFORE)
+    near = rows[far]
+    after, (low, high) = reach(near, borders), offsets_of(near)
+    for offset in range(PLACES):
+        some = np.flatnonzero((after >= SPAN - offset) & (low <= offset) & (offset <= high))
+        if not len(some):
+            continue
+        part = near[some]
+        window = np.concatenate([part[:, SPAN : SPAN + offset][:, ::-1], part[:, : SPAN - offset]], axis=1)
+        text, number = np.unique(as_text(window), return_inverse=True)
+        order = np.argsort(deal(text, len(borders) + 1), kind="stable")
+        turn = np.empty(len(order), np.int64)
+        turn[order] = np.arange(len(order))
+        yield offset, far[some], turn[number], text[order]
+
+
+def deal(text: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each window."""
+    raw = text.view(np.uint8).reshape(len(text), SPAN)
+    word = np.pad(raw, ((0, 0), (0, -SPAN % 8))).view("<u8")
+    out = np.zeros(len(text), np.uint64)
+    for column in word.T:
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + column)
+    return (out % np.uint64(buckets)).astype(np.int64)
+
+
+def least_of(number: np.ndarray, ids: np.ndarray, kinds: int) -> np.ndarray:
+    out = np.full(kinds, NEVER, np.int64)
+    np.minimum.at(out, number, ids)
+    return out
+
+
+def _across(sent: pa.Table) -> pa.Table:
+    """The smallest id of each window of a bucket, for every group that sent it."""
+    texts = [unpack(x).view(f"S{SPAN}") for x in sent["rest"].to_pylist()]
+    ids = np.concatenate([unpack(x) for x in sent["ids"].to_pylist()])
+    kinds, number = np.unique(np.concatenate(texts), return_inverse=True)
+    least = least_of(number, ids, len(kinds))[number]
+    answers = [pack(x) for x in np.split(least, np.cumsum([len(t) for t in texts])[:-1])]
+    none = pa.array([b""] * sent.num_rows, pa.binary())
+    return pa.table({"part": sent["part"], "bucket": sent["bucket"], "least": pa.array(answers, pa.binary()), "several": none, "tables": none, "flags": none})
+
+
 # --- the three visits to the documents ---------------------------------------------------------------
 
 
@@ -356,7 +425,10 @@ def _ids(texts: pa.Table) -> np.ndarray:
 
 
 def _send(texts: pa.Table, totals: np.ndarray, borders: np.ndarray) -> pa.Table:
-    """The group's run in ranges. The first range also carries which seeds are shared, to have it back."""
+    """The group's run in ranges, and behind these buckets of windows that borders may part, offset by offset.
+
+    The first range also carries which seeds are shared, to have it back.
+    """
     raw, at, place, key, doc = _read(texts)
     shared = totals > 1
     keys = np.unique(key)
@@ -365,7 +437,7 @@ def _send(texts: pa.Table, totals: np.ndarray, borders: np.ndarray) -> pa.Table:
     rows, number = distinct_rows(rows_at(raw, at, place, doc))
     least = np.full(len(rows), NEVER, np.int64)
     np.minimum.at(least, number, _ids(texts)[doc])
-    cut = np.concatenate([[0], np.searchsorted(as_words(rows)[:, 0], borders), [len(rows)]])
+    cut = np.concatenate([[0], np.searchsorted(as_text(rows), borders), [len(rows)]])
     part = texts["part"][0].as_py()
     out: dict[str, list] = {c: [] for c in ("bucket", "part", "prefix", "rest", "ids", "flags")}
     for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
@@ -374,11 +446,20 @@ def _send(texts: pa.Table, totals: np.ndarray, borders: np.ndarray) -> pa.Table:
             flags = pack(np.packbits(shared)) if k == 0 else b""
             for c, v in zip(out, (k, part, prefix, rest, pack(least[a:b]), flags)):
                 out[c].append(v)
+    ranges = len(borders) + 1
+    for offset, some, window, text in parted(rows, borders):
+        ids, to = least_of(window, least[some], len(text)), deal(text, ranges)
+        names, first = np.unique(to, return_index=True)
+        for k, a, b in zip(names, first, np.append(first[1:], len(to))):
+            for c, v in zip(out, (ranges * (1 + offset) + k, part, b"", pack(text[a:b].view(np.uint8)), pack(ids[a:b]), b"")):
+                out[c].append(v)
     binary = {c: pa.array(out[c], pa.binary()) for c in ("prefix", "rest", "ids", "flags")}
     return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "part": pa.array(out["part"], pa.int32())} | binary)
 
 
-def _merge(sent: pa.Table) -> pa.Table:
+def _merge(sent: pa.Table, ranges: int) -> pa.Table:
+    if sent["bucket"][0].as_py() >= ranges:
+        return _across(sent)
     runs = [front_decode(a, b) for a, b in zip(sent["prefix"].to_pylist(), sent["rest"].to_pylist())]
     ids = np.concatenate([unpack(x) for x in sent["ids"].to_pylist()])
     order, lcp = merge_runs(runs)
@@ -412,10 +493,13 @@ def _merge(sent: pa.Table) -> pa.Table:
     )
 
 
-def _mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
+def _mark(texts: pa.Table, answers: pa.Table, borders: np.ndarray) -> pa.Table:
     """Bytes that go, and what is left."""
     raw, at, place, key, doc = _read(texts)
-    order = np.argsort(answers["bucket"].to_numpy())
+    ranges, buckets = len(borders) + 1, answers["bucket"].to_numpy()
+    order = np.argsort(buckets)
+    across = {o: order[buckets[order] // ranges == 1 + o] for o in range(PLACES)}
+    order = order[buckets[order] < ranges]
     flags = answers["flags"].to_pylist()
     keys = np.unique(key)
     shared = np.unpackbits(unpack(flags[order[0]]), count=len(keys)).astype(bool) if len(order) else np.zeros(len(keys), bool)
@@ -440,6 +524,15 @@ def _mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
         start = place[part[table[offset][column] < own[part]]] - offset
         np.add.at(change, start, 1)
         np.add.at(change, start + SPAN, -1)
+    by_row = np.argsort(number, kind="stable")
+    begin = np.searchsorted(number[by_row], np.arange(len(rows) + 1))
+    for offset, some, window, text in parted(rows, borders):
+        found = np.concatenate([unpack(x) for x in answers["least"].take(pa.array(across[offset])).to_pylist()])[window]
+        sizes = begin[some + 1] - begin[some]
+        each = by_row[np.repeat(begin[some] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+        start = place[each[np.repeat(found, sizes) < own[each]]] - offset
+        np.add.at(change, start, 1)
+        np.add.at(change, start + SPAN, -1)
     gone = np.cumsum(change[:-1]) > 0
     first = gone.copy()
     first[1:] &= ~gone[:-1]
@@ -467,18 +560,19 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = np.arange(len(place)) - np.searchsorted(doc, doc)
         every = np.bincount(doc, minlength=len(at))[doc] // PER_DOCUMENT + 1
         some = turn % every == 0
-        first = as_words(rows_at(raw, at, place[some], doc[some]))[:, 0]
-        yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64))], ["first"])
+        rows = as_text(rows_at(raw, at, place[some], doc[some]))
+        yield pa.RecordBatch.from_arrays([pa.array(rows.tolist(), pa.binary())], ["row"])
 
 
 def range_borders(docs: DataFrame, ranges: int) -> np.ndarray:
-    """Borders between ranges of first words, from a bounded sample of documents; any borders give the same result."""
+    """Borders between ranges of whole rows, from a bounded sample of documents; any borders give the same result."""
     share = min(1.0, 4 * SAMPLE / max(1, docs.count()))
     rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("rank"))
     some = rows.where((F.pmod("rank", F.lit(1_000_000)) < int(1_000_000 * share) + 1) & (F.length("text") >= SPAN))
     few = some.orderBy("rank").limit(SAMPLE).select("text")
-    first = np.array([r[0] for r in few.mapInArrow(_prefixes, "first long").collect()], np.int64).view(np.uint64)
-    return np.unique(np.sort(first)[np.linspace(0, len(first), ranges + 1)[1:-1].astype(int)]) if len(first) else first
+    found = np.array([bytes(r[0]) for r in few.mapInArrow(_prefixes, "row binary").collect()], f"S{WIDTH}")
+    return np.unique(np.sort(found)[np.linspace(0, len(found), ranges + 1)[1:-1].astype(int)]) if len(found) else found
+
 
 
 def strip(docs: DataFrame) -> DataFrame:
@@ -497,11 +591,12 @@ def strip(docs: DataFrame) -> DataFrame:
         lambda t, totals, _: _send(t, totals, borders),
         "bucket int, part int, prefix binary, rest binary, ids binary, flags binary",
     )
+    ranges = len(borders) + 1
     answers = sent.groupBy("bucket").applyInArrow(
-        _merge, "part int, bucket int, least binary, several binary, tables binary, flags binary"
+        lambda t: _merge(t, ranges), "part int, bucket int, least binary, several binary, tables binary, flags binary"
     )
     marked = texts.groupBy("part").cogroup(answers.groupBy("part"))
-    return marked.applyInArrow(lambda t, a: _mark(key_counts.unbundled(t), a), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return marked.applyInArrow(lambda t, a: _mark(key_counts.unbundled(t), a, borders), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(stripped: DataFrame) -> DataFrame:

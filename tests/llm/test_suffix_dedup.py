@@ -97,3 +97,29 @@ def test_null_and_repeated_ids_and_empty_tables(documents):
     docs = documents([t for _, t in rows], ids=[k for k, _ in rows])
     assert found(docs) == expected(rows)
     assert found(docs.where("doc_id < 0")) == []
+
+
+def with_edges(n):
+    """Texts with one passage, each between other words, so that rows at its edges differ in every document."""
+    draw = random.Random(6)
+    passage = "This notice must stay with every copy of the text, whole. "
+    words = lambda k: "".join(draw.choice("abcdefgh ") for _ in range(k))
+    ends = [words(45) for _ in range(20)]
+    return [draw.choice(ends)[draw.randint(0, 9) :] + passage + draw.choice(ends) + words(30) for _ in range(n)] + [words(60) + passage * 2 + words(60) for _ in range(n)]
+
+
+def test_hot_prefix_is_dealt_out(documents):
+    texts = with_edges(400)
+    borders = s.range_borders(documents(texts), 64)
+    table = pa.table({"doc_id": np.arange(len(texts)), "text": texts, "part": pa.array(np.zeros(len(texts)), pa.int32())})
+    keys, counts, _ = s._count(table)
+    sent = s._send(table, counts, borders)
+    rows = [len(s.unpack(x)) for x, k in zip(sent["ids"].to_pylist(), sent["bucket"].to_pylist()) if k <= len(borders)]
+    hot = max(np.unique(s.as_text(s.rows_at(*strings(pa.array(texts)), *s._read(table)[2::2])[:, :20]), return_counts=True)[1])
+    assert hot >= 800 and sum(rows) > 1000 and max(rows) < hot / 4
+
+
+def test_windows_across_borders_equal_brute_force(documents):
+    texts = with_edges(150) + with_edges(3)
+    random.Random(8).shuffle(texts)
+    assert found(documents(texts)) == expected(list(enumerate(texts)))
