@@ -10,7 +10,10 @@ base spans of a bounded sample of the same documents, and from altered copies of
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,8 @@ SAMPLE = 1_500
 PER_DOCUMENT = 5
 #: Tokens of a segment, at most; a base span may be longer.
 LONGEST = 16
+#: Tokens whose segments are scored at once; only scores and back pointers of a stretch are kept.
+STEP_TOKENS = 256
 #: A segment is added only if it beats leaving its tokens alone by this much.
 MARGIN = 2.0
 ROUNDS = 60
@@ -88,8 +93,9 @@ def base_spans(text: str) -> list[Span]:
 FEATURES = 34
 
 
-def features(part: str, first: int, last: int) -> np.ndarray:
-    """Of the whole span ``part[first:last]`` in its stretch."""
+def features(part: str, first: int, last: int, bare: int | None = None) -> np.ndarray:
+    """Of the whole span ``part[first:last]`` in its stretch; ``bare`` is the stretch's length without blanks and dots at its end."""
+    bare = len(part.rstrip(" .")) if bare is None else bare
     span = part[first:last]
     digits, f = _digits(span), np.zeros(FEATURES)
     n = len(digits)
@@ -113,7 +119,7 @@ def features(part: str, first: int, last: int) -> np.ndarray:
     f[22] = first > 0 and part[first - 1].isalnum() and span[:1].isalnum()
     f[23] = last < len(part) and part[last].isalnum() and span[-1:].isalnum()
     f[24] = first == 0 or part[first - 1] == " "
-    f[25] = last == len(part.rstrip(" .")) or part[last : last + 1] == " "
+    f[25] = last == bare or part[last : last + 1] == " "
     f[26] = " " in span
     f[27] = span.count(".") == 1 and n > 0 and "@" not in span
     f[28] = len(span) > 40
@@ -163,6 +169,37 @@ def best(lattice: Lattice, scores: np.ndarray, held: list[tuple[int, int]] = ())
     return path[::-1]
 
 
+def best_in_steps(part: str, weights: np.ndarray, inside: list[Span] = ()) -> Iterator[tuple[int, int, int, float]]:
+    """What ``best`` gives for the whole lattice, last segment first and with places in ``part`` for tokens.
+
+    Segments are scored some tokens at a time, so a stretch of any length takes a few numbers for each
+    token. No segment meets the spans ``inside``.
+    """
+    ends = array("q", [0])
+    ends.extend(m.end() for m in _TOKEN.finditer(part))
+    n, bare = len(ends) - 1, len(part.rstrip(" ."))
+    places, held = np.frombuffer(ends, np.int64), np.zeros(n, bool)
+    for x, _, y in inside:
+        held[np.searchsorted(places, x, "right") - 1 : np.searchsorted(places, y)] = True
+    # The last held token before each border.
+    bars = np.concatenate([[-1], np.maximum.accumulate(np.where(held, np.arange(n), -1))])
+    total, back = array("d", [0.0]) + array("d", [-np.inf]) * n, array("q", [0]) * (n + 1)
+    kinds, won = array("b", [-1]) * (n + 1), array("d", [0.0]) * (n + 1)
+    for begin in range(1, n + 1, STEP_TOKENS):
+        spans = [(i, j) for j in range(begin, min(begin + STEP_TOKENS, n + 1)) for i in range(max(0, j - LONGEST), j)]
+        scores = np.array([features(part, ends[i], ends[j], bare) for i, j in spans]) @ weights
+        for (i, j), k, score in zip(spans, scores.argmax(axis=1).tolist(), scores.max(axis=1).tolist()):
+            if j == i + 1 and total[i] > total[j]:
+                total[j], back[j], kinds[j], won[j] = total[i], i, -1, 0.0
+            if bars[j] < i and total[i] + score > total[j]:
+                total[j], back[j], kinds[j], won[j] = total[i] + score, i, k, score
+    at = n
+    while at > 0:
+        if kinds[at] >= 0:
+            yield ends[back[at]], kinds[at], ends[at], won[at]
+        at = back[at]
+
+
 def _expected(lattice: Lattice, scores: np.ndarray) -> np.ndarray:
     """Probability of each segment and kind under the field, by sums over all paths from both sides."""
     n = lattice.n
@@ -257,16 +294,18 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 def spans_of(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans with those that the field adds."""
     base = base_spans(text)
-    added = []
+    starts, furthest = [x[0] for x in base], list(accumulate((x[2] for x in base), max))
+    added: list[Span] = []
     for a, b in stretches(text):
-        part = text[a:b]
-        inside = [(s[0] - a, s[1], s[2] - a) for s in base if a <= s[0] and s[2] <= b]
-        lattice = Lattice(part, inside)
-        held = [(np.searchsorted(lattice.ends, x, "right") - 1, np.searchsorted(lattice.ends, y)) for x, _, y in inside]
-        for i, kind, j, score in best(lattice, lattice.scores(weights), held):
-            first, last = a + lattice.ends[i], a + lattice.ends[j]
-            if score >= MARGIN and not any(s[0] < last and first < s[2] for s in base + added):
-                added.append((first, kind, last))
+        near = base[bisect_left(starts, a) : bisect_left(starts, b)]
+        inside = [(s[0] - a, s[1], s[2] - a) for s in near if s[2] <= b]
+        found = []
+        for first, kind, last, score in best_in_steps(text[a:b], weights, inside):
+            first, last = a + first, a + last
+            under, over = bisect_left(starts, last), bisect_left(added, (last,))
+            if score >= MARGIN and not (under and furthest[under - 1] > first) and not (over and added[over - 1][2] > first):
+                found.append((first, kind, last))
+        added = sorted(added + found) if found and added and found[-1] < added[-1] else added + found[::-1]
     return base, sorted(base + added)
 
 

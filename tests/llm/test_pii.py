@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -93,6 +94,30 @@ def test_added_spans_keep_base_spans_and_find_phones_without_plus(weights):
         assert pii.spans_of(clean, weights)[1] == []
 
 
+def test_steps_give_the_best_path_of_the_whole_lattice(weights, monkeypatch):
+    monkeypatch.setattr(pii, "STEP_TOKENS", 7)
+    draw = random.Random(5)
+    for text in HARD + ["".join(draw.choice("ab.@+-1234567890   ().") for _ in range(draw.randint(0, 150))) for _ in range(60)]:
+        base = pii.base_spans(text)
+        for a, b in pii.stretches(text):
+            inside = [(s[0] - a, s[1], s[2] - a) for s in base if a <= s[0] and s[2] <= b]
+            lattice = pii.Lattice(text[a:b], inside)
+            held = [(np.searchsorted(lattice.ends, x, "right") - 1, np.searchsorted(lattice.ends, y)) for x, _, y in inside]
+            path = [(lattice.ends[i], k, lattice.ends[j]) for i, k, j, _ in pii.best(lattice, lattice.scores(weights), held)]
+            assert [x[:3] for x in pii.best_in_steps(text[a:b], weights, inside)][::-1] == path
+
+
+def test_a_long_stretch_takes_little_memory(weights):
+    draw = random.Random(6)
+    text = " ".join(str(draw.randint(10, 99)) for _ in range(4000)) + " (434) 555-2368"
+    tracemalloc.start()
+    base, every = pii.spans_of(text, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert base == brute(text) and set(base) <= set(every)
+    assert peak < 10_000_000
+
+
 def test_table(documents):
     texts = HARD + [None, "", "x" * 100_000 + " a@b.cd", HARD[0]]
     docs = documents(texts)
