@@ -22,6 +22,10 @@ from pedalgrid.llm.common import held_out, strings
 #: Training texts that the fit may use, of all languages together, and landmarks among them.
 SAMPLE = 1_600
 LANDMARKS = 160
+#: The hash range that training rows are picked from, and rows of a language that are picked beyond twice its share,
+#: so that no language comes out short by chance.
+COARSE = FINE = 1_000_000
+SPARE = 40
 RIDGE = 1e-3
 SHARPNESS = 8.0
 BATCH = 256
@@ -130,12 +134,14 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
     if not counts:
         return None
     share = max(1, sample // len(counts))
-    limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(1_000_000 * min(1, 2 * share / n)))])
-    picked = usable.where(F.pmod("rank", F.lit(1_000_000)) < limit[F.col("lang")])
+    places = COARSE * FINE
+    limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(places, places * (2 * share + SPARE) // n + 1))])
+    place = F.pmod("rank", F.lit(COARSE)) * FINE + F.pmod(F.expr(f"rank div {COARSE}"), F.lit(FINE))
+    picked = usable.where(place < limit[F.col("lang")])
     found = picked.select("lang", "rank", "text").mapInArrow(_sets, "lang string, rank long, codes binary").collect()
     used: dict[str, int] = {}
     sets, langs = [], []
-    for r in sorted(found, key=lambda r: (r["rank"] % 1_000_000, r["rank"])):
+    for r in sorted(found, key=lambda r: (r["rank"] % COARSE, r["rank"])):
         used[r["lang"]] = used.get(r["lang"], 0) + 1
         if used[r["lang"]] <= share:
             sets.append(np.frombuffer(r["codes"], "<u4").astype(np.int64))

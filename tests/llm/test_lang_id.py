@@ -53,3 +53,11 @@ def test_answers_do_not_depend_on_language_source_or_id(spark):
     plain = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(some, model).collect()}
     other = some.selectExpr("doc_id + 1000 doc_id", "text", "'xx' lang", "'yy' source")
     assert plain == {r["doc_id"] - 1000: r["lang_pred"] for r in lang_id.predict(other, model).collect()}
+
+
+def test_a_language_with_very_many_rows_stays(spark):
+    # With a share of one row, more than 2,000,000 rows are above the threshold that a millionth is.
+    many = spark.range(2_200_000).selectExpr("'word' text", "'aa' lang", "xxhash64(id) rank")
+    few = spark.range(3).selectExpr("'Wort' text", "'bb' lang", "xxhash64(id) rank")
+    assert lang_id.train(many, sample=1).langs == ["aa"]
+    assert lang_id.train(many.union(few), sample=2).langs == ["aa", "bb"]
