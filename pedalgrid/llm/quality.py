@@ -211,19 +211,25 @@ def _score(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.D
         yield pd.DataFrame({"doc_id": frame["doc_id"], "score": score, "predicted": (score >= THRESHOLD).astype(np.int32)})
 
 
+def _classified(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, bool]:
+    """``classify``, and whether there were usable labels."""
+    stats = staged(measure(docs), "statistics")
+    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
+    model = train(stats.join(known, stats["doc_id"] == known["_id"]).select("y", *STATS))
+    scored = stats.mapInPandas(lambda f: _score(f, model), f"doc_id {dict(stats.dtypes)['doc_id']}, score double, predicted int")
+    return scored.withColumn("held_out", held_out(F.col("doc_id"))), model is not None
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``; learned from labelled rows that are not held out.
 
     Null texts are empty; an empty text has all statistics 0 and is scored like any other. Labels
     that are null are left out, repeated ones count each. Without usable labels every score is 0.5.
     """
-    stats = staged(measure(docs), "statistics")
-    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
-    model = train(stats.join(known, stats["doc_id"] == known["_id"]).select("y", *STATS))
-    scored = stats.mapInPandas(lambda f: _score(f, model), f"doc_id {dict(stats.dtypes)['doc_id']}, score double, predicted int")
-    return scored.withColumn("held_out", held_out(F.col("doc_id")))
+    return _classified(docs, labels)[0]
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects."""
-    return without(docs, classify(docs, labels).where(F.col("predicted") == 0))
+    """``docs`` without the rows that the classifier rejects; without usable labels it rejects none."""
+    found, learned = _classified(docs, labels)
+    return without(docs, found.where(F.col("predicted") == 0)) if learned else docs

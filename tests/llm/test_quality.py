@@ -57,3 +57,10 @@ def test_hard_rows(spark, documents, prose):
     assert {r["score"] for r in q.classify(docs, labels.where("doc_id < 0")).collect()} == {0.5}
     assert q.classify(docs.where("doc_id < 0"), labels).count() == 0
     assert q.accepted(docs, labels).columns == docs.columns
+
+
+def test_without_usable_labels_all_rows_stay(spark, documents):
+    docs = documents(["a b c", "d", None, ""])
+    labels = spark.createDataFrame([(0, None), (999, 1)], "doc_id long, quality int")
+    for some in (labels, labels.where("doc_id < 0")):
+        assert q.accepted(docs, some).count() == 4
