@@ -119,6 +119,11 @@ def look_up(new: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def shard_count(known: DataFrame, later: DataFrame) -> int:
+    """Shards for two tables of distinct digests, neither with more than about ``SHARD_KEYS`` in one."""
+    return max(LEAST_SHARDS, math.ceil(max(known.count(), later.count()) / SHARD_KEYS))
+
+
 def _shard(shards: int):
     return F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
 
@@ -146,8 +151,9 @@ def decide(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
         everything = new
     else:
         known = staged(_grouped(old, "winner"), "known")
-        shards = max(LEAST_SHARDS, math.ceil(known.count() / SHARD_KEYS))
-        found = look_up(_grouped(new, "first"), build_index(known, shards), shards).drop("known")
+        later = staged(_grouped(new, "first"), "later")
+        shards = shard_count(known, later)
+        found = look_up(later, build_index(known, shards), shards).drop("known")
         # A known digest comes twice: with its size so far, and with the size after the lookup.
         both = found.unionByName(known.withColumnsRenamed({"winner": "keep_id", "size": "group_size"}))
         winners = both.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
@@ -163,9 +169,9 @@ def decide(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
 
 
 def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The table as a history and a later load: ids up to the middle of their range, and the rest."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    middle = F.lit((low + high) // 2 if low is not None else 0)
+    """The table as a history and a later load: ids up to about their median, and the rest."""
+    median = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    middle = F.lit(median if median is not None else 0)
     early = F.coalesce(F.col("doc_id") <= middle, F.lit(False))
     return docs.where(early), docs.where(~early)
 

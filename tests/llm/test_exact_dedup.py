@@ -79,3 +79,12 @@ def test_unique_keeps_columns_and_rows(documents, prose):
     kept = e.unique(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r[1] for r in expected(list(enumerate(prose)))})
+
+
+def test_shards_follow_the_larger_side_and_halves_the_median(documents, monkeypatch):
+    docs = documents([f"t{k}" for k in range(100)], ids=[-(10**12), *range(1, 100)])
+    early, late = e.halves(docs)
+    assert 40 <= early.count() <= 60 and early.count() + late.count() == 100
+    monkeypatch.setattr(e, "SHARD_KEYS", 1)
+    few, many = docs.limit(1), docs
+    assert e.shard_count(few, many) == e.shard_count(many, few) == 100
