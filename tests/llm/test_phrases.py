@@ -1,0 +1,120 @@
+"""Collocations against counting phrase by phrase."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from pedalgrid.llm import phrases as ph
+
+
+def plain(rows, least=10, share=50, top=2000):
+    words, counts = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words[lang] += len(w)
+            for size in (1, 2, 3):
+                for k in range(len(w) - size + 1):
+                    counts[lang, tuple(w[k : k + size])] += 1
+    found = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= least}
+    out = {}
+    for (lang, p), a in found.items():
+        holders = [b for (other, q), b in found.items() if other == lang and len(q) > len(p) and p in (q[:2], q[1:])]
+        if any(100 * b >= share * a for b in holders):
+            continue
+        cuts = []
+        for k in range(1, len(p)):
+            l, r = counts[lang, p[:k]], counts[lang, p[k:]]
+            cuts.append((1_000_000 * a * a // (l * r), k, l, r))
+        score, _, l, r = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(p).encode(), l, r))
+    return sorted(
+        (lang, rank, p.decode(), -a, l, r, words[lang], -score)
+        for lang, some in out.items()
+        for rank, (score, a, p, l, r) in enumerate(sorted(some)[:top], 1)
+    )
+
+
+def ours(df):
+    return sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, t, l, "s", 1, 2, "x") for k, (l, t) in enumerate(rows)], "doc_id long, text string, lang string, word string, n long, a long, pair string")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(8)
+    vocabulary = ["Of", "the", "étre", "x-1", "日本"] + [f"w{k}" for k in range(25)]
+    rows = []
+    for k in range(150):
+        text = " ".join(draw.choices(vocabulary, [9, 9, 5, 5, 5] + [1] * 25, k=draw.choice([1, 2, 3, 30, 120])))
+        text = re.sub(r" ", lambda m: draw.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\r\n", " ; "]), text)
+        rows.append((draw.choice(["en", "en", "en", "fr", None, "und"]), text + draw.choice(["", ". New York City"])))
+    rows += [("en", None), (None, ""), ("de", "..."), ("de", " \t "), ("en", "a b " * 3000), ("fr", "same same " * 40), ("en", "z" * 5000)]
+    return rows + rows[:5]
+
+
+def test_equals_plain_counting(spark, rows):
+    assert ours(ph.mine(frame(spark, rows))) == plain(rows)
+
+
+def test_small_shards_add_up(spark, rows):
+    """Many shards, long texts cut behind marks: what they report adds up to the same."""
+    assert ours(ph.mine(frame(spark, rows), least=4, share=70, top=15, shard_bytes=300)) == plain(rows, 4, 70, 15)
+
+
+def test_texts_are_cut_behind_marks():
+    draw = random.Random(3)
+    for _ in range(200):
+        text = "".join(draw.choice("ab .,") for _ in range(draw.randrange(120))) + draw.choice(["", "q" * 60, "q" * 50 + "."])
+        parts = [bytes(p).decode() for p in ph._cut(np.frombuffer(text.encode(), np.uint8), 16)]
+        assert "".join(parts) == text and all(p[-1] in ".," for p in parts[:-1])
+        assert all(len(p) <= 16 or not re.search(r"[.,]", p[:16]) for p in parts)
+
+
+def test_intervals_are_counts():
+    """Both transforms of one line give every phrase of two and three words with its count."""
+    draw = random.Random(6)
+    text = " ".join(draw.choice("abcde") + draw.choice(["", ".", ""]) for _ in range(600))
+    ids, words = ph.word_ids(np.frombuffer(text.encode(), np.uint8))
+    names = [b"|", *words]
+    left = ph.transform(ids)
+    right = ph.transform(np.append(ids[:-1][::-1], np.zeros(1, ids.dtype)))
+    (x, y, two), (a, b, c, three) = ph.phrases_of(left, right, np.arange(len(names)) > 0)
+    got = {(names[i], names[j]): n for i, j, n in zip(x, y, two)} | {(names[i], names[j], names[k]): n for i, j, k, n in zip(a, b, c, three)}
+    want = Counter()
+    for piece in text.split("."):
+        w = [t.encode() for t in piece.split()]
+        for size in (2, 3):
+            want.update(tuple(w[k : k + size]) for k in range(len(w) - size + 1))
+    assert got == want
+
+
+def test_wide_ids_sort_alike():
+    draw = np.random.default_rng(2)
+    line = np.append(draw.integers(0, 6, 500), 0).astype(np.int32)
+    wide = np.where(line > 0, line + 2_200_000, 0).astype(np.int32)
+    known = np.zeros(2_200_007, bool)
+    known[2_200_001:] = True
+    a = ph.phrases_of(ph.transform(line), ph.transform(np.append(line[:-1][::-1], 0)), np.arange(7) > 0)
+    b = ph.phrases_of(ph.transform(wide), ph.transform(np.append(wide[:-1][::-1], 0)), known)
+    assert sorted(zip(*(v.tolist() for v in a[1]))) == sorted((i - 2_200_000, j - 2_200_000, k - 2_200_000, n) for i, j, k, n in zip(*(v.tolist() for v in b[1])))
+
+
+def test_large_counts_are_exact(spark):
+    big = 10**11
+    row = spark.createDataFrame([(big, big + 7, 3 * big)], "a long, l long, r long")
+    got = row.select(ph._score(row["a"], row["l"], row["r"]).alias("s")).first()["s"]
+    assert got == 1_000_000 * big * big // ((big + 7) * 3 * big)
+
+
+def test_empty_tables(spark):
+    assert ph.mine(frame(spark, [])).collect() == []
+    assert ph.mine(frame(spark, [("en", None), (None, "")])).collect() == []

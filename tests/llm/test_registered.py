@@ -18,7 +18,7 @@ REPO = Path(__file__).resolve().parents[2]
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(ORACLE) <= set(QUERIES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -26,7 +26,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     theirs = connection.execute(ORACLE[name])
     columns = sorted(d[0] for d in theirs.description)
