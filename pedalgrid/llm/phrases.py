@@ -39,6 +39,8 @@ UNKNOWN = "und"
 #: Text of one shard, and of all shards that a task has open.
 SHARD_BYTES = 8 << 20
 OPEN_BYTES = 64 << 20
+#: Occurrences whose phrases are extended in one in-memory step.
+STEP_ROWS = 1 << 17
 #: Numbered words of a bucket, about; groups that the best phrases of a language are first sought in.
 BUCKET = 256
 SALTS = 64
@@ -96,8 +98,8 @@ class Extender:
         self.changed = changed
         order = np.argsort(changed, kind="stable")
         #: Where the row's suffix, with the word before it, stands itself: words before it, and equal ones further up.
-        self.step = np.empty(len(changed), np.int64)
-        self.step[order] = np.arange(len(changed))
+        self.step = np.empty(len(changed), np.int32 if len(changed) < 2**31 else np.int64)
+        self.step[order] = np.arange(len(changed), dtype=self.step.dtype)
 
     def extend(self, low: np.ndarray, count: np.ndarray, other: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
         """All extensions of intervals ``low .. low + count`` by one ``known`` word.
@@ -123,17 +125,27 @@ class Extender:
         return which[kept], word[kept], self.step[rows[order[first[kept]]]], many[kept], beside[kept]
 
 
-def phrases_of(left: np.ndarray, right: np.ndarray, known: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
-    """Two-word phrases ``x, y, count`` and three-word phrases ``x, y, z, count`` of known words of one index."""
+def phrases_of(left: np.ndarray, right: np.ndarray, known: np.ndarray, rows: int = STEP_ROWS) -> Iterator[tuple]:
+    """Two-word phrases ``x, y, count`` and three-word phrases ``x, y, z, count`` of known words of one index.
+
+    The intervals of about ``rows`` occurrences are extended at a time, each phrase in one of the steps.
+    """
     size = len(known)
     count = np.bincount(left, minlength=size)
     low = np.cumsum(count) - count
     words = np.flatnonzero(known & (count > 0))
     back, forth = Extender(left), Extender(right)
-    which, x, start, twice, beside = back.extend(low[words], count[words], low[words], known)
-    y = words[which]
-    again, z, _, thrice, _ = forth.extend(beside, twice, start, known)
-    return (x, y, twice), (x[again], y[again], z, thrice)
+    upto = np.cumsum(count[words])
+    first = 0
+    while first < len(words):
+        before = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + rows, "right")))
+        some = words[first:last]
+        which, x, start, twice, beside = back.extend(low[some], count[some], low[some], known)
+        y = some[which]
+        again, z, _, thrice, _ = forth.extend(beside, twice, start, known)
+        yield (x, y, twice), (x[again], y[again], z, thrice)
+        first = last
 
 
 def _index(lang: str, texts: list[np.ndarray]) -> tuple:
@@ -225,26 +237,29 @@ def numbered(words: DataFrame) -> tuple[DataFrame, int]:
     return placed.select("lang", "word", "f", (F.col("_b") * (1 << low) + F.col("_p")).alias("id")), bits
 
 
-def _report(shard: pa.Table, marks: pa.Table, bits: int) -> pa.Table:
-    if not shard.num_rows or not marks.num_rows:
-        parts = [np.zeros(0, np.int64)] * 3
-    else:
-        left, right = unpack(shard["left"][0].as_py()), unpack(shard["right"][0].as_py())
-        number = np.zeros(len(unpack(shard["counts"][0].as_py())) + 1, np.int64)
-        number[marks["place"].to_numpy()] = marks["id"].to_numpy()
-        (x, y, twice), (a, b, c, thrice) = phrases_of(left, right, number > 0)
-        pair = np.concatenate([(number[x] << bits) + number[y], (number[a] << bits) + number[b]])
-        parts = [pair, np.concatenate([np.zeros(len(x), np.int64), number[c]]), np.concatenate([twice, thrice]).astype(np.int64)]
-    return pa.table(dict(zip(("pair", "third", "c"), (pa.array(p, pa.int64()) for p in parts))))
+def _report(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    names = ["pair", "third", "c"]
+    for batch in batches:
+        for row in range(batch.num_rows):
+            left, right = unpack(batch["left"][row].as_py()), unpack(batch["right"][row].as_py())
+            marks = batch["marks"][row].values
+            number = np.zeros(int(left.max(initial=0)) + 1, np.int64)
+            number[marks.field("place").to_numpy()] = marks.field("id").to_numpy()
+            for (x, y, twice), (a, b, c, thrice) in phrases_of(left, right, number > 0):
+                pair = np.concatenate([(number[x] << bits) + number[y], (number[a] << bits) + number[b]])
+                parts = [pair, np.concatenate([np.zeros(len(x), np.int64), number[c]]), np.concatenate([twice, thrice])]
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in parts], names)
 
 
 def counted(shards: DataFrame, words: DataFrame, vocabulary: DataFrame, bits: int, least: int) -> DataFrame:
     """``pair, third, a``: phrases of numbered words that occur ``least`` times or more; ``third`` is 0 for two words."""
     if 2 * bits > 63:
         raise ValueError(f"phrases: {bits} bits for the number of a word")
-    marks = vocabulary.select("shard", "lang", "place", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "place", "id")
-    own = shards.select("shard", "counts", "left", "right").groupBy("shard").cogroup(marks.groupBy("shard"))
-    found = own.applyInArrow(lambda s, m: _report(s, m, bits), "pair long, third long, c long")
+    marks = vocabulary.select("shard", "lang", "place", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
+    # As many as the shard has words, which its bytes bound.
+    marks = marks.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("marks"))
+    own = shards.select("shard", "left", "right").join(marks, "shard").select("left", "right", "marks")
+    found = own.mapInArrow(lambda b: _report(b, bits), "pair long, third long, c long")
     return found.groupBy("pair", "third").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
 
 

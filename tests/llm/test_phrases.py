@@ -79,15 +79,22 @@ def test_texts_are_cut_behind_marks():
         assert all(len(p) <= 16 or not re.search(r"[.,]", p[:16]) for p in parts)
 
 
-def test_intervals_are_counts():
-    """Both transforms of one line give every phrase of two and three words with its count."""
+def found_in(left, right, known, rows):
+    steps = list(ph.phrases_of(left, right, known, rows))
+    return [tuple(np.concatenate(v) for v in zip(*(s[k] for s in steps))) for k in (0, 1)]
+
+
+@pytest.mark.parametrize("rows", [1, 50, 100_000])
+def test_intervals_are_counts(rows):
+    """Both transforms of one line give every phrase of two and three words with its count, however it is cut into steps."""
     draw = random.Random(6)
     text = " ".join(draw.choice("abcde") + draw.choice(["", ".", ""]) for _ in range(600))
     ids, words = ph.word_ids(np.frombuffer(text.encode(), np.uint8))
     names = [b"|", *words]
     left = ph.transform(ids)
     right = ph.transform(np.append(ids[:-1][::-1], np.zeros(1, ids.dtype)))
-    (x, y, two), (a, b, c, three) = ph.phrases_of(left, right, np.arange(len(names)) > 0)
+    (x, y, two), (a, b, c, three) = found_in(left, right, np.arange(len(names)) > 0, rows)
+    assert len(set(zip(x, y))) == len(x) and len(set(zip(a, b, c))) == len(a)
     got = {(names[i], names[j]): n for i, j, n in zip(x, y, two)} | {(names[i], names[j], names[k]): n for i, j, k, n in zip(a, b, c, three)}
     want = Counter()
     for piece in text.split("."):
@@ -103,8 +110,8 @@ def test_wide_ids_sort_alike():
     wide = np.where(line > 0, line + 2_200_000, 0).astype(np.int32)
     known = np.zeros(2_200_007, bool)
     known[2_200_001:] = True
-    a = ph.phrases_of(ph.transform(line), ph.transform(np.append(line[:-1][::-1], 0)), np.arange(7) > 0)
-    b = ph.phrases_of(ph.transform(wide), ph.transform(np.append(wide[:-1][::-1], 0)), known)
+    a = found_in(ph.transform(line), ph.transform(np.append(line[:-1][::-1], 0)), np.arange(7) > 0, 100)
+    b = found_in(ph.transform(wide), ph.transform(np.append(wide[:-1][::-1], 0)), known, 100)
     assert sorted(zip(*(v.tolist() for v in a[1]))) == sorted((i - 2_200_000, j - 2_200_000, k - 2_200_000, n) for i, j, k, n in zip(*(v.tolist() for v in b[1])))
 
 
