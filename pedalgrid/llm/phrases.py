@@ -19,11 +19,12 @@ suffixes are sorted by their first three words.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ TOP = 2000
 UNKNOWN = "und"
 #: Text of one shard, and of all shards that a task has open.
 SHARD_BYTES = 8 << 20
-OPEN_BYTES = 64 << 20
+OPEN_BYTES = 32 << 20
 #: Occurrences whose phrases are extended in one in-memory step.
 STEP_ROWS = 1 << 17
 #: Numbered words of a bucket, about; groups that the best phrases of a language are first sought in.
@@ -52,7 +53,7 @@ _MARK = np.zeros(256, bool)
 _MARK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _OUTER = _MARK.copy()
 _OUTER[[0x20, 0x09]] = True
-_INDEX = "shard string, lang string, n long, words binary, counts binary, left binary, right binary"
+_INDEX = "shard long, lang string, n long, words binary, counts binary, left binary, right binary"
 
 
 def word_ids(raw: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -72,7 +73,7 @@ def word_ids(raw: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(borders), pa.py_buffer(letters)])
     coded = column.dictionary_encode()
     ids = coded.indices.to_numpy().astype(np.int32) + 1
-    piece = np.cumsum(_MARK[raw], dtype=np.int64)[start]
+    piece = np.cumsum(_MARK[raw], dtype=np.int32 if len(raw) < 2**31 else np.int64)[start]
     ends = np.append(np.flatnonzero(piece[1:] != piece[:-1]) + 1, len(ids))
     return np.insert(ids, ends, 0), coded.dictionary.to_pylist()
 
@@ -148,24 +149,27 @@ def phrases_of(left: np.ndarray, right: np.ndarray, known: np.ndarray, rows: int
         first = last
 
 
-def _index(lang: str, texts: list[np.ndarray]) -> tuple:
+def _index(shard: int, lang: str, texts: list[np.ndarray]) -> tuple:
     # A line end between two texts keeps their pieces apart.
     ids, words = word_ids(np.concatenate([x for t in texts for x in (t, np.array([10], np.uint8))]))
     counts = np.bincount(ids, minlength=len(words) + 1)[1:]
     backwards = np.append(ids[:-1][::-1], np.zeros(min(1, len(ids)), ids.dtype))
     left, right = transform(ids), transform(backwards)
-    return uuid.uuid4().hex, lang, int(counts.sum()), b"\n".join(words), pack(counts), pack(left), pack(right)
+    return shard, lang, int(counts.sum()), b"\n".join(words), pack(counts), pack(left), pack(right)
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.RecordBatch]:
     names = [part.split(" ")[0] for part in _INDEX.split(", ")]
     held: dict[str, list[np.ndarray]] = {}
     size: dict[str, int] = {}
+    context = TaskContext.get()
+    # Numbers by task and order. The table is written, so of a task that runs twice one attempt's rows stay.
+    numbers = count((context.partitionId() if context else 0) << 32)
 
     def flush(lang: str) -> pa.RecordBatch:
-        row = _index(lang, held.pop(lang))
+        row = _index(next(numbers), lang, held.pop(lang))
         del size[lang]
-        kinds = [pa.string(), pa.string(), pa.int64()] + [pa.binary()] * 4
+        kinds = [pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * 4
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
     for batch in batches:
@@ -215,7 +219,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             many = unpack(counts)
             if len(many):
                 place = pa.array(np.arange(1, len(many) + 1), pa.int32())
-                same = [pa.array(np.full(len(many), v, object), pa.string()) for v in (shard, lang)]
+                same = [pa.array(np.full(len(many), shard), pa.int64()), pa.array(np.full(len(many), lang, object), pa.string())]
                 text = pa.array(words.split(b"\n"), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*same, place, text, pa.array(many, pa.int64())], ["shard", "lang", "place", "word", "c"])
 
@@ -316,7 +320,7 @@ def mine(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP
     language are read.
     """
     shards = staged(index(docs, shard_bytes), "phrase_index")
-    vocabulary = shards.select("shard", "lang", "words", "counts").mapInArrow(_vocabulary, "shard string, lang string, place int, word string, c long")
+    vocabulary = shards.select("shard", "lang", "words", "counts").mapInArrow(_vocabulary, "shard long, lang string, place int, word string, c long")
     frequent = vocabulary.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
     words, bits = numbered(frequent)
     words = staged(words, "numbered")
