@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.functions.timeparse import month_bounds
+from pedalgrid.session import staged
+
+#: Buckets that two tables are compared in before any row moves.
+BUCKETS = 4096
 
 
 def compare_counts(a: DataFrame, b: DataFrame, label: str = "decision") -> DataFrame:
@@ -39,6 +43,59 @@ def compare_tables(a: DataFrame, b: DataFrame) -> DataFrame:
     return totals.select(*[F.coalesce(c, zero).cast("bigint").alias(c) for c in totals.columns])
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """All columns, so that rows hash alike exactly if grouping takes them for equal: with nulls marked, and one zero."""
+    parts = []
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("double", "float"):
+            value = F.when(value == 0, F.lit(0.0)).otherwise(value)
+        parts += [value.isNull(), value]
+    return parts
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    parts = _hashable(df)
+    return df.withColumns({"_h1": F.xxhash64(*parts), "_h2": F.xxhash64(F.lit("second"), *reversed(parts))}).withColumn(
+        "_bucket", F.pmod("_h1", F.lit(buckets))
+    )
+
+
+def multiset_fingerprint(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, n, s1 .. s4``: rows per bucket and the sums of the halves of two independent 64-bit hashes.
+
+    Order does not matter and repeated rows count. Each task sends one row per bucket. Halves are summed so that
+    no sum overflows below two thousand million rows a bucket.
+    """
+    low = F.lit(0xFFFFFFFF)
+    halves = [F.col("_h1").bitwiseAND(low), F.shiftrightunsigned("_h1", 32), F.col("_h2").bitwiseAND(low), F.shiftrightunsigned("_h2", 32)]
+    sums = [F.sum(h).alias(f"s{k}") for k, h in enumerate(halves, 1)]
+    return _bucketed(df, buckets).groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n"), *sums)
+
+
+def compare_by_fingerprint(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The result of ``compare_tables`` without moving the rows of buckets that agree.
+
+    First both tables are read once and only their fingerprints meet. Rows of buckets that differ are then read
+    again and compared; if none differ, no row ever leaves its task. A difference goes unseen only if
+    both 64-bit sums and the count of its bucket agree by chance.
+    """
+    b = b.select(*a.columns)
+    sums = ["n", "s1", "s2", "s3", "s4"]
+    left, right = (multiset_fingerprint(df, buckets).select("bucket", F.struct(*sums).alias(side)) for df, side in ((a, "a"), (b, "b")))
+    both = staged(left.join(right, "bucket", "full_outer"), "fingerprints")
+    zero = F.lit(0)
+    agree = both.where(F.col("a").eqNullSafe(F.col("b"))).agg(F.coalesce(F.sum("a.n"), zero).cast("bigint").alias("n"))
+    equal = agree.select(F.col("n").alias("rows_a"), F.col("n").alias("rows_b"), *[zero.cast("bigint").alias(c) for c in ("only_a", "only_b")])
+    differing = both.where(~F.col("a").eqNullSafe(F.col("b"))).select(F.col("bucket").alias("_bucket"))
+    if differing.isEmpty():
+        return equal
+    # At most as many rows as there are buckets.
+    some = [_bucketed(df, buckets).join(differing, "_bucket", "left_semi").select(*a.columns) for df in (a, b)]
+    parts = equal.unionByName(compare_tables(*some))
+    return parts.agg(*[F.sum(c).cast("bigint").alias(c) for c in parts.columns])
+
+
 def spot_check(w: DataFrame, date: str, borough: str) -> DataFrame:
     return w.filter((F.col("date") == F.lit(date).cast("date")) & (F.col("borough") == borough))
 

@@ -44,7 +44,8 @@ def kept_rides(rides: DataFrame) -> DataFrame:
     return project_kept(tag_rides(rides))
 
 
-def project_kept(tagged: DataFrame) -> DataFrame:
+def project_kept(tagged: DataFrame, *more: str) -> DataFrame:
+    """The kept rides, with the columns ``more`` as they are."""
     return tagged.filter(F.col("decision") == "kept").select(
         F.trim("ride_id").alias("ride_id"),
         ride_date(F.trim("started_at")).cast("date").alias("date"),
@@ -52,6 +53,7 @@ def project_kept(tagged: DataFrame) -> DataFrame:
         F.trim("member_casual").alias("member_casual"),
         minutes_2dp(F.col("duration_ms")).alias("ride_duration_min"),
         F.trim("start_station_id").alias("start_station_id"),
+        *more,
     )
 
 
@@ -94,8 +96,8 @@ def tag_events(events: DataFrame) -> DataFrame:
     return with_iso_date(trimmed, "start_date_time").withColumn("decision", decision)
 
 
-def clean_events(events: DataFrame) -> DataFrame:
-    return tag_events(events).filter(F.col("decision") == "kept").select("date", "borough", "type")
+def clean_events(events: DataFrame, *more: str) -> DataFrame:
+    return tag_events(events).filter(F.col("decision") == "kept").select("date", "borough", "type", *more)
 
 
 def _label_counts(labels) -> list[Column]:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalgrid.functions.timeparse import month_bounds
-from pedalgrid.schemas import FILE_PATTERNS, FIRST_MONTH, LAST_MONTH
+from pedalgrid.schemas import FILE_PATTERNS, FIRST_MONTH, LAST_MONTH, LEDGER
+from pedalgrid.sources import snapshots
 
 KEY = ["source", "filename"]
 SUMMARY = ("new_files", "skipped_files", "bytes_pulled", "errors", "retries")
@@ -61,6 +62,16 @@ def upsert_ledger(old: DataFrame, new: DataFrame, order: str = "downloaded_at")
     return old.join(newest, KEY, "left_anti").select(*columns).unionByName(newest.select(*columns))
 
 
+def commit_run(spark: SparkSession, root: str, run: DataFrame) -> int:
+    """Add the entries of a run to the ledger below ``root`` as its next version; several runs may do so at once."""
+    return snapshots.commit(spark, root, LEDGER, lambda old: upsert_ledger(old, run))
+
+
+def committed_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The newest committed version of the ledger, empty if there is none."""
+    return snapshots.read(spark, root, LEDGER)
+
+
 def current_paths(ledger: DataFrame, source: str) -> DataFrame:
     """Newest landed path of each file, so that a month landed twice is read once; of one day the latest, then the last path."""
     newest = F.struct("run_date", "downloaded_at", "path")

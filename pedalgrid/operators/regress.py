@@ -37,18 +37,22 @@ def _number(column: str, kind: str, name: str) -> str:
     return f"CASE WHEN {column} IS NOT NULL THEN coalesce({fits}, raise_error('fit_ols: {column} does not fit {kind}')) END AS {name}"
 
 
-def _moments(t2: DataFrame, every_day: bool) -> DataFrame:
-    """The sums per borough; with ``every_day`` also how many days had no temperature, as ``skipped``."""
+_PRODUCTS = [(p, p) for p in PREDICTORS] + list(_PAIRS) + [(p, "y") for p in PREDICTORS] + [("y", "y")]
+#: The fifteen sums by name: the number of days, sums and sums of products.
+MOMENTS = ("n", *[f"s_{v}" for v in (*PREDICTORS, "y")], *[f"s_{a}_{b}" for a, b in _PRODUCTS])
+
+
+def _moments(t2: DataFrame, every_day: bool, *keys: str) -> DataFrame:
+    """The sums per borough (and ``keys``); with ``every_day`` also how many days had no temperature, as ``skipped``."""
     days = t2 if every_day else usable_days(t2)
     numbers = days.selectExpr(
-        "borough", *[_number(p, "decimal(18,2)", p) for p in PREDICTORS], _number("total_rides", "decimal(19,0)", "y")
+        *keys, "borough", *[_number(p, "decimal(18,2)", p) for p in PREDICTORS], _number("total_rides", "decimal(19,0)", "y")
     )
-    products = [(p, p) for p in PREDICTORS] + list(_PAIRS) + [(p, "y") for p in PREDICTORS] + [("y", "y")]
     only = " FILTER (WHERE temp IS NOT NULL)" if every_day else ""
-    return numbers.groupBy("borough").agg(
+    return numbers.groupBy(*keys, "borough").agg(
         F.expr(f"count(*){only} AS n"),
         *[F.expr(f"sum({v}){only} AS s_{v}") for v in (*PREDICTORS, "y")],
-        *[F.expr(f"sum({a} * {b}){only} AS s_{a}_{b}") for a, b in products],
+        *[F.expr(f"sum({a} * {b}){only} AS s_{a}_{b}") for a, b in _PRODUCTS],
         *([F.expr("count(*) FILTER (WHERE temp IS NULL) AS skipped")] if every_day else []),
     )
 
@@ -58,6 +62,35 @@ def ols_moments(t2: DataFrame) -> DataFrame:
     return _moments(t2, every_day=False)
 
 
+def period_moments(t2: DataFrame, period: str) -> DataFrame:
+    """The sums per ``period`` and borough: a state that can be kept, added to and taken back period by period."""
+    return _moments(t2, False, period)
+
+
+def combined_moments(state: DataFrame, *more: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
+    """One row of sums per borough from any number of states, less what is ``withdrawn``.
+
+    All states hold exact decimals, so adding and withdrawing in any order gives the same digits. Withdrawing
+    more days than there are fails by name.
+    """
+    def signed(one: DataFrame, sign: int) -> DataFrame:
+        return one.select("borough", *[(F.col(c) if sign > 0 else -F.col(c)).alias(c) for c in MOMENTS])
+
+    rows = signed(state, 1)
+    for one in more:
+        rows = rows.unionByName(signed(one, 1))
+    if withdrawn is not None:
+        rows = rows.unionByName(signed(withdrawn, -1))
+    kinds = {c: state.schema[c].dataType for c in MOMENTS}
+    summed = rows.groupBy("borough").agg(*[F.sum(c).try_cast(kinds[c]).alias(c) for c in MOMENTS])
+    fits = F.col("n") >= 0
+    for c in MOMENTS:
+        fits = fits & F.col(c).isNotNull()
+    failed = F.raise_error(F.lit("combined_moments: sums that do not fit, or more withdrawn than there is"))
+    checked = summed.withColumn("n", F.when(fits, F.col("n")).otherwise(failed))
+    return checked.where(F.col("n") > 0)
+
+
 def _centred(a: str, b: str) -> str:
     """Sum of products about the means: (n * Sab - Sa * Sb) / n, the numerator exact."""
     exact = f"try_subtract(try_multiply(s_{a}_{b}, cast(n AS decimal(19,0))), try_multiply(s_{a}, s_{b}))"
@@ -113,9 +146,14 @@ def _solve(moments: DataFrame) -> DataFrame:
     )
 
 
+def fit_moments(moments: DataFrame) -> DataFrame:
+    """Table T3b from one row of sums per borough, without a look at T2."""
+    return _solve(moments).select(*STAGE_TABLES["T3b"].names)
+
+
 def fit_ols(t2: DataFrame) -> DataFrame:
     """Table T3b."""
-    return _solve(ols_moments(t2)).select(*STAGE_TABLES["T3b"].names)
+    return fit_moments(ols_moments(t2))
 
 
 def fit_counters(t2: DataFrame) -> DataFrame:

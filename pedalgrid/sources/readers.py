@@ -228,7 +228,12 @@ def read_ledger(spark: SparkSession, path: str | None, fmt: str = "parquet") ->
     if nested:
         files = loaded.select(F.explode("sources").alias("source", "files")).select("source", F.explode("files").alias("filename", "e"))
         loaded = files.select("source", "filename", "e.*").withColumnRenamed("hdfs_path", "path").select(*LEDGER.names)
-    return loaded.select(*LEDGER.names).filter(F.col("source").isin(*LEDGER_SOURCES))
+    return known(loaded.select(*LEDGER.names))
+
+
+def known(entries: DataFrame) -> DataFrame:
+    """Ledger entries less those of unknown sources."""
+    return entries.filter(F.col("source").isin(*LEDGER_SOURCES))
 
 
 def latest(ledger: DataFrame, source: str, by: str = "filename") -> DataFrame:

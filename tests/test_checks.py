@@ -126,3 +126,36 @@ def test_preview_and_spot_check(spark, rows):
         (dt.date(2025, 6, 1), "b"),
     ]
     assert rows(checks.spot_check(df, "2025-06-02", "a")) == [(dt.date(2025, 6, 2), "a")]
+
+
+def test_fingerprints_find_single_differences(spark):
+    rows = [(k, f"t{k % 7}", float(k), None if k % 5 == 0 else k) for k in range(400)] + [(1, "t1", 1.0, 1)] * 3
+    layout = "k long, t string, d double, n long"
+    a = spark.createDataFrame(rows, layout)
+    zero = [(k, t, -0.0 if d == 0 else d, n) for k, t, d, n in rows]
+    assert tuple(checks.compare_by_fingerprint(a, spark.createDataFrame(zero, layout).repartition(5)).first()) == (403, 403, 0, 0)
+    for change, only in (
+        (rows[:-1], (1, 0)),  # one copy less
+        (rows + [rows[7]], (0, 1)),
+        (rows[:10] + [(10, "t3", 10.0, 1)] + rows[11:], (1, 1)),  # a null filled
+        ([(None, "x", 1.0, 2)] + rows, (0, 1)),
+    ):
+        b = spark.createDataFrame(change, layout)
+        got = tuple(checks.compare_by_fingerprint(a, b).first())
+        assert got == (403, len(change), *only) == tuple(checks.compare_tables(a, b).first())
+    # Nulls that change places are a difference, although null adds nothing to a hash.
+    x, y = spark.createDataFrame([(1, None)], "p int, q int"), spark.createDataFrame([(None, 1)], "p int, q int")
+    assert tuple(checks.compare_by_fingerprint(x, y).first()) == (1, 1, 1, 1)
+    empty = a.limit(0)
+    assert tuple(checks.compare_by_fingerprint(empty, empty).first()) == (0, 0, 0, 0)
+    assert tuple(checks.compare_by_fingerprint(a, empty, buckets=3).first()) == (403, 0, 403, 0)
+
+
+def test_equal_tables_move_buckets_only(spark, tmp_path):
+    """The rows of equal tables are not in any plan behind the fingerprints."""
+    spark.range(5000).selectExpr("id", "id % 10 AS g").write.parquet(str(tmp_path / "a"))
+    a, b = spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "a"))
+    plan = checks.compare_by_fingerprint(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path) not in plan
+    moved = checks.multiset_fingerprint(a)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in moved[moved.index("Exchange hashpartitioning") :] and "hashpartitioning(_bucket" in moved

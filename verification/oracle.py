@@ -316,6 +316,16 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# The regression without every third day: the same steps under other names.
+_STEPS = ("means", "cov", "active", "solved", "t3b")
+for _name in _STEPS:
+    _needs, _body = PARTS[_name]
+    for _step in _STEPS:
+        _body = _body.replace(f"FROM {_step}", f"FROM {_step}_some")
+    _some = _body.replace("FROM t2 WHERE", "FROM t2 WHERE day(date) % 3 <> 2 AND")
+    PARTS[f"{_name}_some"] = (tuple(n if n == "t2" else f"{n}_some" for n in _needs), _some)
+
+
 def sql(body: str, *needs: str) -> str:
     ordered: list[str] = []
 
@@ -433,6 +443,15 @@ ORACLE: dict[str, str] = {
     "anomaly_flag": sql("SELECT date, borough, anomaly FROM w", "w"),
     "demand_level": sql("SELECT date, borough, demand_level FROM w", "w"),
     "enriched_w": sql("SELECT * FROM w", "w"),
+    "incremental_w": sql(
+        "SELECT *, (SELECT count(DISTINCT date) FROM t1 WHERE day(date) % 3 = 2) AS rewritten, CAST(0 AS BIGINT) AS other FROM w", "w", "t1"
+    ),
+    "ols_from_state": sql(
+        f"SELECT borough, {_doubles('beta0', 'beta1_temp', 'beta2_precip', 'beta3_snow', 'rmse')} FROM t3b", "t3b"
+    ),
+    "ols_withdrawn": sql(
+        f"SELECT borough, {_doubles('beta0', 'beta1_temp', 'beta2_precip', 'beta3_snow', 'rmse')} FROM t3b_some", "t3b_some"
+    ),
     "unique_stations": sql(
         "SELECT station AS start_station_id, 'Station ' || min_by(user_id, event_id) || ', ' || min_by(event_type, event_id)"
         " AS station_name, CAST(min_by(v, event_id) AS DOUBLE) AS latitude, -CAST(min_by(v, event_id) AS DOUBLE) AS longitude"
@@ -480,6 +499,14 @@ ORACLE: dict[str, str] = {
         "landed",
         "run",
     ),
+    "ledger_commits": sql(
+        "SELECT "
+        + _KNOWN
+        + " AS source, * EXCLUDE (source) FROM (SELECT * FROM landed WHERE filename NOT IN (SELECT filename FROM run) UNION ALL SELECT * FROM run)"
+        " WHERE source <> 'src7'",
+        "landed",
+        "run",
+    ),
     "landed_twice": sql("SELECT date, borough, event_count, event_types FROM t2_events", "t2_events"),
     "size_reconcile": (
         "SELECT source, CAST(doc_id AS VARCHAR) AS filename, strlen(text) AS size_bytes, n_chars AS source_bytes"
@@ -539,6 +566,15 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b FROM t2_rides",
         "t2_rides",
     ),
+    "parity_fingerprint": (
+        "WITH a AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders),"
+        " b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 991 <> 0 THEN o_orderstatus END AS o_orderstatus,"
+        " CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate"
+        " FROM orders, range(3) AS r(copy) WHERE copy = 0 OR o_orderkey % 1009 = 0)"
+        " SELECT (SELECT count(*) FROM a) AS rows_a, (SELECT count(*) FROM b) AS rows_b,"
+        " (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_a,"
+        " (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_b"
+    ),
     "check_grain": (
         "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, count(*) FILTER (n > 1) AS repeated_keys"
         " FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"

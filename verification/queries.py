@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pedalgrid.functions import measures as m
 from pedalgrid.functions.timeparse import month_bounds
 from pedalgrid.operators import checks, clean, daily, enrich, geo, ledger, regress, stats
-from pedalgrid.plans import demand
+from pedalgrid.plans import demand, incremental
 from pedalgrid.schemas import DEMAND_QUANTILES
-from pedalgrid.session import scratch_path
-from pedalgrid.sources import readers, writers
+from pedalgrid.session import scratch_path, staged
+from pedalgrid.sources import readers, snapshots, writers
 from verification import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +201,44 @@ def enriched_w(spark, d):
     return demand.daily_demand(warehouse.inputs(spark, d))
 
 
+@query
+def incremental_w(spark, d):
+    """Every third day lands incomplete and later again, whole: those days alone are written anew."""
+    root = scratch_path(spark, "incremental")
+    files = warehouse.land_everything(spark, d, f"{root}/raw")
+    options = {"period": "yyyyMMdd", "weather_pattern": "*.txt"}
+    incremental.refresh(spark, files, warehouse.stations(spark, d), f"{root}/out", **options)
+    files = files.unionByName(warehouse.land_rides(spark, warehouse.rides(spark, d), f"{root}/raw", "2024-06-01", 2))
+    done = incremental.refresh(spark, files, warehouse.stations(spark, d), f"{root}/out", **options)
+    counts = {name: F.lit(len(done.periods[source])).cast("bigint") for name, source in (("rewritten", "citibike"), ("other", "events"))}
+    return done.w.withColumns(counts)
+
+
+def _state(spark, d):
+    """Sums per third of the days and borough, and those of one third with twice the rides."""
+    t2 = _t2(spark, d).withColumn("third", (F.dayofmonth("date") % 3).cast("string"))
+    state = staged(regress.period_moments(t2, "third"), "moments")
+    wrong = t2.where("third = '2'").withColumn("total_rides", F.col("total_rides") * 2)
+    return state, regress.period_moments(wrong, "third")
+
+
+@query
+def ols_from_state(spark, d):
+    """A third of the days is first added wrong, then withdrawn and added right; T2 is not read for the fit."""
+    state, wrong = _state(spark, d)
+    wrong = staged(wrong, "wrong")
+    totals = staged(regress.combined_moments(state.where("third <> '2'"), wrong), "totals")
+    return regress.fit_moments(regress.combined_moments(totals, state.where("third = '2'"), withdrawn=wrong))
+
+
+@query
+def ols_withdrawn(spark, d):
+    """The fit without a third of the days, taken back from the sums of all."""
+    state, _ = _state(spark, d)
+    totals = staged(regress.combined_moments(state), "totals")
+    return regress.fit_moments(regress.combined_moments(totals, withdrawn=state.where("third = '2'")))
+
+
 # --- stations ---------------------------------------------------------------------------------
 
 
@@ -327,6 +365,24 @@ def ledger_snapshots(spark, d):
     return readers.read_ledger(spark, root)
 
 
+@query
+def ledger_commits(spark, d):
+    """Two runs add to the ledger from one version: the second one is overtaken, reads again, and both runs are in it."""
+    root = scratch_path(spark, "commits")
+    ledger.commit_run(spark, root, warehouse.known_sources(warehouse.landed_documents(spark, d)))
+    run = warehouse.known_sources(warehouse.documents_run(spark, d))
+    even = F.substring("filename", -1, 1).cast("int") % 2 == 0
+    overtaken = []
+
+    def change(old):
+        if not overtaken:
+            overtaken.append(ledger.commit_run(spark, root, run.where(even)))
+        return ledger.upsert_ledger(old, run.where(~even))
+
+    snapshots.commit(spark, root, readers.LEDGER, change)
+    return readers.known(ledger.committed_ledger(spark, root))
+
+
 @query
 def landed_twice(spark, d):
     """Permits of one file in two run folders: through the ledger they count once."""
@@ -399,6 +455,22 @@ def table_parity(spark, d):
     return checks.compare_tables(daily.daily_rides(_t1(spark, d)), direct)
 
 
+@query
+def parity_fingerprint(spark, d):
+    """Orders against a copy with changed prices, missing states and repeated rows, found by fingerprints."""
+    orders = warehouse.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    key = F.col("o_orderkey")
+    copies = F.when(key % 1009 == 0, 3).otherwise(1)
+    changed = orders.select(
+        "o_orderkey",
+        F.when(key % 991 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(key % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderdate",
+        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
+    )
+    return checks.compare_by_fingerprint(orders, changed.drop("copy"))
+
+
 @query
 def check_grain(spark, d):
     return checks.check_grain(warehouse.table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalgrid.plans.demand import Inputs
-from pedalgrid.schemas import LEDGER, LEDGER_SOURCES
-from pedalgrid.sources.readers import LOAD_ORDER, polygons_from_features, weather_rows
+from pedalgrid.schemas import EVENTS_SOURCE, LEDGER, LEDGER_SOURCES, RIDES_SOURCE, WEATHER_SOURCE
+from pedalgrid.sources.readers import LOAD_ORDER, list_files, polygons_from_features, weather_rows
+from pedalgrid.sources.writers import write_rides
 
 SHIFT_DAYS = 60
 EVENT_ORDER = "event_id"
@@ -252,6 +253,36 @@ def permit_files(spark: SparkSession, folder: str):
     return entries
 
 
+def file_entries(spark: SparkSession, folder: str, source: str, filename: Column, run_date: str) -> DataFrame:
+    """Ledger entries of the part files below a folder."""
+    files = list_files(spark, folder).where(F.col("filename").startswith("part-"))
+    values = {"source": F.lit(source), "filename": filename, "run_date": F.lit(run_date), "path": F.col("path"), "size_bytes": F.col("size_bytes"), "downloaded_at": F.lit(f"{run_date}T00:00:00Z")}
+    return files.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
+
+
+def land_rides(spark: SparkSession, rows: DataFrame, root: str, run_date: str, third: int) -> DataFrame:
+    """The rides of every third day as one file; its ledger entry."""
+    folder = f"{root}/{run_date}/rides_{third}"
+    own = rows.where(F.substring("started_at", 9, 2).cast("int") % 3 == third)
+    write_rides(own.drop(EVENT_ORDER).coalesce(1), folder)
+    return file_entries(spark, folder, RIDES_SOURCE, F.lit(f"rides_{third}.csv"), run_date)
+
+
+def land_everything(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """All inputs as landed files; of the days whose number leaves 2 by 3, a fifth of the rides is missing."""
+    run_date, all_rides = "2024-05-01", rides(spark, folder)
+    some = all_rides.where((F.col(EVENT_ORDER) % 5 != 0) | (F.substring("started_at", 9, 2).cast("int") % 3 != 2))
+    entries = [land_rides(spark, some, root, run_date, k) for k in range(3)]
+    write_permits(permits(spark, folder).coalesce(1), f"{root}/{run_date}/events")
+    weather_documents(spark, folder).write.option("maxRecordsPerFile", 1).text(f"{root}/{run_date}/weather")
+    entries.append(file_entries(spark, f"{root}/{run_date}/events", EVENTS_SOURCE, F.lit("events.csv"), run_date))
+    entries.append(file_entries(spark, f"{root}/{run_date}/weather", WEATHER_SOURCE, F.col("filename"), run_date))
+    every = entries[0]
+    for one in entries[1:]:
+        every = every.unionByName(one)
+    return every
+
+
 def known_sources(entries: DataFrame) -> DataFrame:
     """Ledger entries under the names of the ledger; those of ``src7`` keep theirs, which is unknown to it."""
     number = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
