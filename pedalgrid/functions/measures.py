@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from pedalgrid.schemas import COEFFICIENT, MEASURE
 
+#: Measures as read, before they are rounded to two decimals.
+_READ = "decimal(22,4)"
+
 
 def average_2dp(hundredths: Column, n: Column) -> Column:
     """Half-up average with two decimals of ``n`` values whose sum is given in hundredths."""
@@ -15,16 +19,22 @@ def average_2dp(hundredths: Column, n: Column) -> Column:
     return (rounded.cast("decimal(19,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(MEASURE)
 
 
+def _fitting(value: Column, kind: str | DataType, name: str) -> Column:
+    """A number in a decimal type; one that does not fit fails by name, whatever the ANSI setting."""
+    failed = F.raise_error(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(" does not fit"))).cast(kind)
+    return F.when(value.isNotNull(), F.coalesce(value.try_cast(kind), failed))
+
+
 def temp_avg(tmax: Column, tmin: Column) -> Column:
     """Mean of the two, else whichever is present."""
-    high, low = tmax.cast("decimal(18,4)"), tmin.cast("decimal(18,4)")
+    high, low = (_fitting(t, _READ, "temperature") for t in (tmax, tmin))
     both = (high + low) * F.lit(0.5).cast("decimal(2,1)")
-    return F.coalesce(both.cast("decimal(20,5)"), high.cast("decimal(20,5)"), low.cast("decimal(20,5)")).cast(MEASURE)
+    return _fitting(F.coalesce(*[t.cast("decimal(25,5)") for t in (both, high, low)]), MEASURE, "temperature")
 
 
 def depth_or_zero(value: Column) -> Column:
     """Rain or snow, zero when not reported."""
-    return F.coalesce(value.cast("decimal(18,4)").cast(MEASURE), F.lit(0).cast(MEASURE))
+    return F.coalesce(_fitting(_fitting(value, _READ, "depth"), MEASURE, "depth"), F.lit(0).cast(MEASURE))
 
 
 def expected_rides(

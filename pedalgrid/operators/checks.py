@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pedalgrid.functions.timeparse import month_bounds
-from pedalgrid.session import staged
+from pedalgrid.session import scratch_path, staged
 
 #: Buckets that two tables are compared in before any row moves.
 BUCKETS = 4096
@@ -127,6 +129,46 @@ def month_slice(df: DataFrame, ts: str, yyyymm: str) -> DataFrame:
     return df.filter((F.col(ts) >= first.cast(kind)) & (F.col(ts) < F.date_add(last, 1).cast(kind)))
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """A listing written in order, and where each of its files starts."""
+
+    order: tuple[str, ...]
+    schema: StructType
+    files: tuple[tuple[str, int, int], ...]  # path, rows before it, its rows
+    spark: SparkSession
+
+    @property
+    def rows(self) -> int:
+        return self.files[-1][1] + self.files[-1][2] if self.files else 0
+
+    def page(self, offset: int, limit: int) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` of the listing; only the files that hold them are opened."""
+        own = [f for f in self.files if f[1] < offset + limit and f[1] + f[2] > offset]
+        if not own or limit <= 0:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*[path for path, _, _ in own])
+        return rows.orderBy(*self.order).offset(max(0, offset - own[0][1])).limit(limit)
+
+
+def page_index(df: DataFrame, order: list[str], rows_per_file: int = 100_000) -> PageIndex:
+    """Write ``df`` range-sorted by ``order``, which must tell all rows apart, and count the rows of each file.
+
+    The listing is sorted once; then any page, however deep, costs a file or two. One entry per file comes to the
+    driver, as a file listing does.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "pages")
+    df.orderBy(*order).write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    file = F.col("_metadata.file_path").alias("file")
+    counted = written.groupBy(file).agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n"))
+    found, before = [], 0
+    for row in counted.orderBy("first").collect():
+        found.append((row["file"], before, row["n"]))
+        before += row["n"]
+    return PageIndex(tuple(order), df.schema, tuple(found), spark)
+
+
 def page(df: DataFrame, order: list[str], limit: int, offset: int = 0, after: tuple | None = None) -> DataFrame:
     """One page of an ordered listing.
 

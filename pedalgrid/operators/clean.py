@@ -57,6 +57,14 @@ def project_kept(tagged: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def project_tagged(tagged: DataFrame) -> DataFrame:
+    """Every ride with its decision, its T1 columns where it is kept and none where it is dropped."""
+    kept = F.col("decision") == "kept"
+    all_kept = tagged.withColumn("_decision", F.col("decision")).withColumn("decision", F.lit("kept"))
+    columns = project_kept(all_kept, "_decision").withColumnRenamed("_decision", "decision")
+    return columns.select(*[F.when(kept, F.col(c)).alias(c) for c in columns.columns if c != "decision"], "decision")
+
+
 def station_lookup(stations: DataFrame) -> DataFrame:
     """One borough per station id; if ids repeat, the alphabetically last borough stands.
 

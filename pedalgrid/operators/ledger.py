@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import hashlib
+import re
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalgrid.functions.timeparse import month_bounds
 from pedalgrid.schemas import FILE_PATTERNS, FIRST_MONTH, LAST_MONTH, LEDGER
-from pedalgrid.sources import snapshots
+from pedalgrid.sources import readers, snapshots
 
 KEY = ["source", "filename"]
 SUMMARY = ("new_files", "skipped_files", "bytes_pulled", "errors", "retries")
+#: Bytes of a file that a task holds, and tasks that files are dealt to at most.
+BLOCK_BYTES = 8 << 20
+MOST_TASKS = 10_000
 RUN_LOG = "source string, " + ", ".join(f"{c} bigint" for c in SUMMARY)
 
 
@@ -93,10 +100,31 @@ def fingerprint(df: DataFrame, content: str) -> DataFrame:
 
 
 def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
-    """Fingerprints of whole files; Spark holds one file in memory at a time, two gigabytes at most."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    named = files.select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
-    return fingerprint(named, "content")
+    """``path, filename, size_bytes, sha256`` of the files below ``path``, however large.
+
+    Only names are listed by the driver. A task opens its files by path and reads them block by block, so it
+    holds ``BLOCK_BYTES`` of a file. The file system must be one that pyarrow opens (local, HDFS, S3 and others).
+    """
+    listed = readers.list_files(spark, path).select("path", "filename")
+    # A file is the unit of work, whatever its size: files are dealt out evenly and no task has many.
+    tasks = max(1, min(listed.count(), MOST_TASKS))
+    return listed.repartition(tasks, "path").mapInArrow(_fingerprints, "path string, filename string, size_bytes bigint, sha256 string")
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, digests = [], []
+        for name in batch["path"].to_pylist():
+            # File URIs with one slash are Spark's spelling; three are the standard's.
+            system, at = FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", name))
+            digest, size = hashlib.sha256(), 0
+            with system.open_input_stream(at, compression=None) as stream:
+                while block := stream.read(BLOCK_BYTES):
+                    digest.update(block)
+                    size += len(block)
+            sizes.append(size)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch["path"], batch["filename"], pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], ["path", "filename", "size_bytes", "sha256"])
 
 
 def records_per_file(df: DataFrame, file: str = "_metadata.file_name") -> DataFrame:

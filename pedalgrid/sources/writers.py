@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.schemas import LEDGER, STAGE_TABLES, STATIONS
+from pedalgrid.sources import files
 
 LEDGER_VERSION = 1
 
@@ -16,6 +17,11 @@ def _as_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def as_line(columns: list[str]) -> Column:
+    """The columns as one tab-separated line, ``value``."""
+    return F.concat_ws("\t", *[_as_text(c) for c in columns]).alias("value")
+
+
 def write_stage(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
     """Overwrite a stage table in its contract order; text rows are unquoted, missing values empty."""
     columns = STAGE_TABLES[name].names
@@ -23,7 +29,7 @@ def write_stage(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> No
     if fmt == "parquet":
         out.write.mode("overwrite").parquet(path)
     else:
-        out.select(F.concat_ws("\t", *[_as_text(c) for c in columns]).alias("value")).write.mode("overwrite").text(path)
+        out.select(as_line(columns)).write.mode("overwrite").text(path)
 
 
 def write_rides(df: DataFrame, path: str) -> None:
@@ -34,17 +40,18 @@ def write_rides(df: DataFrame, path: str) -> None:
 def export_tsv(df: DataFrame, path: str, order: list[str], single_file: bool = False) -> None:
     """Report table as range-sorted parts, each with a header line; the same layout at any size.
 
-    ``single_file`` writes one part through one task, for a table that its caller knows to be small.
+    ``single_file`` makes one file with one header of them: the parts are written without headers by as many tasks as
+    ever, and the file system joins them in order.
     """
-    out = df.repartition(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
-    (
-        out.write.mode("overwrite")
-        .option("header", "true")
-        .option("sep", "\t")
-        .option("quote", "\u0000")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    rows = df.orderBy(*order).write.mode("overwrite").option("sep", "\t").option("quote", "\u0000").option("emptyValue", "")
+    if not single_file:
+        rows.option("header", "true").csv(path)
+        return
+    spark, parts = df.sparkSession, f"{path.rstrip('/')}.parts"
+    rows.option("header", "false").csv(parts)
+    files.remove(spark, path)
+    files.join_parts(spark, "\t".join(df.columns) + "\n", files.part_files(spark, parts), f"{path.rstrip('/')}/part-00000.csv")
+    files.remove(spark, parts)
 
 
 def write_stations(df: DataFrame, path: str) -> None:

@@ -370,6 +370,14 @@ def _moment(a: str, b: str | None = None) -> str:
 
 _KNOWN = "list_extract(['" + "', '".join(LEDGER_SOURCES) + "'], CAST(substr(source, 4) AS INT) % 4 + 1)"
 
+_GOOD = "SELECT filename FROM pending JOIN files USING (filename) WHERE strlen(text) = n_chars"
+
+
+def _texts(kind: str, *names: str) -> str:
+    """Decimals as text of a given type, and the name of the type."""
+    return ", ".join(f"CAST(CAST({n} AS {kind}) AS VARCHAR) AS {n}, '{kind}' AS {n}_type" for n in names)
+
+
 ORACLE: dict[str, str] = {
     "rides_tagged": sql("SELECT ride_id, duration_ms, decision FROM tagged", "tagged"),
     "rides_autumn": sql(
@@ -459,6 +467,7 @@ ORACLE: dict[str, str] = {
         "rides",
     ),
     "point_in_polygon": sql("SELECT * FROM located", "located"),
+    "point_in_cells": sql("SELECT * FROM located", "located"),
     "repeated_points": sql(
         "SELECT longitude, latitude, borough FROM located UNION ALL SELECT longitude, latitude, borough FROM located", "located"
     ),
@@ -526,6 +535,35 @@ ORACLE: dict[str, str] = {
         "files",
         "pending",
     ),
+    "ingest_mismatched": sql(
+        "SELECT source, filename, strlen(text) AS size_bytes, n_chars AS source_bytes FROM files JOIN pending USING (source, filename)"
+        " WHERE strlen(text) <> n_chars",
+        "files",
+        "pending",
+    ),
+    "ingest_ledger": sql(
+        f"SELECT * FROM landed WHERE filename NOT IN ({_GOOD}) UNION ALL SELECT r.source, r.filename, r.run_date, r.path, r.size_bytes,"
+        " sha256(f.text) AS sha256, len(string_split(f.text, chr(10))) AS record_count, r.dataset_id, r.downloaded_at"
+        f" FROM run r JOIN files f USING (filename) WHERE r.filename IN ({_GOOD})",
+        "landed",
+        "run",
+        "pending",
+    ),
+    "ingest_totals": sql(
+        "SELECT coalesce(f.source, 'TOTAL') AS source, count(*) FILTER (p.filename IS NOT NULL AND strlen(text) = n_chars) AS new_files,"
+        " count(*) FILTER (p.filename IS NULL) AS skipped_files,"
+        " CAST(coalesce(sum(strlen(text)) FILTER (p.filename IS NOT NULL AND strlen(text) = n_chars), 0) AS BIGINT) AS bytes_pulled,"
+        " count(*) FILTER (p.filename IS NOT NULL AND strlen(text) <> n_chars) AS errors, count(p.filename) AS retries,"
+        f" (SELECT count(*) FROM landed) + (SELECT count(*) FROM ({_GOOD}) g(filename) WHERE filename NOT IN (SELECT filename FROM landed)) AS entries"
+        " FROM files f LEFT JOIN pending p ON f.source = p.source AND f.filename = p.filename GROUP BY ROLLUP (f.source)",
+        "files",
+        "landed",
+        "pending",
+    ),
+    "fingerprint_files": (
+        "SELECT page_id % 16 AS g, CAST(sum(strlen(html) + 1) AS BIGINT) AS size_bytes,"
+        " sha256(string_agg(html || chr(10), '' ORDER BY page_id)) AS sha256 FROM pages GROUP BY 1"
+    ),
     "ledger_size": sql("SELECT count(*) AS entries FROM landed", "landed"),
     "fingerprint": "SELECT page_id, strlen(html) AS size_bytes, sha256(html) AS sha256 FROM pages",
     "records_per_file": sql("SELECT filename, count(*) AS record_count FROM part_files GROUP BY filename", "part_files"),
@@ -542,6 +580,10 @@ ORACLE: dict[str, str] = {
         " WHERE o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '1998-07-01'"
     ),
     "event_page": "SELECT ts, event_id, event_type FROM events ORDER BY ts, event_id LIMIT 50 OFFSET 100",
+    "event_page_deep": (
+        "SELECT ts, event_id, event_type FROM (SELECT ts, event_id, event_type, row_number() OVER (ORDER BY ts, event_id) AS r, count(*) OVER () AS n"
+        " FROM events) WHERE r > n - 100 AND r <= n - 50"
+    ),
     "spot_check": sql(f"SELECT {T2_COLUMNS} FROM t2 WHERE date = DATE '2024-03-15' AND borough = 'ASIA'", "t2"),
     "preview": sql(
         f"SELECT date, borough, total_rides, member_rides, {_doubles('avg_duration_min')} FROM t2_rides"
@@ -583,6 +625,7 @@ ORACLE: dict[str, str] = {
     "divisible_events": "SELECT count(*) AS n FROM events WHERE event_id % 7 = 0",
     "csv_roundtrip": sql("SELECT ride_id, duration_ms, decision FROM tagged", "tagged"),
     "rides_month": sql("SELECT ride_id, decision FROM tagged WHERE strftime(started, '%Y%m') = '202403'", "tagged"),
+    "rides_sample": sql("SELECT ride_id, decision FROM tagged WHERE event_id % 3 = 2", "tagged"),
     "events_roundtrip": sql(
         "SELECT CAST(o_orderkey AS VARCHAR) AS event_id, date, borough, type, decision FROM permits", "permits"
     ),
@@ -606,6 +649,23 @@ ORACLE: dict[str, str] = {
         " count(*) FILTER (decision = 'kept') AS t1_rows FROM tagged",
         "tagged",
     ),
+    "exact_counters": sql(
+        "SELECT CAST(0 AS BIGINT) AS dropped_short_row, count(*) FILTER (decision = 'dropped_no_station') AS dropped_no_station,"
+        " count(*) FILTER (decision = 'dropped_bad_timestamp') AS dropped_bad_timestamp,"
+        " count(*) FILTER (decision = 'dropped_too_short') AS dropped_too_short,"
+        " count(*) FILTER (decision = 'dropped_too_long') AS dropped_too_long, count(*) FILTER (decision = 'kept') AS kept,"
+        " count(*) FILTER (decision = 'kept') AS t1_rows FROM tagged",
+        "tagged",
+    ),
+    "exact_t2": sql(
+        f"SELECT date, borough, total_rides, member_rides, {_texts('decimal(8,2)', 'avg_duration_min')},"
+        f" {_texts('decimal(18,2)', 'temp', 'precip', 'snow')}, event_count, event_types FROM t2",
+        "t2",
+    ),
+    "exact_fit": sql(
+        f"SELECT borough, {_texts('decimal(18,4)', 'beta0', 'beta1_temp', 'beta2_precip', 'beta3_snow')}, {_texts('decimal(18,2)', 'rmse')} FROM t3b", "t3b"
+    ),
+    "exact_stats": sql(f"SELECT borough, {_texts('decimal(18,2)', 'mean', 'stddev', 'q20', 'q40', 'q60', 'q80')} FROM t3a", "t3a"),
     "text_functions": (
         "SELECT doc_id, length(trim(text, ' ')) AS trimmed, substr(text, 1, 10) AS first10, starts_with(text, 'T') AS prefixed,"
         " ends_with(CASE WHEN ends_with(text, '.') THEN text[:-2] ELSE text END, '.') AS suffixed,"

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from pedalgrid.functions import measures as m
 from pedalgrid.functions.timeparse import month_bounds
-from pedalgrid.operators import checks, clean, daily, enrich, geo, ledger, regress, stats
+from pedalgrid.operators import cells, checks, clean, daily, enrich, geo, ledger, regress, stats
 from pedalgrid.plans import demand, incremental
 from pedalgrid.schemas import DEMAND_QUANTILES
 from pedalgrid.session import scratch_path, staged
-from pedalgrid.sources import readers, snapshots, writers
+from pedalgrid.sources import files, readers, snapshots, writers
 from verification import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +256,12 @@ def point_in_polygon(spark, d):
     return _located(spark, d)
 
 
+@query
+def point_in_cells(spark, d):
+    """The same points through the grid: only those in cells with edges meet edges."""
+    return cells.point_in_cells(warehouse.points(spark, d), demand.measured_cells(warehouse.polygons(spark)))
+
+
 @query
 def repeated_points(spark, d):
     """Positions without their ids, each of them twice: every row keeps its row."""
@@ -345,6 +351,44 @@ def ingest_plan(spark, d):
     return summary
 
 
+def _ingest(spark, d):
+    return demand.run_ingest(
+        warehouse.expected_documents(spark, d),
+        warehouse.landed_documents(spark, d),
+        warehouse.documents_run(spark, d),
+        warehouse.document_sizes(spark, d),
+        ledger.records_per_file(warehouse.document_lines(spark, d), "filename"),
+        ledger.fingerprint(warehouse.document_paths(spark, d), "text"),
+    )
+
+
+@query
+def ingest_mismatched(spark, d):
+    return _ingest(spark, d).mismatched.select("source", "filename", "size_bytes", "source_bytes")
+
+
+@query
+def ingest_ledger(spark, d):
+    """The ledger after a run: sizes, hashes and record counts of the files that were due and whole."""
+    return _ingest(spark, d).ledger
+
+
+@query
+def ingest_totals(spark, d):
+    done = _ingest(spark, d)
+    return done.summary.withColumn("entries", F.lit(done.entries.first()["entries"]).cast("bigint"))
+
+
+@query
+def fingerprint_files(spark, d):
+    """Pages as sixteen files, hashed by reading the files."""
+    path = scratch_path(spark, "pages")
+    pages = warehouse.table(spark, d, "pages").select(F.pmod("page_id", F.lit(16)).alias("g"), "page_id", "html")
+    pages.repartition(4, "g").sortWithinPartitions("g", "page_id").drop("page_id").write.partitionBy("g").text(path)
+    group = F.regexp_extract("path", "/g=([0-9]+)/", 1).cast("bigint").alias("g")
+    return ledger.fingerprint_files(spark, path).select(group, "size_bytes", "sha256")
+
+
 @query
 def ledger_size(spark, d):
     return ledger.ledger_size(warehouse.landed_documents(spark, d))
@@ -424,6 +468,14 @@ def event_page(spark, d):
     return checks.page(listing.select("ts", "event_id", "event_type"), ["ts", "event_id"], limit=50, offset=100)
 
 
+@query
+def event_page_deep(spark, d):
+    """The last page but one hundred rows, through an index of page starts."""
+    events = warehouse.table(spark, d, "events").select("ts", "event_id", "event_type")
+    index = checks.page_index(events, ["ts", "event_id"], rows_per_file=5_000)
+    return index.page(index.rows - 100, 50)
+
+
 @query
 def spot_check(spark, d):
     return checks.spot_check(_t2(spark, d), "2024-03-15", "ASIA")
@@ -507,6 +559,18 @@ def rides_month(spark, d):
     return clean.tag_rides(readers.read_rides(spark, path, month="2024-03")).select("ride_id", "decision")
 
 
+@query
+def rides_sample(spark, d):
+    """Part files of two run folders; of each month the first part is read, from the later folder."""
+    path = scratch_path(spark, "sample")
+    rides = warehouse.rides(spark, d).withColumn("third", F.col(warehouse.EVENT_ORDER) % 3)
+    for run, part, third in (("run=a", 1, 0), ("run=a", 2, 1), ("run=b", 1, 2)):
+        folder = f"{path}-written/{run}-{part}"
+        writers.write_rides(rides.where(F.col("third") == third).drop("third", warehouse.EVENT_ORDER).coalesce(1), folder)
+        files.move(spark, files.part_files(spark, folder)[0], f"{path}/{run}/202403-trips_{part}.csv")
+    return clean.tag_rides(readers.read_rides(spark, f"{path}/*", sample=True)).select("ride_id", "decision")
+
+
 @query
 def events_roundtrip(spark, d):
     """Permits in two run folders, with comment lines between the rows."""
@@ -563,6 +627,37 @@ def stage_counters(spark, d):
     return written.select(*[F.lit(n).cast("bigint").alias(label) for label, n in counters.items()], "t1_rows")
 
 
+@query
+def exact_counters(spark, d):
+    """Counters read from the committed files, next to the rows of T1."""
+    path = scratch_path(spark, "T1")
+    counters = demand.write_counted_rides(warehouse.rides(spark, d), warehouse.stations(spark, d), path)
+    written = readers.read_stage(spark, "T1", path).agg(F.count("*").alias("t1_rows"))
+    return written.select(*[F.lit(n).cast("bigint").alias(label) for label, n in counters.items()], "t1_rows")
+
+
+def _as_texts(df: DataFrame) -> DataFrame:
+    """Decimals as text with all their digits, next to their types."""
+    decimals = [f for f in df.schema if f.dataType.typeName() == "decimal"]
+    texts = {f.name: F.col(f.name).cast("string") for f in decimals}
+    return df.select(*df.columns, *[F.lit(f.dataType.simpleString()).alias(f"{f.name}_type") for f in decimals]).withColumns(texts)
+
+
+@query
+def exact_t2(spark, d):
+    return _as_texts(_t2(spark, d))
+
+
+@query
+def exact_fit(spark, d):
+    return _as_texts(regress.fit_ols(_t2(spark, d)))
+
+
+@query
+def exact_stats(spark, d):
+    return _as_texts(stats.borough_stats(_t2(spark, d)))
+
+
 # --- scalar functions -------------------------------------------------------------------------
 
 

@@ -333,6 +333,23 @@ def documents_run(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def document_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes that the source gives: characters, which differ from bytes where a text is not ASCII."""
+    return table(spark, folder, "documents").select("source", _file_name(F.col("doc_id")).alias("filename"), F.col("n_chars").alias("size_bytes"))
+
+
+def document_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every document under its file name."""
+    lines = F.explode(F.split("text", "\n", -1)).alias("line")
+    return table(spark, folder, "documents").select(_file_name(F.col("doc_id")).alias("filename"), lines)
+
+
+def document_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts under the paths that ``documents_run`` lands them at."""
+    name = _file_name(F.col("doc_id"))
+    return table(spark, folder, "documents").select(F.concat(F.lit("/raw/"), "source", F.lit("/2024-02-01/"), name).alias("path"), "text")
+
+
 def ride_files(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as rows of monthly part files, one part per status."""
     month = F.date_format("o_orderdate", "yyyyMM")
