@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Mapping
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -103,7 +104,8 @@ def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
     """``path, filename, size_bytes, sha256`` of the files below ``path``, however large.
 
     Only names are listed by the driver. A task opens its files by path and reads them block by block, so it
-    holds ``BLOCK_BYTES`` of a file. The file system must be one that pyarrow opens (local, HDFS, S3 and others).
+    holds ``BLOCK_BYTES`` of a file. The file system must be one that pyarrow opens (local, HDFS, S3 and others). Empty
+    files have no rows: Spark's readers pass them over.
     """
     listed = readers.list_files(spark, path).select("path", "filename")
     # A file is the unit of work, whatever its size: files are dealt out evenly and no task has many.
@@ -111,12 +113,17 @@ def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
     return listed.repartition(tasks, "path").mapInArrow(_fingerprints, "path string, filename string, size_bytes bigint, sha256 string")
 
 
+def _uri(path: str) -> str:
+    """A path as Spark lists it, with plain characters and maybe no host, as a standard URI."""
+    scheme, host, rest = re.fullmatch(r"([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/]*)?(.*)", path, re.DOTALL).groups()
+    return f"{scheme or 'file:'}{host or '//'}{quote(rest)}"
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, digests = [], []
         for name in batch["path"].to_pylist():
-            # File URIs with one slash are Spark's spelling; three are the standard's.
-            system, at = FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", name))
+            system, at = FileSystem.from_uri(_uri(name))
             digest, size = hashlib.sha256(), 0
             with system.open_input_stream(at, compression=None) as stream:
                 while block := stream.read(BLOCK_BYTES):
