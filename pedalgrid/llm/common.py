@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pedalgrid.session import staged
+
 #: White space as the contracts spell it: space and the controls from tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Text bytes that one in-memory step works on; larger batches are cut at document borders.
@@ -34,6 +36,25 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
+#: Name of the given id while rows have ids of their own.
+GIVEN = "_given_doc_id"
+
+
+def row_by_row(docs: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keep(docs)``, which drops rows by ``doc_id``, where ids may be missing or stand for several rows.
+
+    If each row has an id of its own nothing is done to them. Else ``keep`` sees rows numbered in the order of id
+    and text, null ids last, with the given id as ``GIVEN``, so that what it drops is a row and not an id.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty():
+        return keep(docs)
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
+    own = docs.withColumn(GIVEN, F.col("doc_id")).orderBy(*order).withColumn("doc_id", F.monotonically_increasing_id())
+    kept = keep(staged(own, "numbered"))
+    return kept.select(*[F.col(GIVEN).alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts, from which the number of groups or shards is derived."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

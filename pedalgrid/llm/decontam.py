@@ -5,7 +5,7 @@ of which at most a fifth differ still agree on all places of one mask somewhere.
 document windows meet on the masks' hashes, and each meeting is verified along its diagonal: the best
 ``WINDOW`` words (or the whole item, if shorter) must agree in ``SHARE`` of their places.
 
-The benchmark is the stated query set. It goes to the executors in blocks of a bounded number of words;
+The benchmark is the stated query set. It goes to the executors in blocks of a bounded number of bytes;
 a benchmark of several blocks reads the documents once per block.
 """
 
@@ -20,16 +20,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalgrid.llm.common import mixed, steps, strings, without, words
+from pedalgrid.llm.common import mixed, row_by_row, steps, strings, without, words
 
 WINDOW = 20
 SHARE = 0.8
-#: Items with fewer words are no evidence and match nothing.
-LEAST_WORDS = 5
 #: Least words of an item and the masks it is indexed by: as many words, a fifth of them other ones, still share a
-#: seed with it (checked in the tests).
-FAMILIES = ((17, ("1101111", "1110111", "1100010111")), (11, ("10111", "1111")), (8, ("111", "1101")), (5, ("11", "101")))
-BLOCK_WORDS = 1_000_000
+#: seed with it (checked in the tests). Of fewer than five words none may differ: those items are their own seeds.
+FAMILIES = (
+    (17, ("1101111", "1110111", "1100010111")),
+    (11, ("10111", "1111")),
+    (8, ("111", "1101")),
+    (5, ("11", "101")),
+    (4, ("1111",)),
+    (3, ("111",)),
+    (2, ("11",)),
+    (1, ("1",)),
+)
+#: Bytes of benchmark text in a block, which bound its words; at least one item.
+BLOCK_BYTES = 4 << 20
+#: Places that are compared at once.
+CELLS = 1 << 20
 _BITS = 20
 
 
@@ -106,18 +116,22 @@ def overlaps(found: Block, word: np.ndarray, doc: np.ndarray) -> dict[tuple[int,
     best: dict[tuple[int, int], int] = {}
     n = len(word)
     for rows in _diagonals(found, word, doc):
-        for item, start, own in rows.tolist():
-            wanted = found.word[found.at[item] : found.at[item + 1]]
-            m = len(wanted)
-            at = np.arange(start, start + m)
-            inside = (at >= 0) & (at < n)
-            at = np.clip(at, 0, n - 1)
-            equal = inside & (word[at] == wanted) & (doc[at] == own)
+        length = np.diff(found.at)[rows[:, 0]]
+        for m in np.unique(length).tolist():
+            same = rows[length == m]
             size = min(m, WINDOW)
-            sums = np.concatenate([[0], np.cumsum(equal)])
-            most = int((sums[size:] - sums[:-size]).max())
-            if most >= math.ceil(SHARE * size):
-                best[own, item] = max(best.get((own, item), 0), most)
+            for first in range(0, len(same), max(1, CELLS // m)):
+                item, start, own = same[first : first + max(1, CELLS // m)].T
+                at = start[:, None] + np.arange(m)
+                inside = (at >= 0) & (at < n)
+                at = np.clip(at, 0, n - 1)
+                equal = inside & (word[at] == found.word[found.at[item][:, None] + np.arange(m)]) & (doc[at] == own[:, None])
+                sums = np.zeros((len(item), m + 1), np.int64)
+                np.cumsum(equal, axis=1, out=sums[:, 1:])
+                most = (sums[:, size:] - sums[:, :-size]).max(axis=1)
+                for k in np.flatnonzero(most >= math.ceil(SHARE * size)).tolist():
+                    key = int(own[k]), int(item[k])
+                    best[key] = max(best.get(key, 0), int(most[k]))
     return best
 
 
@@ -142,8 +156,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     size = 0
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     for row in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        n = row[1].count(" ") + 1
-        if ids and size + n > BLOCK_WORDS:
+        n = len(row[1].encode())
+        if ids and size + n > BLOCK_BYTES:
             yield block(ids, texts)
             ids, texts, size = [], [], 0
         ids.append(row[0])
@@ -156,7 +170,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, n_equal`` for each document that holds a benchmark item or ``WINDOW`` words of it.
 
     Words are runs of letters, digits and bytes beyond ASCII, A-Z as a-z. Null texts, empty texts and
-    items of fewer than ``LEAST_WORDS`` words match nothing; items without an id are left out. Rows
+    items without words match nothing; an item of one to four words matches where it stands whole. Items without an id are left out. Rows
     that repeat are reported once. ``n_equal`` is the number of equal words in the best window.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -170,5 +184,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    return without(docs, leaks(docs, benchmark))
+    """``docs`` without the rows that hold a benchmark item; rows that share an id or have none are judged each."""
+    return row_by_row(docs, lambda rows: without(rows, leaks(rows, benchmark)))

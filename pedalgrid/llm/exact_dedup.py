@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalgrid.llm.common import BLANKS, mixed, without
+from pedalgrid.llm.common import BLANKS, mixed, row_by_row, without
 from pedalgrid.session import staged
 
 SHARD_KEYS = 100_000
@@ -35,27 +35,36 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(normal, 256)).alias("digest"))
 
 
-def _keys(digest: np.ndarray) -> np.ndarray:
-    """64-bit keys of 32-byte digests; distinct digests with equal keys are told apart by the level's seed."""
-    parts = digest.view("<u8").reshape(-1, 4)
-    return mixed(parts[:, 0] + mixed(parts[:, 1] + mixed(parts[:, 2] + mixed(parts[:, 3].copy()))))
-
-
 def _rows(values: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(-1, 32)
 
 
-def _place(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
-    return (mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 & (2**64 - 1))) % np.uint64(bits)).astype(np.int64)
+def _place(digest: np.ndarray, level: int, bits: int) -> np.ndarray:
+    """Places of 32-byte digests in a level. All bytes count anew in each level, so no two digests meet in all of them."""
+    seed = np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    words = np.ascontiguousarray(digest).view("<u8").reshape(-1, 4)
+    total = np.full(len(words), seed, np.uint64)
+    for k in range(4):
+        total = mixed(total + words[:, k]) ^ seed
+    return (mixed(total) % np.uint64(bits)).astype(np.int64)
+
+
+#: Levels after which only equal digests can be left.
+MOST_LEVELS = 256
+
 
+def build_levels(digest: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Bit levels of a minimal perfect hash of distinct digests, and each one's slot; equal digests fail by name.
 
-def build_levels(keys: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Bit levels of a minimal perfect hash, and each key's slot. A key that shares its place goes a level down."""
-    levels, slots, base = [], np.full(len(keys), -1, np.int64), 0
-    left = np.arange(len(keys))
+    A digest that shares its place goes a level down.
+    """
+    levels, slots, base = [], np.full(len(digest), -1, np.int64), 0
+    left = np.arange(len(digest))
     while len(left):
+        if len(levels) == MOST_LEVELS:
+            raise ValueError("build_levels: equal digests")
         bits = max(64, ROOM * len(left))
-        at = _place(keys[left], len(levels), bits)
+        at = _place(digest[left], len(levels), bits)
         alone = np.bincount(at, minlength=bits) == 1
         rank = np.cumsum(alone) - 1
         own = alone[at]
@@ -66,14 +75,14 @@ def build_levels(keys: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     return levels, slots
 
 
-def find_slots(levels: list[bytes], keys: np.ndarray) -> np.ndarray:
-    """The slot of each key, -1 where no level has its bit."""
-    slots, base = np.full(len(keys), -1, np.int64), 0
-    left = np.arange(len(keys))
+def find_slots(levels: list[bytes], digest: np.ndarray) -> np.ndarray:
+    """The slot of each digest, -1 where no level has its bit."""
+    slots, base = np.full(len(digest), -1, np.int64), 0
+    left = np.arange(len(digest))
     for k, packed in enumerate(levels):
         bits = int.from_bytes(packed[-8:], "little")
         level = np.unpackbits(np.frombuffer(packed[:-8], np.uint8), count=bits).astype(bool)
-        at = _place(keys[left], k, bits)
+        at = _place(digest[left], k, bits)
         hit = level[at]
         slots[left[hit]] = base + (np.cumsum(level) - 1)[at[hit]]
         base += int(level.sum())
@@ -83,7 +92,7 @@ def find_slots(levels: list[bytes], keys: np.ndarray) -> np.ndarray:
 
 def _build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     digest = _rows(group["digest"])
-    levels, slots = build_levels(_keys(digest))
+    levels, slots = build_levels(digest)
     order = np.argsort(slots)
     winner = group["winner"].to_numpy(np.int64)[order]
     size = group["size"].to_numpy(np.int64)[order]
@@ -97,7 +106,7 @@ def _probe(new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         if not len(new):
             break
         digest = _rows(new["digest"])
-        slots = find_slots(list(row.levels), _keys(digest))
+        slots = find_slots(list(row.levels), digest)
         kept = np.frombuffer(row.digests, np.uint8).reshape(-1, 32)
         known = slots >= 0
         known[known] = (kept[slots[known]] == digest[known]).all(axis=1)
@@ -177,6 +186,14 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unique(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of equal texts, the one with the smallest id."""
-    early, late = halves(docs)
-    return without(docs, decide(late, early).where(~F.col("kept")))
+    """``docs`` with one row of each group of equal texts, the one with the smallest id.
+
+    Rows that repeat an id are told apart by their texts, and of wholly equal rows one stays; a null id loses to
+    any other. An empty table stays empty. Other columns stay as they are.
+    """
+
+    def keep(rows: DataFrame) -> DataFrame:
+        early, late = halves(rows)
+        return without(rows, decide(late, early).where(~F.col("kept")))
+
+    return row_by_row(docs, keep)

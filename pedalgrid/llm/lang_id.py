@@ -8,7 +8,6 @@ computed for batches of texts as one matrix product.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,6 @@ SHARPNESS = 8.0
 BATCH = 256
 UNKNOWN = "und"
 _CODES = 256 + (1 << 16) + (1 << 24)
-_LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _state: dict = {}
@@ -155,7 +153,7 @@ def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
         for first in range(0, batch.num_rows, BATCH):
             some = batch.slice(first, BATCH)
             raw, at = strings(some["text"])
-            has = [bool(t) and bool(_LETTER.search(t)) for t in some["text"].to_pylist()]
+            has = [bool(t) and any(map(str.isalpha, t)) for t in some["text"].to_pylist()]
             langs, score = np.full(len(has), UNKNOWN, object), np.zeros(len(has))
             rows = np.flatnonzero(has) if model is not None else np.zeros(0, int)
             if len(rows):

@@ -9,12 +9,17 @@ enough:
 2. Documents with equal sets are one row of the matrix.
 3. Columns are put in order of their counts, rarest first. Two documents over the bound share one of the
    first ``n - ceil(share * n) + 1`` columns of either, so only these make candidates.
-4. In each column some leaders are picked, and each other document of similar size is paired with them.
-   Blocks of leaders by documents are multiplied, overlaps accumulate, and pairs below the bound go.
-   Links give labels to what they connect: documents of one label are not paired again, the others go into
-   the next round, with more leaders. A group of copies is done after a few leaders, and no round lists
-   all pairs of a group whose documents are linked.
-5. All links join to components.
+4. In each column some leaders are picked, and each other document that can link with them by size and by the
+   column's place in either is paired with them. Blocks of leaders by documents are multiplied, overlaps
+   accumulate, and pairs below the bound go. Links give labels to what they connect: documents of one label
+   are not paired again, the others go into the next round, with more leaders. A group of copies is done
+   after a few leaders.
+5. What is left after ``ROUNDS`` rounds are columns of documents that mostly do not link. Such a column is split by the
+   next column that two documents must share as well: of the first ``n - ceil(share * n) + k`` columns they have
+   ``k`` in common. Splitting goes on, column by column, until groups are small; those are paired in full. A column is
+   only split where that makes fewer entries than it has pairs, so a column that many documents share
+   makes no pairs by itself, and what one document costs is bounded by its own size.
+6. All links join to components.
 
 The columns of a document hold 64-bit hashes of its n-grams.
 """
@@ -25,17 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.llm import key_counts
-from pedalgrid.llm.common import mixed, shingles, without, words
+from pedalgrid.llm.common import mixed, row_by_row, shingles, without, words
 from pedalgrid.llm.links import components, contracted
 from pedalgrid.session import staged
 
 STEP = 1 << 19
-#: Each round has so many times the leaders of the one before.
+#: Each round has so many times the leaders of the one before, and so many rounds come before columns are split.
 MORE = 8
+ROUNDS = 2
+#: Documents of a column that are paired in full rather than split.
+SMALL = 8
 #: Documents that one block of the product multiplies a leader with.
 BLOCK = 256
 
@@ -91,15 +99,48 @@ def incidence(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
 
 
+def _bound(n: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap of a set of ``n`` n-grams with one that it links with."""
+    return -(-percent * n // 100)
+
+
+_ENTRY = "column long, doc_id long, n long, alone long, place long, depth long"
+
+
+def _entries(parts: list[tuple[np.ndarray, int, int, int, np.ndarray, int]]) -> pa.RecordBatch:
+    arrays: list[list[np.ndarray]] = [[], [], [], [], [], []]
+    for column, doc, n, alone, place, depth in parts:
+        for values, x in zip(arrays, (column, *(np.full(len(column), v, np.int64) for v in (doc, n, alone)), place, np.full(len(column), depth, np.int64))):
+            values.append(x)
+    names = [part.split(" ")[0] for part in _ENTRY.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in arrays], names)
+
+
 def _first_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """One entry per column that a document may share first; ``place`` counts its own n-grams, which come before."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        parts = []
         for doc, n, alone, blob in zip(*(batch[c].to_pylist() for c in ("doc_id", "n", "alone", "columns"))):
-            column = np.frombuffer(blob, np.int64)[: n - -(-percent * n // 100) + 1 - alone]
-            for values, x in zip(out, (column, *(np.full(len(column), v, np.int64) for v in (doc, n, alone)))):
-                values.append(x)
-        arrays = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out]
-        yield pa.RecordBatch.from_arrays(arrays, ["column", "doc_id", "n", "alone"])
+            column = np.frombuffer(blob, np.int64)[: max(0, n - _bound(n, percent) + 1 - alone)]
+            parts.append((column, doc, n, alone, alone + np.arange(len(column)), 1))
+        yield _entries(parts)
+
+
+def _next_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Each entry split by the columns that two of its documents may share next."""
+    for batch in batches:
+        parts: list[tuple] = []
+        size = 0
+        for key, doc, n, alone, place, depth, blob in zip(*(batch[c].to_pylist() for c in ("column", "doc_id", "n", "alone", "place", "depth", "columns"))):
+            last = n - int(_bound(n, percent)) + depth + 1
+            more = np.frombuffer(blob, np.int64)[place + 1 - alone : max(0, last - alone)]
+            column = mixed(mixed(np.full(len(more), key).view(np.uint64)) + more.view(np.uint64)).view(np.int64)
+            parts.append((column, doc, n, alone, place + 1 + np.arange(len(more)), depth + 1))
+            size += len(more)
+            if size > STEP:
+                yield _entries(parts)
+                parts, size = [], 0
+        yield _entries(parts)
 
 
 def block_overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -133,44 +174,94 @@ def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def _possible(percent: int):
-    """Bounds from sizes alone: neither set holds more than the other, and no n-gram of its own is shared."""
-    most = F.least(F.col("n") - F.col("alone"), F.col("leader_n") - F.col("leader_alone"))
+    """Bounds before any overlap is counted: if a column is the last of ``depth`` that two sets share first, the rest of what
+    they share stands behind it in both, and n-grams of their own are not shared."""
+    rest = F.least(F.col("n") - F.col("place"), F.col("leader_n") - F.col("leader_place")) - 1
+    most = F.least(F.col("depth") + rest, F.col("n") - F.col("alone"), F.col("leader_n") - F.col("leader_alone"))
     return (100 * most >= percent * (F.col("n") + F.col("leader_n") - most)) & (F.col("doc_id") != F.col("leader"))
 
 
+def _shared(entries: DataFrame, several: Column) -> DataFrame:
+    """Entries of the columns of which ``several`` holds; the others make no candidates."""
+    open_ = entries.groupBy("column").agg(several.alias("_open")).where("_open").select("column")
+    return entries.join(staged(open_, "open"), "column", "left_semi")
+
+
+def _as_leaders(picked: DataFrame) -> DataFrame:
+    return picked.select("column", F.col("doc_id").alias("leader"), *[F.col(c).alias(f"leader_{c}") for c in ("n", "alone", "place", "label")])
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs that are possible the links, ``a, b, label_a, label_b``."""
+    pairs = staged(pairs.select("leader", "doc_id", "leader_label", "label").distinct(), "pairs")
+    own = pairs.join(sets, "doc_id")
+    theirs = sets.select(F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), F.col("columns").alias("leader_columns"))
+    product = own.join(theirs, "leader").mapInArrow(lambda b: _multiply(b, percent), "a long, b long, label_a long, label_b long")
+    return staged(product, "new_links")
+
+
+def _relabelled(entries: DataFrame, new: DataFrame) -> DataFrame:
+    """Most of what is linked has one label from now on; columns of one label are done."""
+    now = staged(contracted(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))), "labels")
+    rest = entries.join(now.select(F.col("id").alias("label"), "parent"), "label", "left")
+    rest = staged(rest.withColumn("label", F.coalesce("parent", "label")).drop("parent"), "rest")
+    return staged(_shared(rest, F.min("label") != F.max("label")), "entries")
+
+
+def _met(entries: DataFrame, percent: int, sets: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
+    """New links of one round with so many leaders per column, and the entries that are still open."""
+    # Of each part of a column's documents the one with the fewest n-grams of its own leads.
+    salt = F.pmod(F.xxhash64("doc_id", F.lit(leaders)), F.lit(leaders))
+    picked = entries.groupBy("column", salt.alias("_s")).agg(F.min(F.struct("alone", "doc_id", "n", "place", "label")).alias("l"))
+    picked = staged(_as_leaders(picked.select("column", "l.*")), "leaders")
+    pairs = entries.join(picked, "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")))
+    new = _linked(pairs, sets, percent)
+    # Leaders have met all documents of their columns.
+    rest = entries.join(picked.select("column", F.col("leader").alias("doc_id")), ["column", "doc_id"], "left_anti")
+    return new, _relabelled(rest, new)
+
+
+def _width(percent: int) -> Column:
+    """Entries that a document's entry is split into."""
+    bound = F.ceil(F.col("n") * percent / 100)
+    return F.greatest(F.col("n") - bound + F.col("depth") - F.col("place"), F.lit(0))
+
+
 def links(rows: DataFrame, percent: int) -> list[DataFrame]:
     """Tables of links ``a, b`` that join all documents whose sets overlap enough. ``rows``: distinct sets of ``incidence``.
 
     Every two such documents are linked, or joined by other links.
     """
-    entries = rows.mapInArrow(lambda b: _first_columns(b, percent), "column long, doc_id long, n long, alone long")
-    # A column of one document makes no candidates.
-    shared = entries.groupBy("column").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("column")
-    entries = staged(entries.join(staged(shared, "columns"), "column", "left_semi").withColumn("label", F.col("doc_id")), "entries")
     sets = rows.select("doc_id", "n", "columns")
-    found, leaders = [], 1
+    entries = rows.mapInArrow(lambda b: _first_columns(b, percent), _ENTRY)
+    entries = staged(_shared(entries, F.count(F.lit(1)) > 1).withColumn("label", F.col("doc_id")), "entries")
+    found = []
     while not entries.isEmpty():
-        # The leaders of a column: of each part of its documents the one with the fewest n-grams of its own.
-        salt = F.pmod(F.xxhash64("doc_id", F.lit(leaders)), F.lit(leaders))
-        picked = entries.groupBy("column", salt.alias("_s")).agg(F.min(F.struct("alone", "doc_id", "n", "label")).alias("l"))
-        picked = staged(picked.select("column", F.col("l.doc_id").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.alone").alias("leader_alone"), F.col("l.label").alias("leader_label")), "leaders")
-        pairs = entries.join(picked, "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")))
-        # Between two leaders one direction will do; the larger id is then the document.
-        pairs = staged(pairs.select("leader", "doc_id", "leader_label", "label").distinct(), "pairs")
-        own = pairs.join(sets, "doc_id")
-        theirs = sets.select(F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), F.col("columns").alias("leader_columns"))
-        product = own.join(theirs, "leader").mapInArrow(lambda b: _multiply(b, percent), "a long, b long, label_a long, label_b long")
-        new = staged(product, "new_links")
+        leaders = 1
+        for _ in range(ROUNDS):
+            new, entries = _met(entries, percent, sets, leaders)
+            found.append(new.select("a", "b"))
+            leaders *= MORE
+            if entries.isEmpty():
+                return found
+        # A column of k documents has k * (k - 1) / 2 pairs; it is split if that makes fewer entries.
+        k = F.count(F.lit(1))
+        cost = entries.groupBy("column").agg((((k - 1) * k / 2 > F.sum(_width(percent))) & (k > SMALL)).alias("split"))
+        cost = staged(cost, "costs")
+        few = staged(entries.join(cost.where(~F.col("split")), "column", "left_semi"), "few")
+        many = staged(entries.join(cost.where("split"), "column", "left_semi"), "many")
+        pairs = few.join(_as_leaders(few), "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")) & (F.col("leader") < F.col("doc_id")))
+        new = _linked(pairs, sets, percent)
         found.append(new.select("a", "b"))
-        # Most of what is linked has one label from now on; leaders have met all documents of their columns.
-        now = staged(contracted(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))), "labels")
-        rest = entries.join(picked.select("column", F.col("leader").alias("doc_id")), ["column", "doc_id"], "left_anti")
-        rest = rest.join(now.select(F.col("id").alias("label"), "parent"), "label", "left")
-        rest = rest.withColumn("label", F.coalesce("parent", "label")).drop("parent")
-        rest = staged(rest, "rest")
-        open_ = rest.groupBy("column").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("column")
-        entries = staged(rest.join(staged(open_, "open"), "column", "left_semi"), "entries")
-        leaders *= MORE
+        if many.isEmpty():
+            return found
+        many = _relabelled(many, new)
+        wider = many.join(sets.select("doc_id", "columns"), "doc_id").mapInArrow(lambda b: _next_columns(b, percent), _ENTRY)
+        # Labels are those of the documents; an entry's columns have changed.
+        labels = staged(many.groupBy("doc_id").agg(F.min("label").alias("label")), "document_labels")
+        wider = staged(_shared(wider, F.count(F.lit(1)) > 1), "split")
+        entries = staged(wider.join(labels, "doc_id"), "entries")
+        entries = staged(_shared(entries, F.min("label") != F.max("label")), "entries")
     return found
 
 
@@ -202,5 +293,9 @@ def cluster(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
 
 def representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id."""
-    return without(docs, cluster(docs, size, percent).where(F.col("component_id") != F.col("doc_id")))
+    """``docs`` with one row of each component, the one with the smallest id; rows that share an id or have none count each."""
+
+    def keep(rows: DataFrame) -> DataFrame:
+        return without(rows, cluster(rows, size, percent).where(F.col("component_id") != F.col("doc_id")))
+
+    return row_by_row(docs, keep)

@@ -13,7 +13,8 @@ import re
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, zip_longest
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents and stretches of each that the field is fitted on, at most.
+#: Bounds of what the field is fitted on: distinct texts, stretches of each, characters of a stretch, stretches of one
+#: shape, and examples in all, dealt out evenly over what kinds of spans they hold.
 SAMPLE = 1_500
 PER_DOCUMENT = 5
+LONGEST_EXAMPLE = 120
+PER_SHAPE = 4
+EXAMPLES = 600
 #: Tokens of a segment, at most; a base span may be longer.
 LONGEST = 16
 #: Tokens whose segments are scored at once; only scores and back pointers of a stretch are kept.
@@ -35,6 +40,10 @@ ROUNDS = 60
 # The patterns of the contract.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The first two tried at every place of a long run would read it again each time; their parts are matched once instead.
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -80,13 +89,45 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _emails(part: str) -> Iterator[tuple[int, int]]:
+    """Matches of ``EMAIL``: an at sign, the run of local characters before it, and the domain behind it."""
+    first = 0
+    at = part.find("@")
+    while at >= 0:
+        # The local part cannot hold an at sign, so it starts behind the last one, or behind the last match.
+        local = at - len(_LOCAL.match(part[first:at][::-1])[0])
+        domain = _DOMAIN.match(part, at)
+        if local < at and domain:
+            yield local, domain.end()
+            first = domain.end()
+        else:
+            first = at + 1
+        at = part.find("@", first)
+
+
+def _quads(part: str) -> Iterator[tuple[int, int]]:
+    """Matches of ``IP``: of numbers joined by dots, four at a time."""
+    for run in _DOTTED.finditer(part):
+        borders = [run.start() - 1, *(m.start() for m in re.finditer(r"\.", run[0])), len(run[0])] if "." in run[0] else []
+        ends = [run.start() + x for x in borders[1:]]
+        starts = [run.start(), *(x + 1 for x in ends[:-1])]
+        for k in range(0, len(ends) - 3, 4):
+            yield starts[k], ends[k + 3]
+
+
+def _matches(kind: int, part: str) -> Iterator[tuple[int, int]]:
+    if kind < 2:
+        return _emails(part) if kind == 0 else _quads(part)
+    return (m.span() for m in (CARD if kind == 2 else PHONE).finditer(part))
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of the four patterns, leftmost and without overlap per kind, less those that fail their check."""
     spans = set()
     for a, b in stretches(text):
         part = text[a:b]
-        kinds = ((0, EMAIL),) if "@" in part else ((1, IP), (2, CARD), (3, PHONE))
-        spans |= {(a + m.start(), k, a + m.end()) for k, p in kinds for m in p.finditer(part) if _valid(k, m[0])}
+        kinds = (0,) if "@" in part else (1, 2, 3)
+        spans |= {(a + first, k, a + last) for k in kinds for first, last in _matches(k, part) if _valid(k, part[first:last])}
     return sorted(spans)
 
 
@@ -266,29 +307,36 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, spans = [], []
         for text in batch["text"].to_pylist():
             base = base_spans(text)
-            for a, b in [s for s in stretches(text) if s[1] - s[0] <= 120][:PER_DOCUMENT]:
+            for a, b in [s for s in stretches(text) if s[1] - s[0] <= LONGEST_EXAMPLE][:PER_DOCUMENT]:
                 parts.append(text[a:b])
                 spans.append([x for s in _plain(base) if a <= s[0] and s[2] <= b for x in (s[0] - a, s[1], s[2] - a)])
         yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array(spans, pa.list_(pa.int32()))], ["part", "spans"])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Weights from at most ``sample`` documents with a digit or an at sign, the lowest by hash; all 0 without any."""
-    usable = docs.select("text").where(F.col("text").rlike(r"@|[0-9][0-9().\x20-]{5}"))
-    # Twice the share of documents that is needed, so that tasks send a bounded number of texts between them.
-    share = min(1.0, 2 * sample / max(1, usable.count()))
-    few = usable.withColumn("rank", F.xxhash64("text")).where(F.pmod("rank", F.lit(1_000_000)) < int(1_000_000 * share) + 1)
-    picked = few.orderBy("rank", F.length("text")).limit(sample).select("text")
+    """Weights from at most ``sample`` distinct texts with a digit or an at sign, the lowest by hash; all 0 without any.
+
+    Copies are one text. ``PER_DOCUMENT``, ``LONGEST_EXAMPLE``, ``PER_SHAPE`` and ``EXAMPLES`` bound what is taken of them.
+    """
+    usable = docs.select("text").where(F.col("text").rlike(r"@|[0-9][0-9().\x20-]{5}")).withColumn("rank", F.xxhash64("text"))
+    # Twice the share of texts that is needed, so that tasks send a bounded number of texts between them.
+    known = usable.agg(F.approx_count_distinct("rank")).first()[0]
+    share = min(1.0, 2 * sample / max(1, known))
+    few = usable.where(F.pmod("rank", F.lit(1_000_000)) < int(1_000_000 * share) + 1).dropDuplicates(["rank"])
+    picked = few.orderBy("rank").limit(sample).select("text")
     found = sorted((r["part"], tuple(r["spans"])) for r in picked.mapInArrow(_examples, "part string, spans array<int>").collect())
     # Stretches of the same shape teach the same: keep a few of each.
     shapes: dict[str, int] = {}
-    examples = []
-    for part, flat in found:
+    examples: dict[tuple[int, ...], list] = {}
+    for part, flat in sorted(found, key=lambda x: (crc32(x[0].encode()), x)):
         shape = re.sub("[0-9]", "0", re.sub("[A-Za-z]+", "a", part)) + str(flat[1::3])
         shapes[shape] = shapes.get(shape, 0) + 1
-        if shapes[shape] <= 4:
-            examples += _altered(part, list(zip(flat[::3], flat[1::3], flat[2::3])))
-    return fit(examples[:600])
+        if shapes[shape] <= PER_SHAPE:
+            for example in _altered(part, list(zip(flat[::3], flat[1::3], flat[2::3]))):
+                examples.setdefault(tuple(sorted({s[1] for s in example[1]})), []).append(example)
+    # In turn from each combination of kinds, so that none is crowded out by one that is frequent.
+    turns = [e for row in zip_longest(*(examples[k] for k in sorted(examples))) for e in row if e is not None]
+    return fit(turns[:EXAMPLES])
 
 
 def spans_of(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:

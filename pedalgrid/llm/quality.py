@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalgrid.llm.common import held_out, mixed, shingles, steps, strings, without, words
+from pedalgrid.llm.common import GIVEN, held_out, mixed, row_by_row, shingles, steps, strings, without, words
 from pedalgrid.session import staged
 
 FEATURES = 384
@@ -211,10 +211,13 @@ def _score(frames: Iterator[pd.DataFrame], model: Model | None) -> Iterator[pd.D
         yield pd.DataFrame({"doc_id": frame["doc_id"], "score": score, "predicted": (score >= THRESHOLD).astype(np.int32)})
 
 
-def _classified(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, bool]:
-    """``classify``, and whether there were usable labels."""
+def _usable(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
+
+
+def _classified(docs: DataFrame, known: DataFrame) -> tuple[DataFrame, bool]:
+    """``classify`` with labels ``_id, y``, and whether there were any for these documents."""
     stats = staged(measure(docs), "statistics")
-    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
     model = train(stats.join(known, stats["doc_id"] == known["_id"]).select("y", *STATS))
     scored = stats.mapInPandas(lambda f: _score(f, model), f"doc_id {dict(stats.dtypes)['doc_id']}, score double, predicted int")
     return scored.withColumn("held_out", held_out(F.col("doc_id"))), model is not None
@@ -226,10 +229,21 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null texts are empty; an empty text has all statistics 0 and is scored like any other. Labels
     that are null are left out, repeated ones count each. Without usable labels every score is 0.5.
     """
-    return _classified(docs, labels)[0]
+    return _classified(docs, _usable(labels))[0]
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; without usable labels it rejects none."""
-    found, learned = _classified(docs, labels)
-    return without(docs, found.where(F.col("predicted") == 0)) if learned else docs
+    """``docs`` without the rows that the classifier rejects; without usable labels it rejects none.
+
+    Rows that share an id or have none are judged each by its own text.
+    """
+    usable = _usable(labels)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        known = usable
+        if GIVEN in rows.columns:
+            known = rows.select("doc_id", GIVEN).join(usable, F.col(GIVEN) == F.col("_id")).select(F.col("doc_id").alias("_id"), "y")
+        found, learned = _classified(rows, known)
+        return without(rows, found.where(F.col("predicted") == 0)) if learned else rows
+
+    return row_by_row(docs, keep)

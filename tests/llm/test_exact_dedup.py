@@ -33,7 +33,7 @@ def found(df):
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
 def test_hash_is_minimal_and_perfect(n):
-    keys = np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64)
+    keys = np.random.default_rng(n).integers(0, 256, (n, 32)).astype(np.uint8)
     levels, slots = e.build_levels(keys)
     assert sorted(slots) == list(range(n))
     assert (e.find_slots(levels, keys) == slots).all()
@@ -41,11 +41,30 @@ def test_hash_is_minimal_and_perfect(n):
 
 def test_strangers_fall_through_or_fail_the_byte_check():
     digest = np.random.default_rng(1).integers(0, 256, (200, 32)).astype(np.uint8)
-    levels, _ = e.build_levels(e._keys(digest[:100]))
-    slots = e.find_slots(levels, e._keys(digest[100:]))
+    levels, _ = e.build_levels(digest[:100])
+    slots = e.find_slots(levels, digest[100:])
     assert (slots < 100).all()
 
 
+def test_equal_digests_fail_and_nearly_equal_ones_part():
+    digest = np.zeros((300, 32), np.uint8)
+    digest[:, 7] = np.arange(300) % 256
+    digest[:, 31] = np.arange(300) // 256
+    levels, slots = e.build_levels(digest)
+    assert sorted(slots) == list(range(300)) and (e.find_slots(levels, digest) == slots).all()
+    with pytest.raises(ValueError, match="equal digests"):
+        e.build_levels(digest[[5, 5, 9]])
+
+
+def test_unique_keeps_each_text_once(documents):
+    rows = [(3, "A"), (5, "A"), (5, "B"), (7, "C"), (7, "C"), (None, "D"), (None, "D"), (None, "B"), (8, None), (9, "")]
+    docs = documents([t for _, t in rows], ids=[k for k, _ in rows])
+    kept = e.unique(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    assert got == [("3", "A"), ("5", "B"), ("7", "C"), ("8", "None"), ("None", "D")]
+
+
 def test_equals_grouping(documents, prose):
     docs = documents(prose)
     early, late = e.halves(docs)

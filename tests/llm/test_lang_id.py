@@ -35,6 +35,12 @@ def test_held_out_accuracy(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.98
 
 
+def test_number_characters_are_no_letters(spark, documents):
+    docs = documents(["½ ² ① 1⁄2", "Ⅷ", "a½", "the word of the day", "der Tag"], ids=[0, 4, 8, 12, 16])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in lang_id.classify(docs).collect()}
+    assert got[0] == ("und", 0.0) == got[4] and got[8][0] == "en"
+
+
 def test_hard_rows(spark, documents):
     docs = documents([None, "", "123 .,!", "the word", "日本語", "x" * 200_000, "the word"], ids=[1, 2, 3, 4, 5, 6, 4])
     rows = [(r["doc_id"], r["lang_pred"], r["score"]) for r in lang_id.classify(docs).collect()]

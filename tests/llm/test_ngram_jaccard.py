@@ -70,6 +70,49 @@ def test_documents_that_share_all_rare_words_but_are_unlike(documents):
     assert found(j.cluster(documents(texts), 3, 80)) == expected(list(enumerate(texts)), 3, 80)
 
 
+def test_unlinked_documents_that_share_a_header_make_no_pairs(documents, monkeypatch):
+    """Short texts of few words, none of which link: what they share is split until next to nothing is paired."""
+    draw = random.Random(11)
+    header = " ".join(f"h{k}" for k in range(8))
+    texts = sorted({f"{header} " + " ".join(draw.choice("abcdefghijkl") for _ in range(draw.choice([9, 10, 11]))) for _ in range(900)})
+    pairs, stage = [], j.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(j, "staged", counted)
+    assert found(j.cluster(documents(texts), 5, 80)) == expected(list(enumerate(texts)), 5, 80)
+    assert sum(pairs) < 30 * len(texts)
+
+
+def test_split_columns_lose_no_link(documents, monkeypatch):
+    """Every column is split at once and again: links between unlike groups of one column stay."""
+    monkeypatch.setattr(j, "ROUNDS", 1)
+    monkeypatch.setattr(j, "SMALL", 2)
+    monkeypatch.setattr(j, "_width", lambda percent: j.F.lit(0))
+    draw = random.Random(12)
+    common = [f"c{k}" for k in range(14)]
+    texts = []
+    for _ in range(40):
+        words = draw.sample(common, 11)
+        texts.append(" ".join(words))
+        words[draw.randrange(11)] = draw.choice(common)
+        texts.append(" ".join(words))
+        texts.append(" ".join(words + [draw.choice(common)]))
+    for size, percent in ((1, 80), (2, 70)):
+        assert found(j.cluster(documents(texts), size, percent)) == expected(list(enumerate(texts)), size, percent)
+
+
+def test_representatives_keep_one_row_of_each_text(documents):
+    texts = ["a b c d e f", "a b c d e f", "q r s t u v w", "A b c d e f", "q r s t u v w", None, ""]
+    docs = documents(texts, ids=[3, 5, 5, 7, None, 3, 3])
+    kept = sorted((str(r["doc_id"]), str(r["text"])) for r in j.representatives(docs).collect())
+    assert kept == [("3", ""), ("3", "None"), ("3", "a b c d e f"), ("5", "q r s t u v w")]
+
+
 def test_nulls_repeats_and_empty_tables(documents):
     rows = [(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (9, "A b\tc d"), (5, None), (6, "")]
     docs = documents([t for _, t in rows], ids=[k for k, _ in rows])

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -45,6 +46,14 @@ def test_base_spans_are_those_of_whole_texts():
         assert pii.base_spans(text) == brute(text), text
 
 
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "a" * 1_000_000 + "@", "a" * 500_000 + "@b " + "." * 400_000, "1." * 500_000, "@" * 100_000, "+1" + " " * 500_000 + "x" + "+" * 100_000])
+def test_long_runs_are_matched_once(text):
+    began = time.perf_counter()
+    spans = pii.base_spans(text)
+    assert time.perf_counter() - began < 5
+    assert len(spans) == (125_000 if text.startswith("1.") else 0)
+
+
 def test_best_path_is_the_best_segmentation():
     draw = np.random.default_rng(3)
     lattice = pii.Lattice("+1 (4) 5.6")
