@@ -17,8 +17,8 @@ enough:
 5. What is left after ``ROUNDS`` rounds are columns of documents that mostly do not link. Such a column is split by the
    next column that two documents must share as well: of the first ``n - ceil(share * n) + k`` columns they have
    ``k`` in common. Splitting goes on, column by column, until groups are small; those are paired in full. A column is
-   only split where that makes fewer entries than it has pairs, so a column that many documents share
-   makes no pairs by itself, and what one document costs is bounded by its own size.
+   only split where that makes fewer entries than it has pairs, so what one document costs is bounded by
+   the columns it has itself, however many documents share them.
 6. All links join to components.
 
 The columns of a document hold 64-bit hashes of its n-grams.
@@ -222,9 +222,10 @@ def _met(entries: DataFrame, percent: int, sets: DataFrame, leaders: int) -> tup
 
 
 def _width(percent: int) -> Column:
-    """Entries that a document's entry is split into."""
-    bound = F.ceil(F.col("n") * percent / 100)
-    return F.greatest(F.col("n") - bound + F.col("depth") - F.col("place"), F.lit(0))
+    """About how many entries a document makes if the columns that it may share first are all split: as a rule the
+    documents of a column meet in its neighbours too."""
+    width = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("depth") - F.col("alone"), F.lit(1))
+    return width * width
 
 
 def links(rows: DataFrame, percent: int) -> list[DataFrame]:
@@ -244,7 +245,7 @@ def links(rows: DataFrame, percent: int) -> list[DataFrame]:
             leaders *= MORE
             if entries.isEmpty():
                 return found
-        # A column of k documents has k * (k - 1) / 2 pairs; it is split if that makes fewer entries.
+        # A column of k documents has k * (k - 1) / 2 pairs to look at; it is split if that makes fewer entries.
         k = F.count(F.lit(1))
         cost = entries.groupBy("column").agg((((k - 1) * k / 2 > F.sum(_width(percent))) & (k > SMALL)).alias("split"))
         cost = staged(cost, "costs")
