@@ -154,7 +154,8 @@ def front_code(rows: np.ndarray) -> tuple[bytes, bytes]:
     return pack(shared), pack(rows[np.arange(WIDTH) >= shared[:, None]])
 
 
-def front_decode(shared: bytes, rest: bytes) -> np.ndarray:
+def front_decode(shared: bytes, rest: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The rows, and the lengths of the prefixes as they were coded."""
     prefix, data = unpack(shared), unpack(rest)
     own = np.arange(WIDTH) >= prefix[:, None]
     rows = np.zeros(own.shape, np.uint8)
@@ -163,7 +164,7 @@ def front_decode(shared: bytes, rest: bytes) -> np.ndarray:
     number = np.arange(len(rows))
     for k in range(WIDTH):
         rows[:, k] = rows[np.maximum.accumulate(np.where(own[:, k], number, 0)), k]
-    return rows
+    return rows, prefix
 
 
 # --- merging ------------------------------------------------------------------------------------
@@ -190,10 +191,11 @@ def _common(word: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -
     return size, smaller
 
 
-def merge(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def merge(word: np.ndarray, coded: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge sorted runs with one loser tree per lane; all trees take their next row in the same step.
 
-    ``begin`` and ``end`` (lanes by runs) are slices of ``word``. Returns the row numbers in order, lane
+    ``begin`` and ``end`` (lanes by runs) are slices of ``word``, ``coded`` is each row's common prefix with the
+    row before it in its run, as front coding brought it: only the first row of a run in a lane is read from its first byte. Returns the row numbers in order, lane
     after lane, and each row's common prefix with the row before it (0 for the first of a lane).
 
     A node keeps the loser of a match with the length of its common prefix with the match's winner. A
@@ -239,10 +241,7 @@ def merge(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndar
         player = np.where(wins, a, b).reshape(lanes, half)
         size = half
     winner, winner_lcp = player[:, 0].copy(), np.zeros(lanes, np.int64)
-    # Common prefix of each run's next row with the row before it, from front coding: known without reading.
-    own_lcp = np.zeros(last + 1, np.int64)
-    if last > 1:
-        own_lcp[1:last] = _common(word, np.arange(last - 1), np.arange(1, last), np.zeros(last - 1, np.int64))[0]
+    own_lcp = np.append(coded, 0).astype(np.int64)
 
     live = np.flatnonzero(total > 0)
     step = 0
@@ -278,8 +277,11 @@ def merge(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return out, out_lcp
 
 
-def merge_runs(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows of all runs, one after the other, and common prefixes of neighbours in that order."""
+def merge_runs(runs: list[np.ndarray], prefixes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows of all runs, one after the other, and common prefixes of neighbours in that order.
+
+    ``prefixes``: for each run what each row shares with the row before it, from ``front_decode``.
+    """
     rows = np.concatenate(runs)
     word = as_words(rows)
     if len(rows) == 0:
@@ -290,7 +292,7 @@ def merge_runs(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     cuts = np.unique(picked[np.linspace(0, len(picked), lanes + 1)[1:-1].astype(int)]) if len(picked) and lanes > 1 else picked[:0]
     base = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
     borders = np.stack([np.concatenate([[0], np.searchsorted(t, cuts), [len(t)]]) + b for t, b in zip(text, base)], axis=1)
-    order, lcp = merge(word, borders[:-1], borders[1:])
+    order, lcp = merge(word, np.concatenate(prefixes), borders[:-1], borders[1:])
     # Across the borders of lanes nothing is known.
     edge = np.cumsum((borders[1:] - borders[:-1]).sum(axis=1))[:-1]
     edge = np.unique(edge[(edge > 0) & (edge < len(order))])
@@ -460,9 +462,9 @@ def _send(texts: pa.Table, totals: np.ndarray, borders: np.ndarray) -> pa.Table:
 def _merge(sent: pa.Table, ranges: int) -> pa.Table:
     if sent["bucket"][0].as_py() >= ranges:
         return _across(sent)
-    runs = [front_decode(a, b) for a, b in zip(sent["prefix"].to_pylist(), sent["rest"].to_pylist())]
+    runs, prefixes = zip(*[front_decode(a, b) for a, b in zip(sent["prefix"].to_pylist(), sent["rest"].to_pylist())])
     ids = np.concatenate([unpack(x) for x in sent["ids"].to_pylist()])
-    order, lcp = merge_runs(runs)
+    order, lcp = merge_runs(runs, prefixes)
     new = lcp < WIDTH
     if len(new):
         new[0] = True

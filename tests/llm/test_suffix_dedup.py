@@ -43,10 +43,15 @@ def runs_of(seed):
     return out
 
 
+def coded(runs):
+    """What a range receives: the rows and prefixes of each run."""
+    return zip(*[s.front_decode(*s.front_code(rows)) for rows in runs])
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_merge_is_sorted_with_right_prefixes(seed):
     runs = runs_of(seed)
-    order, lcp = s.merge_runs(runs)
+    order, lcp = s.merge_runs(*coded(runs))
     rows = np.concatenate(runs)[order]
     assert sorted(order) == list(range(len(rows)))
     text = [bytes(r) for r in rows]
@@ -59,7 +64,29 @@ def test_merge_is_sorted_with_right_prefixes(seed):
 @pytest.mark.parametrize("seed", range(4))
 def test_front_coding_round_trip(seed):
     for rows in runs_of(seed):
-        assert (s.front_decode(*s.front_code(rows)) == rows).all()
+        decoded, prefix = s.front_decode(*s.front_code(rows))
+        assert (decoded == rows).all()
+        assert all((rows[k, : prefix[k]] == rows[k - 1, : prefix[k]]).all() and rows[k, prefix[k]] != rows[k - 1, prefix[k]] for k in range(1, len(rows)))
+
+
+def test_known_prefixes_are_not_read_again(monkeypatch):
+    draw = np.random.default_rng(3)
+    runs = []
+    for _ in range(6):
+        rows = draw.integers(1, 4, (700, s.WIDTH), dtype=np.uint8)
+        rows[:, :20] = 2
+        runs.append(s.distinct_rows(rows)[0])
+    early, plain = [], s._common
+
+    def watched(word, a, b, known):
+        early.append(int((known < 20).sum()))
+        return plain(word, a, b, known)
+
+    monkeypatch.setattr(s, "_common", watched)
+    order, _ = s.merge_runs(*coded(runs))
+    lanes = len(order) // s.LANE_ROWS
+    # Per lane the first row of each of six runs (a tree of eight leaves has seven matches), and the lane's border.
+    assert len(order) > 4000 and sum(early) <= lanes * 8
 
 
 def test_equal_windows_name_the_same_place():
