@@ -7,13 +7,14 @@ semiring (least sum) gives the ids.
 
 In a unigram model an arc weighs the negative score of its piece. In a byte-pair model a piece may
 follow another only if merging their joint text gives exactly these two; all other pairs weigh
-infinity, and one path is left, the one that the merges would make. A character that is in no piece
+infinity, and one path is left, the one that the merges would make (``pair_lattice``). A character that is in no piece
 with any other, and a blank after another character, part the lattice; what lies between is an input of
-its own and is remembered, because the same words come again.
+its own. The distinct inputs of a step are composed with the lexicon together, each once.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -22,13 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalgrid.llm.common import steps, strings
+from pedalgrid.llm.pair_lattice import PairLattice
+
 META = "▁"
-#: Words and pairs that one Python worker remembers.
-MEMORY = 250_000
-STEP_ROWS = 1_000
+#: Pairs that one Python worker remembers, and texts of inputs for unigram models.
+MEMORY = 100_000
+#: Text bytes whose inputs are composed together, and distinct inputs of one lattice.
+STEP_BYTES = 1 << 22
+INPUTS = 1 << 15
+#: Longer inputs are searched alone, so that many short ones do not wait for the positions of one.
+LONG = 200
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -48,24 +57,11 @@ class Transducer:
         lowest = min((s for s in (x[1] for x in self.lexicon.values()) if s > -1e8), default=0.0)
         self.unknown_cost = 10.0 - lowest
         self.surface = [p.encode() if t in (NORMAL, USER) else bytes([int(p[1:-1], 16)]) if t == BYTE else " ⁇ ".encode() if t == UNKNOWN else b"" for p, _, t in pieces]
-        # The arcs that can leave a position, by its next four characters, or three, or two: sizes of pieces, longest
-        # first. Sizes up to four are of pieces that are there, longer ones are to be tried.
-        self.starts: tuple[dict[str, tuple[int, ...]], ...] = ({}, {}, {})
-        longer: dict[str, set[int]] = {}
-        for p in self.lexicon:
-            longer.setdefault(p[:4], set()).add(len(p))
-        for key, sizes in longer.items():
-            sizes = {k for k in sizes if k >= 4} | {k for k in (2, 3) if key[:k] in self.lexicon and len(key) >= k} | {1}
-            if len(key) > 1:
-                self.starts[4 - len(key)][key] = tuple(sorted(sizes, reverse=True))
-        #: Neighbours inside any piece: between others no piece reaches across.
-        self.inner = {p[k : k + 2] for p in self.lexicon for k in range(len(p) - 1)}
         inner = any(META in p.lstrip(META) for p in self.lexicon)
         self.cut_blanks = not inner
         self.cut_lines = bool(self.bytes) and not any("\n" in p and len(p) > 1 for p in self.lexicon)
         self.follows: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
     @classmethod
     def from_file(cls, path: str) -> Transducer:
@@ -79,6 +75,31 @@ class Transducer:
             raise ValueError("only the identity normaliser with escaped blanks before words is compiled")
         return cls([(p.piece, p.score, p.type) for p in model.pieces], trained.model_type, normal.add_dummy_prefix)
 
+    # Compiled when first asked for: decoding needs none of them.
+
+    @functools.cached_property
+    def pairs(self) -> PairLattice:
+        return PairLattice(self.lexicon)
+
+    @functools.cached_property
+    def starts(self) -> tuple[dict[str, tuple[int, ...]], ...]:
+        """The arcs that can leave a position, by its next four characters, or three, or two: sizes of pieces, longest
+        first. Sizes up to four are of pieces that are there, longer ones are to be tried."""
+        starts: tuple[dict[str, tuple[int, ...]], ...] = ({}, {}, {})
+        longer: dict[str, set[int]] = {}
+        for p in self.lexicon:
+            longer.setdefault(p[:4], set()).add(len(p))
+        for key, sizes in longer.items():
+            sizes = {k for k in sizes if k >= 4} | {k for k in (2, 3) if key[:k] in self.lexicon and len(key) >= k} | {1}
+            if len(key) > 1:
+                starts[4 - len(key)][key] = tuple(sorted(sizes, reverse=True))
+        return starts
+
+    @functools.cached_property
+    def inner(self) -> set[str]:
+        """Neighbours inside any piece: between others no piece reaches across."""
+        return {p[k : k + 2] for p in self.lexicon for k in range(len(p) - 1)}
+
     # --- the lattice of one input ---------------------------------------------------------------
 
     def merged(self, text: str) -> list[str]:
@@ -175,16 +196,19 @@ class Transducer:
         try:
             return b"".join([coded[p] for p in self.path(text)])
         except KeyError:
-            ids: list[int] = []
-            for part in self.path(text):
-                found = self.lexicon.get(part)
-                if found is not None:
-                    ids.append(found[0])
-                elif self.bytes:
-                    ids += [self.bytes[b] for b in part.encode()]
-                elif not ids or ids[-1] != self.unknown:
-                    ids.append(self.unknown)
-            return array("i", ids).tobytes()
+            return self._ids(self.path(text))
+
+    def _ids(self, path: list[str]) -> bytes:
+        ids: list[int] = []
+        for part in path:
+            found = self.lexicon.get(part)
+            if found is not None:
+                ids.append(found[0])
+            elif self.bytes:
+                ids += [self.bytes[b] for b in part.encode()]
+            elif not ids or ids[-1] != self.unknown:
+                ids.append(self.unknown)
+        return array("i", ids).tobytes()
 
     # --- whole texts ----------------------------------------------------------------------------
 
@@ -203,23 +227,46 @@ class Transducer:
     def normal(part: str) -> str:
         return part[1:] if part[:1] == "\0" else part if part[:1] == "\n" else META + part
 
-    @staticmethod
-    def named(text: str) -> str:
-        """The part whose ``normal`` text this is."""
-        if text[:1] == META and text[1:2] not in ("\0", "\n"):
-            return text[1:]
-        return text if text[:1] == "\n" else "\0" + text
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [self._cut(t) for t in texts]
         wanted = set().union(*cut)
-        if len(self.known) + len(wanted) > MEMORY:
-            self.known, self.older = {}, self.known
-        for part in wanted - self.known.keys():
-            self.known[part] = self.older.get(part) or self._coded(self.normal(part))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        if self.kind == BPE:
+            known = self._together(list(wanted))
+        else:
+            if len(self.known) + len(wanted) > MEMORY:
+                self.known = {}
+            for part in wanted - self.known.keys():
+                self.known[part] = self._coded(self.normal(part))
+            known = self.known
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
+
+    def _together(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of distinct parts of a byte-pair model, by lattices of many parts."""
+        known = {}
+        for first in range(0, len(parts), INPUTS):
+            some = parts[first : first + INPUTS]
+            texts = [self.normal(p) for p in some]
+            short = [k for k, t in enumerate(texts) if 0 < len(t) <= LONG]
+            for part, text in zip(some, texts):
+                if not 0 < len(text) <= LONG:
+                    known[part] = self._coded(text)
+            if not short:
+                continue
+            inputs = [texts[k] for k in short]
+            symbols, borders, ends = self.pairs.paths(inputs, self.may_follow)
+            ids = self.pairs.ids[symbols]
+            # Characters without a piece are spelled out.
+            missing = np.add.reduceat(ids < 0, borders[:-1]) > 0
+            data, at = ids.astype("<i4").tobytes(), (4 * borders).tolist()
+            origin = 0
+            for k, (one, text) in enumerate(zip(short, inputs)):
+                known[some[one]] = data[at[k] : at[k + 1]] if not missing[k] else self._spelled(text, [0, *(ends[borders[k] : borders[k + 1]] - origin).tolist()])
+                origin += len(text)
+        return known
+
+    def _spelled(self, text: str, ends: list[int]) -> bytes:
+        return self._ids([text[a:b] for a, b in zip(ends[:-1], ends[1:])])
 
     def _coded(self, text: str) -> bytes:
         """Ids of a part; last characters that no piece joins to the ones before are inputs of their own."""
@@ -230,7 +277,7 @@ class Transducer:
             return self.output(text)
         head, tail = text[:n], text[n:]
         single = {c: self.output(c) for c in set(tail)}
-        return (self.known.get(self.named(head)) or self.output(head)) + b"".join(map(single.__getitem__, tail))
+        return self.output(head) + b"".join(map(single.__getitem__, tail))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: their pieces and bytes, meta symbols as blanks, without the dummy prefix."""
@@ -247,14 +294,13 @@ def transducer(path: str) -> Transducer:
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = transducer(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, STEP_ROWS):
-            some = batch.slice(at, STEP_ROWS)
+        for first, last in steps(strings(batch["text"])[1], STEP_BYTES):
+            some = batch.slice(first, last - first)
             coded = model.encode([t or "" for t in some["text"].to_pylist()])
             n = np.array([len(x) // 4 for x in coded], np.int64)
             values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), values)
             yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(n), lists], ["doc_id", "n_pieces", "ids"])
-    model.older = {}  # other operators' tasks run in this worker next
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -269,8 +315,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def _decode(batches: Iterator[pa.RecordBatch], path: str, keep_text: bool) -> Iterator[pa.RecordBatch]:
     model = transducer(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, STEP_ROWS):
-            some = batch.slice(at, STEP_ROWS)
+        sizes = pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_numpy(zero_copy_only=False)
+        for first, last in steps(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), STEP_BYTES // 4):
+            some = batch.slice(first, last - first)
             texts = [model.decode(x or []) for x in some["ids"].to_pylist()]
             out = pa.array(texts, pa.string()) if keep_text else pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays([*some.columns, out], [*some.schema.names, "text" if keep_text else "decoded_sha256"])
