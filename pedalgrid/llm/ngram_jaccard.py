@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalgrid.llm import key_counts
-from pedalgrid.llm.common import mixed, row_by_row, shingles, without, words
+from pedalgrid.llm.common import mixed, row_by_row, shingles, steps, strings, without, words
 from pedalgrid.llm.links import components, contracted
 from pedalgrid.session import staged
 
@@ -116,9 +116,17 @@ def _entries(parts: list[tuple[np.ndarray, int, int, int, np.ndarray, int]]) ->
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in arrays], names)
 
 
+def _by_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices with a bounded size of columns, however long the documents of a batch are."""
+    for batch in batches:
+        borders = strings(batch["columns"])[1] if batch.num_rows else np.zeros(1, np.int64)
+        for first, last in steps(borders, 8 * STEP):
+            yield batch.slice(first, last - first)
+
+
 def _first_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """One entry per column that a document may share first; ``place`` counts its own n-grams, which come before."""
-    for batch in batches:
+    for batch in _by_bytes(batches):
         parts = []
         for doc, n, alone, blob in zip(*(batch[c].to_pylist() for c in ("doc_id", "n", "alone", "columns"))):
             column = np.frombuffer(blob, np.int64)[: max(0, n - _bound(n, percent) + 1 - alone)]
@@ -128,7 +136,7 @@ def _first_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
 
 def _next_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Each entry split by the columns that two of its documents may share next."""
-    for batch in batches:
+    for batch in _by_bytes(batches):
         parts: list[tuple] = []
         size = 0
         for key, doc, n, alone, place, depth, blob in zip(*(batch[c].to_pylist() for c in ("column", "doc_id", "n", "alone", "place", "depth", "columns"))):
@@ -157,7 +165,7 @@ def block_overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _by_bytes(batches):
         for first in range(0, batch.num_rows, BLOCK):
             some = batch.slice(first, BLOCK)
             leader, doc = some["leader"].to_numpy(), some["doc_id"].to_numpy()
