@@ -53,9 +53,7 @@ def op7_decontaminate(spark, d):
 
 
 def op8_sentencepiece(spark, d):
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_fst.encode(table(spark, d, "documents"), model)
-    return sentencepiece_fst.decode(coded, model, keep_text=False)
+    return sentencepiece_fst.round_trip(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_personal_data(spark, d):

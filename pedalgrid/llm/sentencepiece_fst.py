@@ -329,3 +329,17 @@ def decode(coded: DataFrame, path: str, keep_text: bool = True) -> DataFrame:
     rows = coded.drop(name)
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {name} string"
     return rows.mapInArrow(lambda b: _decode(b, path, keep_text), layout)
+
+
+def _there_and_back(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    return _decode(_encode(batches, path), path, False)
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_pieces, ids, decoded_sha256``: ``encode``, and the digest of what ``decode`` makes of its ids.
+
+    Both run in one Python process, so a task loads the model once and the ids pass to Spark once.
+    """
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    layout = f"doc_id {dict(docs.dtypes)['doc_id']}, n_pieces long, ids array<int>, decoded_sha256 string"
+    return rows.mapInArrow(lambda b: _there_and_back(b, path), layout)

@@ -98,3 +98,12 @@ def test_tables_round_trip(documents, prose):
     assert f.decode(f.encode(docs.where("doc_id < 0"), MODEL), MODEL).count() == 0
     clash = coded.withColumnRenamed("n_pieces", "decoded_sha256")
     assert f.decode(clash, MODEL, keep_text=False).columns == ["doc_id", "ids", "decoded_sha256"]
+
+
+def test_one_pass_equals_two(documents, prose):
+    docs = documents(prose)
+    two = f.decode(f.encode(docs, MODEL), MODEL, keep_text=False)
+    one = f.round_trip(docs, MODEL)
+    assert one.columns == two.columns == ["doc_id", "n_pieces", "ids", "decoded_sha256"]
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    assert f.round_trip(docs.where("doc_id < 0"), MODEL).count() == 0
