@@ -40,8 +40,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, ids, decoded_sha256``: the ids of each text, and the digest of the text they decode to."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_fst.decode(sentencepiece_fst.encode(docs, model), model, keep_text=False)
+    return sentencepiece_fst.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES: list[tuple[str, Stage]] = [
