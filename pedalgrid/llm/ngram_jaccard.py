@@ -9,15 +9,17 @@ enough:
 2. Documents with equal sets are one row of the matrix.
 3. Columns are put in order of their counts, rarest first. Two documents over the bound share one of the
    first ``n - ceil(share * n) + 1`` columns of either, so only these make candidates.
-4. In each column some leaders are picked, and each other document that can link with them by size and by the
+4. A document's own n-grams and the column's place in it bound the size of a set that it can link with there. Documents
+   that no set of their column suits go from it. Of two that link, one at least reaches its own size: such lead.
+   In each column some leaders are picked, and each other document that can link with them by size and by the
    column's place in either is paired with them. Blocks of leaders by documents are multiplied, overlaps
    accumulate, and pairs below the bound go. Links give labels to what they connect: documents of one label
    are not paired again, the others go into the next round, with more leaders. A group of copies is done
    after a few leaders.
 5. What is left after ``ROUNDS`` rounds are columns of documents that mostly do not link. Such a column is split by the
    next column that two documents must share as well: of the first ``n - ceil(share * n) + k`` columns they have
-   ``k`` in common. Splitting goes on, column by column, until groups are small; those are paired in full. A column is
-   only split where that makes fewer entries than it has pairs, so what one document costs is bounded by
+   ``k`` in common, and less far in a column whose sets are all about as large. Splitting goes on, column by column, until groups are small; those are paired in full, but for documents of one label. A column is
+   only split where that makes fewer entries than it has pairs of unlike labels, so what one document costs is bounded by
    the columns it has itself, however many documents share them.
 6. All links join to components.
 
@@ -139,8 +141,9 @@ def _next_columns(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
     for batch in _by_bytes(batches):
         parts: list[tuple] = []
         size = 0
-        for key, doc, n, alone, place, depth, blob in zip(*(batch[c].to_pylist() for c in ("column", "doc_id", "n", "alone", "place", "depth", "columns"))):
-            last = n - int(_bound(n, percent)) + depth + 1
+        for key, doc, n, alone, place, depth, least, blob in zip(*(batch[c].to_pylist() for c in ("column", "doc_id", "n", "alone", "place", "depth", "least", "columns"))):
+            # With a set of at least ``least`` it must share so many, and the rest of its columns has to hold them.
+            last = min(n - int(_bound(n, percent)) + depth + 1, n + depth + 1 + -percent * (n + least) // (100 + percent))
             more = np.frombuffer(blob, np.int64)[place + 1 - alone : max(0, last - alone)]
             column = mixed(mixed(np.full(len(more), key).view(np.uint64)) + more.view(np.uint64)).view(np.int64)
             parts.append((column, doc, n, alone, place + 1 + np.arange(len(more)), depth + 1))
@@ -189,10 +192,26 @@ def _possible(percent: int):
     return (100 * most >= percent * (F.col("n") + F.col("leader_n") - most)) & (F.col("doc_id") != F.col("leader"))
 
 
-def _shared(entries: DataFrame, several: Column) -> DataFrame:
-    """Entries of the columns of which ``several`` holds; the others make no candidates."""
-    open_ = entries.groupBy("column").agg(several.alias("_open")).where("_open").select("column")
-    return entries.join(staged(open_, "open"), "column", "left_semi")
+def _reach(percent: int) -> Column:
+    """Size of the largest set that an entry's document can link with in its column; see ``_possible``."""
+    most = F.least(F.col("n") - F.col("alone"), F.col("depth") + F.col("n") - F.col("place") - 1)
+    return F.floor(most * (100 + percent) / percent) - F.col("n")
+
+
+def _leads(percent: int) -> Column:
+    """Whether an entry's document can link with one of its own size. Of two that link this holds for the smaller one,
+    so that two entries of which it does not hold need not meet."""
+    return _reach(percent) >= F.col("n")
+
+
+def _shared(entries: DataFrame, several: Column, percent: int) -> DataFrame:
+    """Entries of the columns of which ``several`` holds and that have a leader, with the ``least`` size of a column's sets;
+    the others make no candidates, nor do entries whose reach ends before the least, or that none reaches."""
+    entries = entries.drop("least")
+    sizes = F.min("n").alias("least"), F.max(_reach(percent)).alias("_reach"), F.max(_leads(percent)).alias("_leads")
+    open_ = entries.groupBy("column").agg(several.alias("_open"), *sizes).where("_open AND _leads").select("column", "least", "_reach")
+    joined = entries.join(staged(open_, "open"), "column")
+    return joined.where((_reach(percent) >= F.col("least")) & (F.col("n") <= F.col("_reach"))).drop("_reach")
 
 
 def _as_leaders(picked: DataFrame) -> DataFrame:
@@ -208,31 +227,32 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(product, "new_links")
 
 
-def _relabelled(entries: DataFrame, new: DataFrame) -> DataFrame:
+def _relabelled(entries: DataFrame, new: DataFrame, percent: int) -> DataFrame:
     """Most of what is linked has one label from now on; columns of one label are done."""
     now = staged(contracted(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))), "labels")
     rest = entries.join(now.select(F.col("id").alias("label"), "parent"), "label", "left")
     rest = staged(rest.withColumn("label", F.coalesce("parent", "label")).drop("parent"), "rest")
-    return staged(_shared(rest, F.min("label") != F.max("label")), "entries")
+    return staged(_shared(rest, F.min("label") != F.max("label"), percent), "entries")
 
 
 def _met(entries: DataFrame, percent: int, sets: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
     """New links of one round with so many leaders per column, and the entries that are still open."""
     # Of each part of a column's documents the one with the fewest n-grams of its own leads.
     salt = F.pmod(F.xxhash64("doc_id", F.lit(leaders)), F.lit(leaders))
-    picked = entries.groupBy("column", salt.alias("_s")).agg(F.min(F.struct("alone", "doc_id", "n", "place", "label")).alias("l"))
+    picked = entries.where(_leads(percent)).groupBy("column", salt.alias("_s")).agg(F.min(F.struct("alone", "doc_id", "n", "place", "label")).alias("l"))
     picked = staged(_as_leaders(picked.select("column", "l.*")), "leaders")
     pairs = entries.join(picked, "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")))
     new = _linked(pairs, sets, percent)
     # Leaders have met all documents of their columns.
     rest = entries.join(picked.select("column", F.col("leader").alias("doc_id")), ["column", "doc_id"], "left_anti")
-    return new, _relabelled(rest, new)
+    return new, _relabelled(rest, new, percent)
 
 
 def _width(percent: int) -> Column:
     """About how many entries a document makes if the columns that it may share first are all split: as a rule the
     documents of a column meet in its neighbours too."""
-    width = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("depth") - F.col("alone"), F.lit(1))
+    shared = F.ceil((F.col("n") + F.col("least")) * percent / (100 + percent))
+    width = F.greatest(F.col("n") - shared + F.col("depth") - F.col("alone"), F.lit(1))
     return width * width
 
 
@@ -243,7 +263,7 @@ def links(rows: DataFrame, percent: int) -> list[DataFrame]:
     """
     sets = rows.select("doc_id", "n", "columns")
     entries = rows.mapInArrow(lambda b: _first_columns(b, percent), _ENTRY)
-    entries = staged(_shared(entries, F.count(F.lit(1)) > 1).withColumn("label", F.col("doc_id")), "entries")
+    entries = staged(_shared(entries, F.count(F.lit(1)) > 1, percent).withColumn("label", F.col("doc_id")), "entries")
     found = []
     while not entries.isEmpty():
         leaders = 1
@@ -253,24 +273,29 @@ def links(rows: DataFrame, percent: int) -> list[DataFrame]:
             leaders *= MORE
             if entries.isEmpty():
                 return found
-        # A column of k documents has k * (k - 1) / 2 pairs to look at; it is split if that makes fewer entries.
-        k = F.count(F.lit(1))
-        cost = entries.groupBy("column").agg((((k - 1) * k / 2 > F.sum(_width(percent))) & (k > SMALL)).alias("split"))
+        # Most documents of a column often have one label. The others are paired with each other and with these, unless
+        # splitting the column makes fewer entries.
+        parts = entries.groupBy("column", "label").agg(F.count(F.lit(1)).alias("k"), F.sum(_width(percent)).alias("w"))
+        parts = parts.groupBy("column").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("k"), F.sum("w").alias("w"))
+        other = F.col("k") - F.col("top.k")
+        split = (other * (other - 1) / 2 + other * F.col("top.k") > F.col("w")) & (F.col("k") > SMALL)
+        cost = parts.select("column", F.col("top.label").alias("main"), split.alias("split"))
         cost = staged(cost, "costs")
-        few = staged(entries.join(cost.where(~F.col("split")), "column", "left_semi"), "few")
+        few = staged(entries.join(cost.where(~F.col("split")).drop("split"), "column"), "few")
         many = staged(entries.join(cost.where("split"), "column", "left_semi"), "many")
-        pairs = few.join(_as_leaders(few), "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")) & (F.col("leader") < F.col("doc_id")))
+        once = (F.col("label") == F.col("main")) | (F.col("leader") < F.col("doc_id"))
+        pairs = few.join(_as_leaders(few.where("label <> main")), "column").where(_possible(percent) & (F.col("label") != F.col("leader_label")) & once)
         new = _linked(pairs, sets, percent)
         found.append(new.select("a", "b"))
         if many.isEmpty():
             return found
-        many = _relabelled(many, new)
+        many = _relabelled(many, new, percent)
         wider = many.join(sets.select("doc_id", "columns"), "doc_id").mapInArrow(lambda b: _next_columns(b, percent), _ENTRY)
         # Labels are those of the documents; an entry's columns have changed.
         labels = staged(many.groupBy("doc_id").agg(F.min("label").alias("label")), "document_labels")
-        wider = staged(_shared(wider, F.count(F.lit(1)) > 1), "split")
+        wider = staged(_shared(wider, F.count(F.lit(1)) > 1, percent), "split")
         entries = staged(wider.join(labels, "doc_id"), "entries")
-        entries = staged(_shared(entries, F.min("label") != F.max("label")), "entries")
+        entries = staged(_shared(entries, F.min("label") != F.max("label"), percent), "entries")
     return found
 
 

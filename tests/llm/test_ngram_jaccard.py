@@ -88,6 +88,31 @@ def test_unlinked_documents_that_share_a_header_make_no_pairs(documents, monkeyp
     assert sum(pairs) < 30 * len(texts)
 
 
+def test_copies_with_many_changes_are_not_split_column_by_column(documents, monkeypatch):
+    """Copies of one text with one to four changes: some link, most do not, and all share most columns."""
+    draw = random.Random(21)
+    base = [f"b{k}" for k in range(90)]
+    texts = []
+    for k in range(260):
+        words = list(base)
+        for at in draw.sample(range(90), draw.choice([1, 2, 3, 4])):
+            words[at] = draw.choice(["x", "y", f"n{k}"])
+        texts.append(" ".join(words[: draw.choice([70, 88, 90, 90])]))
+    texts = sorted(set(texts))
+    tables, stage = [], j.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        tables.append((name, out.count() if name in ("pairs", "entries") else 0))
+        return out
+
+    monkeypatch.setattr(j, "staged", counted)
+    assert found(j.cluster(documents(texts), 5, 80)) == expected(list(enumerate(texts)), 5, 80)
+    assert sum(n for name, n in tables if name == "pairs") < 30 * len(texts)
+    entries = [n for name, n in tables if name == "entries"]
+    assert max(entries) == entries[0] and sum(name == "split" for name, _ in tables) <= 2
+
+
 def test_split_columns_lose_no_link(documents, monkeypatch):
     """Every column is split at once and again: links between unlike groups of one column stay."""
     monkeypatch.setattr(j, "ROUNDS", 1)
