@@ -32,9 +32,9 @@ def write_stage(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> No
         out.select(as_line(columns)).write.mode("overwrite").text(path)
 
 
-def write_rides(df: DataFrame, path: str) -> None:
-    """Ride rows as quoted CSV parts with a header, the layout ``read_rides`` takes."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
+def write_rides(df: DataFrame, path: str, *by: str) -> None:
+    """Ride rows as quoted CSV parts with a header, the layout ``read_rides`` takes; below a folder per value of ``by``."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").partitionBy(*by).csv(path)
 
 
 def export_tsv(df: DataFrame, path: str, order: list[str], single_file: bool = False) -> None:

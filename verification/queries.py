@@ -587,7 +587,7 @@ def events_roundtrip(spark, d):
 def weather_files(spark, d):
     """Weather documents as files of their own."""
     path = scratch_path(spark, "weather")
-    warehouse.weather_documents(spark, d).write.option("maxRecordsPerFile", 1).text(path)
+    warehouse.write_weather(spark, d, path)
     return daily.pivot_weather(readers.read_weather(spark, path, pattern="*.txt"))
 
 

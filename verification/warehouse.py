@@ -19,6 +19,8 @@ from pedalgrid.sources.writers import write_rides
 
 SHIFT_DAYS = 60
 EVENT_ORDER = "event_id"
+#: So many ids of events go into one landed file or document, however many events there are.
+PIECE = 200_000
 
 # Declared layouts: reading a table then needs no look at its files beforehand.
 TABLES = {
@@ -223,13 +225,24 @@ def polygon_document(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(json.dumps({"type": "FeatureCollection", "features": features}),)], "value string").coalesce(1)
 
 
+def _piece() -> Column:
+    """The piece an event belongs to, by its id alone; as text, in the order of the ids."""
+    number = F.expr(f"{EVENT_ORDER} div {PIECE}") + F.lit(10**14)
+    return F.coalesce(F.format_string("%015d", number), F.lit("0")).alias("piece")
+
+
 def weather_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Observations of each day as one file with one document, in event order."""
+    """Observations of each day and piece as one document, in event order; with the piece."""
     rows = weather_long(spark, folder)
     one = F.struct("event_id", F.struct("date", "datatype", "value").alias("r"))
-    days = rows.groupBy("date").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    days = rows.groupBy("date", _piece()).agg(F.array_sort(F.collect_list(one)).alias("all"))
     results = F.transform("all", lambda x: x["r"])
-    return days.select(F.to_json(F.struct(F.lit("USW00094728").alias("station"), results.alias("results"))).alias("value"))
+    return days.select(F.to_json(F.struct(F.lit("USW00094728").alias("station"), results.alias("results"))).alias("value"), "piece")
+
+
+def write_weather(spark: SparkSession, folder: str, path: str) -> None:
+    """Each document as a file of its own, below a folder per piece: the order of paths is that of the events of a day."""
+    weather_documents(spark, folder).write.partitionBy("piece").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_permits(df: DataFrame, path: str) -> None:
@@ -260,12 +273,16 @@ def file_entries(spark: SparkSession, folder: str, source: str, filename: Column
     return files.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
 
 
+def _piece_of_path() -> Column:
+    return F.regexp_extract("path", "/piece=([0-9]+)/", 1)
+
+
 def land_rides(spark: SparkSession, rows: DataFrame, root: str, run_date: str, third: int) -> DataFrame:
-    """The rides of every third day as one file; its ledger entry."""
+    """The rides of every third day as one file per piece; their ledger entries. Landed again, a piece has its name again."""
     folder = f"{root}/{run_date}/rides_{third}"
-    own = rows.where(F.substring("started_at", 9, 2).cast("int") % 3 == third)
-    write_rides(own.drop(EVENT_ORDER).coalesce(1), folder)
-    return file_entries(spark, folder, RIDES_SOURCE, F.lit(f"rides_{third}.csv"), run_date)
+    own = rows.where(F.substring("started_at", 9, 2).cast("int") % 3 == third).withColumn("piece", _piece())
+    write_rides(own.drop(EVENT_ORDER).repartition("piece"), folder, "piece")
+    return file_entries(spark, folder, RIDES_SOURCE, F.concat(F.lit(f"rides_{third}_"), _piece_of_path(), F.lit(".csv")), run_date)
 
 
 def land_everything(spark: SparkSession, folder: str, root: str) -> DataFrame:
@@ -273,10 +290,11 @@ def land_everything(spark: SparkSession, folder: str, root: str) -> DataFrame:
     run_date, all_rides = "2024-05-01", rides(spark, folder)
     some = all_rides.where((F.col(EVENT_ORDER) % 5 != 0) | (F.substring("started_at", 9, 2).cast("int") % 3 != 2))
     entries = [land_rides(spark, some, root, run_date, k) for k in range(3)]
-    write_permits(permits(spark, folder).coalesce(1), f"{root}/{run_date}/events")
-    weather_documents(spark, folder).write.option("maxRecordsPerFile", 1).text(f"{root}/{run_date}/weather")
-    entries.append(file_entries(spark, f"{root}/{run_date}/events", EVENTS_SOURCE, F.lit("events.csv"), run_date))
-    entries.append(file_entries(spark, f"{root}/{run_date}/weather", WEATHER_SOURCE, F.col("filename"), run_date))
+    write_permits(permits(spark, folder), f"{root}/{run_date}/events")
+    write_weather(spark, folder, f"{root}/{run_date}/weather")
+    entries.append(file_entries(spark, f"{root}/{run_date}/events", EVENTS_SOURCE, F.col("filename"), run_date))
+    # Files of different pieces can have the same name.
+    entries.append(file_entries(spark, f"{root}/{run_date}/weather", WEATHER_SOURCE, F.concat(_piece_of_path(), F.lit("_"), "filename"), run_date))
     every = entries[0]
     for one in entries[1:]:
         every = every.unionByName(one)
