@@ -21,6 +21,9 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 #: Words whose ids one Python worker remembers, twice over: an older half goes when a newer one is full.
 MEMORY = 600_000
+#: Characters of the texts that are looked up together, and words that are merged in one call.
+STEP_CHARS = 4 << 20
+STEP_WORDS = 200
 LAYOUT = "doc_id long, part int, place long, n_tokens long, ids array<int>"
 
 _state: dict = {}
@@ -34,6 +37,8 @@ def _alphabet() -> dict[int, str]:
 
 
 _ALPHABET = _alphabet()
+#: Stands between words that are merged in one call: this byte is in no UTF-8 text, so no merge has it.
+_BETWEEN = b"\xff"
 
 
 class Encoder:
@@ -46,6 +51,7 @@ class Encoder:
 
     #: Blanks side by side can belong to one token.
     _odd = re.compile(r"\s\s")
+    _marks = ".,;:!?|*#$%&"
     _marked = re.compile(r"(.*[^\W\d_])([.,;:!?|*#$%&]+)", re.S)
     #: Letters below this are letters in every version of Unicode.
     _latin = "\u0250"
@@ -55,18 +61,18 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.between = self.tokenizer.token_to_id(_BETWEEN.decode("latin-1"))
+        #: A model that takes words it knows without merges needs them one by one.
+        self.step = 1 if getattr(self.model, "ignore_merges", False) else STEP_WORDS
         #: A word after a space is remembered without it; any other part after a zero character.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self._odd.search(text) or "\0" in text:
-            return ["\0" + p for p in re.split(r"(?<=\S)(?= )", text)]
-        parts = text.replace("\n", " \n").split(" ")
-        parts[0] = "\0" + parts[0]
-        return parts
+    def _is_odd(self, text: str) -> bool:
+        return not text or "\0" in text or self._odd.search(text) is not None
+
+    def _cut_odd(self, text: str) -> list[str]:
+        return ["\0" + p for p in re.split(r"(?<=\S)(?= )", text)] if text else []
 
     def _ids(self, part: str) -> bytes:
         if self._is_word(part):  # one pre-token: straight to the merges, in the byte alphabet
@@ -92,18 +98,87 @@ class Encoder:
     def _whole(self, key: str) -> bytes:
         return self._ids(key[1:] if key[:1] == "\0" else key if key[:1] == "\n" else " " + key)
 
+    def _merge(self, words: list[str]) -> None:
+        """Remember the ids of words that are pre-tokens: several go to the merges as one sequence."""
+        for at in range(0, len(words), self.step):
+            some = words[at : at + self.step]
+            spelled = "\0".join([k[1:] if k[:1] == "\0" else " " + k for k in some]).encode().replace(b"\0", _BETWEEN).decode("latin-1")
+            for byte, letter in _ALPHABET.items():
+                spelled = spelled.replace(chr(byte), letter)
+            ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4")
+            cuts = np.flatnonzero(ids == self.between) if self.between is not None else []
+            if len(cuts) != len(some) - 1:
+                self.known.update((k, self._whole(k)) for k in some)
+                continue
+            raw, start = ids.tobytes(), 0
+            for key, end in zip(some, [*(4 * c for c in cuts), len(raw)]):
+                self.known[key] = raw[start:end]
+                start = end + 4
+
+    def _learn(self, keys: list[str]) -> None:
+        """Remember the ids of parts; marks and line ends are set aside, so that a word is merged once whatever stands beside it."""
+        known, older = self.known, self.older
+        words, beside = set(), []
+        marks, latin = self._marks, self._latin
+        for key in keys:
+            found = older.get(key)
+            if found is not None:
+                known[key] = found
+                continue
+            led = key[:1] == "\n" and len(key) > 1 and not key[1].isspace()
+            core = "\0" + key[1:] if led else key
+            stem = core.rstrip(marks)
+            word = stem[1:].removeprefix(" ") if stem[:1] == "\0" else stem
+            if not (word.isalpha() and (word.isascii() or max(word) < latin)):
+                known[key] = self._whole(key)
+                continue
+            if stem != key:
+                beside.append((key, led, stem, core[len(stem) :]))
+            if stem not in known:
+                found = older.get(stem)
+                if found is None:
+                    words.add(stem)
+                else:
+                    known[stem] = found
+        self._merge(list(words))
+        for key, led, stem, mark in beside:
+            ids = known[stem] + self._mark(mark) if mark else known[stem]
+            known[key] = self._mark("\n") + ids if led else ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        wanted = set().union(*cut)
+        found, start, size = [], 0, 0
+        for end, text in enumerate(texts):
+            size += len(text)
+            if size >= STEP_CHARS:
+                found += self._some(texts[start : end + 1])
+                start, size = end + 1, 0
+        return found + self._some(texts[start:])
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        odd = {i: self._cut_odd(t) for i, t in enumerate(texts) if self._is_odd(t)}
+        rest = pa.array(["\0" + t.replace("\n", " \n") for i, t in enumerate(texts) if i not in odd], pa.large_string())
+        parts = pc.split_pattern(rest, " ")
+        codes = parts.flatten().dictionary_encode()
+        keys = codes.dictionary.to_numpy(zero_copy_only=False).tolist()
+        wanted = list(set(keys).union(*odd.values())) if odd else keys
         if len(self.known) + len(wanted) > MEMORY:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        for key in wanted - known.keys():
-            found = older.get(key)
-            known[key] = self._whole(key) if found is None else found
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        self._learn([k for k in wanted if k not in self.known])
+        get = self.known.__getitem__
+        ids = list(map(get, keys))
+        # Ids of all parts in a row: each part's range of the distinct parts' ids.
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        place = codes.indices.to_numpy()
+        each = sizes[place]
+        ends = np.cumsum(each)
+        at = np.repeat(starts[place] - (ends - each), each)
+        at += np.arange(len(at))
+        raw = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        bounds = (4 * np.concatenate([[0], ends]))[parts.offsets.to_numpy()].tolist()
+        even = iter([raw[a:b] for a, b in zip(bounds, bounds[1:])])
+        return [b"".join(map(get, odd[i])) if i in odd else next(even) for i in range(len(texts))]
 
 
 def encoder(path: str) -> Encoder:

@@ -72,3 +72,38 @@ def test_null_and_repeated_ids_and_empty_tables(spark, documents, tmp_path):
     assert sorted(r["start"] + r["n_tokens"] for r in rows)[-1] == sum(r["n_tokens"] for r in rows) == 7
     t.write_tokens(docs.where("doc_id > 9"), str(tmp_path / "b"), PATH)
     assert t.summary(t.read_tokens(spark, str(tmp_path / "b"))).count() == 0
+
+
+def test_words_are_merged_together_and_once(library):
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, []
+
+        def tokenize(self, text):
+            self.calls.append(text)
+            return self.model.tokenize(text)
+
+    draw = random.Random(5)
+    words = sorted({"".join(draw.choice("abcdeéñÿĠß") for _ in range(9)) for _ in range(1000)})
+    texts = [f"{w} {w} {w}. {w}, {w}*\n{w}\n{w}." for w in words]
+    coder = t.Encoder(PATH)
+    coder.model = Counted(coder.model)
+    want = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
+    # With a blank before it and without: no word more often, whatever marks stand behind it.
+    assert sum(x.count("ÿ") + 1 for x in coder.model.calls) <= 2 * len(words)
+    assert len(coder.model.calls) <= 2 * len(words) / t.STEP_WORDS + 1
+
+
+@pytest.mark.parametrize("change", ["chars", "between", "single"])
+def test_ids_in_small_steps(library, prose, monkeypatch, change):
+    texts = HARD + [x or "" for x in prose] + ["ÿ ÿÿ Ġa Ġ. \nÿ, a²", "ab  cd\tef.", "éa. éa éa,\néa"]
+    if change == "chars":
+        monkeypatch.setattr(t, "STEP_CHARS", 7)
+    coder = t.Encoder(PATH)
+    if change == "between":
+        coder.between = None
+    if change == "single":
+        coder.step = 1
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert coder.encode([]) == [] and coder.encode([""]) == [b""]
